@@ -1 +1,10 @@
 """Registered queries over the driver tables, with their SQL oracles."""
+
+from importlib import import_module
+
+MODULES = ("ledger",)
+
+
+def load_all() -> None:
+    for name in MODULES:
+        import_module(f"posledger.bindings.{name}")

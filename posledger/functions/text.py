@@ -151,6 +151,21 @@ def append_tag(note, fragment, unless: str | None = None) -> Column:
     return F.when(text.contains(marker), text).otherwise(joined)
 
 
+def append_tags(note, *tags: tuple) -> Column:
+    """Append several ``(condition, fragment, marker)`` tags; a tag whose marker is there is skipped.
+
+    One flat concatenation, so the expression grows with the number of tags only.
+    """
+    base = _as_col(note)
+    text = F.coalesce(base, F.lit(""))
+    parts = [
+        F.when(condition & ~text.contains(marker), fragment if isinstance(fragment, Column) else F.lit(fragment))
+        for condition, fragment, marker in tags
+    ]
+    joined = F.concat_ws("; ", F.nullif(F.trim(text), F.lit("")), *parts)
+    return F.when(joined != "", joined).otherwise(base)
+
+
 def extract_tag(note, key: str, pattern: str = r"[^;\s]+") -> Column:
     return F.nullif(F.regexp_extract(note_text(note), f"{key}=({pattern})", 1), F.lit(""))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posledger.functions.numbers import share_ratio
 from posledger.functions.text import (
-    append_tag, has_tag, holding_key, is_overlay_note, normalize_ticker,
+    append_tag, append_tags, holding_key, is_overlay_note, normalize_ticker,
 )
 from posledger.schemas import HISTORY_SCHEMA, SNAPSHOT_SCHEMA, conform
 
@@ -44,18 +44,21 @@ def classify_action(has_prev: Column, has_cur: Column, shares_prev: Column, shar
     )
 
 
-def number_periods(periods: DataFrame) -> DataFrame:
-    """Period index per parent; the latest filing of a period describes it."""
-    one = periods.groupBy("parent_ticker", "period_end").agg(
-        F.max_by(F.struct("filing_date", "accession_no"), F.struct("filing_date", "accession_no"))
-        .alias("_f"))
+def number_periods(periods: DataFrame, unique: bool = False) -> DataFrame:
+    """Reporting periods per parent with their neighbours; the latest filing describes a period.
+
+    A parent has as many rows here as it has periods, so the window stays small.
+    """
+    filing = F.struct("filing_date", "accession_no")
+    if unique:
+        one = periods.select("parent_ticker", "period_end", filing.alias("f"))
+    else:
+        one = periods.groupBy("parent_ticker", "period_end").agg(F.max(filing).alias("f"))
     w = Window.partitionBy("parent_ticker").orderBy("period_end")
+    at = F.struct("period_end", "f.filing_date", "f.accession_no")
     return one.select(
-        "parent_ticker", "period_end",
-        F.col("_f.filing_date").alias("grid_filing_date"),
-        F.col("_f.accession_no").alias("grid_accession_no"),
-        F.row_number().over(w).alias("period_idx"),
-    )
+        "parent_ticker", "period_end", at.alias("at"), F.lead(at).over(w).alias("next_at"),
+        F.lag("period_end").over(w).alias("period_before"))
 
 
 def diff_snapshots(rows: DataFrame, periods: DataFrame | None = None,
@@ -65,15 +68,16 @@ def diff_snapshots(rows: DataFrame, periods: DataFrame | None = None,
 
     ``periods`` lists every reporting period, including empty ones (they close positions);
     without it the periods are those of ``rows``. ``order_by`` names the input order: of several
-    rows of one identity in one period the last wins. ``unique`` skips that step when the caller
-    guarantees one row. ``exit_events`` (investee_ticker, accession, filing_date, note) documents
+    rows of one identity in one period the last wins. ``unique`` skips de-duplication when the caller
+    guarantees one row per identity and period and one filing per period. ``exit_events`` (investee_ticker, accession, filing_date, note) documents
     explicit exits.
     """
     order_columns = [order_by] if order_by else []
     base = conform(rows, SNAPSHOT_SCHEMA, keep=order_columns)
-    if periods is None:
-        periods = rows.select("parent_ticker", "period_end", "filing_date", "accession_no")
-    grid = number_periods(periods)
+    own_periods = periods is None
+    if own_periods:
+        periods = base.select("parent_ticker", "period_end", "filing_date", "accession_no")
+    grid = number_periods(periods, unique and not own_periods)
 
     keyed = base.withColumn("_key", holding_key("investee_ticker", "cusip", "investee_name")).where(
         F.col("_key").isNotNull())
@@ -84,36 +88,34 @@ def diff_snapshots(rows: DataFrame, periods: DataFrame | None = None,
         order = F.struct(*order_columns, "filing_date", *_FIELDS)
         one = keyed.groupBy("parent_ticker", "period_end", "_key").agg(F.max_by(body, order).alias("cur"))
 
-    placed = one.join(grid.select("parent_ticker", "period_end", "period_idx"),
-                      ["parent_ticker", "period_end"])
+    placed = one.join(grid, ["parent_ticker", "period_end"])
     qty = F.coalesce(F.col("cur.shares_held"), F.col("cur.ownership_pct"), F.lit(0.0))
-    w = Window.partitionBy("parent_ticker", "_key").orderBy("period_idx")
+    w = Window.partitionBy("parent_ticker", "_key").orderBy("period_end")
     linked = placed.select(
-        "parent_ticker", "_key", "period_idx", "cur",
-        F.lag(F.struct("period_idx", "cur")).over(w).alias("_lag"),
-        F.lead("period_idx").over(w).alias("_next"),
+        "parent_ticker", "_key", "at", "next_at", "cur",
+        F.when(F.lag("period_end").over(w) == F.col("period_before"), F.lag("cur").over(w)).alias("prev"),
+        F.coalesce(F.lead("period_end").over(w) == F.col("next_at.period_end"), F.lit(False)).alias("_stays"),
         F.min(F.when(qty > 0, F.col("period_end"))).over(
             w.rowsBetween(Window.unboundedPreceding, 0)).alias("first_seen_period"),
     )
-    adjacent = F.col("_lag.period_idx") == F.col("period_idx") - 1
-    prev = F.when(adjacent, F.col("_lag.cur"))
+    # A row without a successor closes in the next reporting period, if there is one.
     nothing = F.lit(None).cast(placed.schema["cur"].dataType)
-    present = F.struct(
-        F.col("period_idx").alias("idx"), F.col("cur").alias("cur"), prev.alias("prev"))
-    gone = F.struct(
-        (F.col("period_idx") + 1).alias("idx"), nothing.alias("cur"), F.col("cur").alias("prev"))
-    vanishes = F.col("_next").isNull() | (F.col("_next") > F.col("period_idx") + 1)
-    steps = linked.select(
-        "parent_ticker", "first_seen_period",
-        F.explode(F.when(vanishes, F.array(present, gone)).otherwise(F.array(present))).alias("s"),
-    ).select("parent_ticker", "first_seen_period", F.col("s.idx").alias("period_idx"),
-             F.col("s.cur").alias("cur"), F.col("s.prev").alias("prev"))
-    # The inner join also drops exits past the last known period.
-    dated = steps.join(grid, ["parent_ticker", "period_idx"])
-
+    present = F.struct(F.col("at").alias("at"), F.col("cur").alias("cur"), F.col("prev").alias("prev"))
+    gone = F.struct(F.col("next_at").alias("at"), nothing.alias("cur"), F.col("cur").alias("prev"))
+    closes = ~F.col("_stays") & F.col("next_at").isNotNull()
+    dated = linked.select(
+        "parent_ticker", "_key", "first_seen_period",
+        F.explode(F.when(closes, F.array(present, gone)).otherwise(F.array(present))).alias("s"),
+    ).select(
+        "parent_ticker", "_key", "first_seen_period", F.col("s.at.period_end").alias("period_end"),
+        F.col("s.at.filing_date").alias("grid_filing_date"),
+        F.col("s.at.accession_no").alias("grid_accession_no"),
+        F.col("s.cur").alias("cur"), F.col("s.prev").alias("prev"))
     cur_qty = F.coalesce(F.col("cur.shares_held"), F.col("cur.ownership_pct"), F.lit(0.0))
     dated = dated.where(F.col("prev").isNotNull() | (cur_qty > 0))
-    return reclassify_share_ratio(_ledger_rows(dated, exit_events))
+    # Same partitioning as the difference itself, so this adds no shuffle.
+    rows = reclassify_share_ratio(_ledger_rows(dated, exit_events), partition="_key")
+    return conform(rows, HISTORY_SCHEMA)
 
 
 def _ledger_rows(dated: DataFrame, exit_events: DataFrame | None) -> DataFrame:
@@ -126,7 +128,7 @@ def _ledger_rows(dated: DataFrame, exit_events: DataFrame | None) -> DataFrame:
             for name in ("investee_name", "investee_ticker", "cusip", "note")}
 
     base = dated.select(
-        "parent_ticker", "period_end", "grid_filing_date", "grid_accession_no",
+        "parent_ticker", "_key", "period_end", "grid_filing_date", "grid_accession_no",
         "first_seen_period", "cur", "prev", action.alias("action"),
         *[c.alias(n) for n, c in face.items()],
         is_overlay_note(face["note"]).alias("_overlay"),
@@ -175,19 +177,22 @@ def _ledger_rows(dated: DataFrame, exit_events: DataFrame | None) -> DataFrame:
     start_note = F.coalesce(
         F.col("note"), F.concat(F.lit("QoQ "), F.col("period_end").cast("string")))
     exit_tag = F.coalesce(F.col("_event.note"), F.lit("13g_exit=1"))
-    explicit = F.when(has_tag(start_note, "13g_exit=1", "exit_reason=mna"), start_note).otherwise(
-        append_tag(start_note, exit_tag))
-    note = F.when(is_exit & overlay & documented, explicit).when(
-        is_exit & overlay, append_tag(start_note, "exit_inferred=missing_from_period",
-                                      "exit_inferred=missing_from_period")).otherwise(start_note)
     by_pct = (
         delta.isNull() & act.isin("buy", "sell", "hold") & (sh.isNull() | sh_prev.isNull())
         & pct.isNotNull() & pct_prev.isNotNull()
     )
-    note = F.when(by_pct, append_tag(note, "qoq_continuity=ownership_pct")).otherwise(note)
+    overlay_exit = is_exit & overlay
+    unmarked = ~start_note.rlike("13g_exit=1|exit_reason=mna")
+    inferred = "exit_inferred=missing_from_period"
+    note = append_tags(
+        start_note,
+        (overlay_exit & documented & unmarked, exit_tag, exit_tag),
+        (overlay_exit & ~documented, inferred, inferred),
+        (by_pct, "qoq_continuity=ownership_pct", "qoq_continuity=ownership_pct"),
+    )
 
-    out = base.select(
-        "parent_ticker", "period_end", filing.alias("filing_date"),
+    return base.select(
+        "parent_ticker", "_key", "period_end", filing.alias("filing_date"),
         accession.alias("accession_no"), "investee_name", "investee_ticker", "cusip",
         F.when(is_exit, F.lit(0.0)).otherwise(sh).alias("shares_held"),
         F.when(is_exit, F.lit(0.0)).otherwise(pct).alias("ownership_pct"),
@@ -196,15 +201,16 @@ def _ledger_rows(dated: DataFrame, exit_events: DataFrame | None) -> DataFrame:
         value_delta.alias("value_delta"), "action", "first_seen_period",
         F.when(is_exit, F.col("period_end")).alias("exited_period"), note.alias("note"),
     )
-    return conform(out, HISTORY_SCHEMA)
 
 
-def reclassify_share_ratio(history: DataFrame) -> DataFrame:
-    """Whole-number share consolidations with a new security id are restatements, not sales."""
-    t = normalize_ticker("investee_ticker")
+def reclassify_share_ratio(history: DataFrame, partition: str | None = None) -> DataFrame:
+    """Whole-number share consolidations with a new security id are restatements, not sales.
+
+    ``partition`` names a column that already groups the rows of one ticker.
+    """
     cusip = F.nullif(F.upper(F.trim("cusip")), F.lit(""))
-    keyed = history.withColumns({"_t": t, "_id": cusip})
-    w = Window.partitionBy("parent_ticker", "_t").orderBy("period_end", "accession_no")
+    keyed = history.withColumns({"_t": normalize_ticker("investee_ticker"), "_id": cusip})
+    w = Window.partitionBy("parent_ticker", partition or "_t").orderBy("period_end", "accession_no")
     before = F.last(F.when(F.col("action") != "exit", F.col("_id")), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, -1))
     keyed = keyed.withColumns({"_before": before, "_after": F.lead("_id").over(w)})

@@ -134,18 +134,20 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None,
             keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Select ``schema`` in order: cast what is there, add the rest as typed NULL (or default).
 
-    ``keep`` names further columns to carry along unchanged.
+    ``keep`` names further columns to carry along unchanged; defaults are booleans.
     """
-    have = set(df.columns)
-    defaults = defaults or {}
-
-    def pick(field: T.StructField):
-        base = F.col(field.name) if field.name in have else F.lit(defaults.get(field.name))
-        if field.name in have and field.name in defaults:
-            base = F.coalesce(base, F.lit(defaults[field.name]))
-        return base.cast(field.dataType).alias(field.name)
-
-    return df.select(*[pick(field) for field in schema.fields], *keep)
+    have, defaults = set(df.columns), defaults or {}
+
+    def pick(field: T.StructField) -> str:
+        name, kind = f"`{field.name}`", field.dataType.simpleString()
+        literal = {True: "true", False: "false", None: "null"}.get(defaults.get(field.name))
+        if field.name not in have:
+            return f"cast({literal} as {kind}) as {name}"
+        if field.name in defaults:
+            return f"coalesce(cast({name} as {kind}), {literal}) as {name}"
+        return f"cast({name} as {kind}) as {name}"
+
+    return df.selectExpr(*[pick(field) for field in schema.fields], *keep)
 
 
 def evolve(df: DataFrame, new_columns: dict[str, str]) -> DataFrame:
