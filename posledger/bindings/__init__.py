@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger",)
+MODULES = ("ledger", "market")
 
 
 def load_all() -> None:
