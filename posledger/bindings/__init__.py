@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "market")
+MODULES = ("ledger", "market", "performance", "reports")
 
 
 def load_all() -> None:
