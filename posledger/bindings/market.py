@@ -11,6 +11,7 @@ from posledger.bindings.views import (
 )
 from posledger.functions.dates import quarter_end
 from posledger.operators import asof, ownership, screening
+from posledger.sources.tables import stage
 
 
 def _views(spark, sf_dir):
@@ -164,8 +165,9 @@ outcomes AS (
 )"""
 
 
-def _outcomes(spark, sf_dir):
-    crossed = _crossings(spark, sf_dir).where("status = 'crossed'")
+def _outcomes(spark, sf_dir, crossings=None):
+    found = crossings if crossings is not None else stage(_crossings(spark, sf_dir), "crossings")
+    crossed = found.where("status = 'crossed'")
     # The sample covers one month, so a re-entry counts a week after the crossing.
     later = asof.first_after(
         crossed.withColumn("_from", F.date_add("crossing_date", 7)), additions(spark, sf_dir), "ticker",

@@ -62,11 +62,11 @@ fifo AS (
   FROM sells x JOIN buys b ON b.parent_ticker = x.parent_ticker AND b.t = x.t
    AND b.lo < x.c AND b.hi > x.c_prev
 ),
-taken AS (SELECT parent_ticker, t, period_end, """ + msum("qty * lot_px") + """ AS m, min(opened) AS oldest
+taken AS (SELECT parent_ticker, t, period_end, sum(CAST(floor(qty * lot_px * 10000.0 + 0.5) AS HUGEINT)) AS m, min(opened) AS oldest
           FROM fifo GROUP BY parent_ticker, t, period_end),
 avg_rows AS (
-  SELECT x.*, k.oldest, coalesce(sum(k.m) OVER (PARTITION BY x.parent_ticker, x.t ORDER BY x.period_end
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS used
+  SELECT x.*, k.oldest, CAST(coalesce(sum(k.m) OVER (PARTITION BY x.parent_ticker, x.t ORDER BY x.period_end
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) / 10000.0 AS used
   FROM sells x LEFT JOIN taken k ON k.parent_ticker = x.parent_ticker AND k.t = x.t AND k.period_end = x.period_end
 ),
 events AS (
@@ -96,12 +96,9 @@ def _realized(spark, sf_dir, method):
         "realized_pnl_est", "lot_opened_period", "holding_periods")
 
 
-# Running sums of the used cost are doubles in the oracle, so the average price is rounded there.
-@query("realized_avg", f"""WITH {MIXED}, {EVENTS}
-SELECT parent_ticker, period_end, t AS investee_ticker, shares_sold, round(cost_px, 4) AS cost_px, exit_px,
-       opened AS lot_opened_period, {_QUARTERS} AS holding_periods FROM events WHERE method = 'avg'""")
+@query("realized_avg", _realized_sql("avg"))
 def realized_avg(spark, sf_dir):
-    return _realized(spark, sf_dir, "avg").withColumn("cost_px", F.round("cost_px", 4)).drop("realized_pnl_est")
+    return _realized(spark, sf_dir, "avg")
 
 
 @query("realized_fifo", _realized_sql("fifo"))
