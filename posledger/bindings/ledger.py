@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from posledger.bindings.registry import query
 from posledger.bindings.views import (
-    HIST, POS, cents, ledger, periods, positions, qend, snapshot_rows, sql_cents, suppliers, table,
+    HIST, POS, cents, ledger, owned_lines, periods, positions, qend, snapshot_rows, sql_cents,
+    table,
 )
 from posledger.functions.dates import quarter_end
 from posledger.operators import ledger as ops, merge, snapshots
@@ -191,9 +192,7 @@ SELECT parent_ticker, investee_ticker,
 FROM flagged GROUP BY ALL""")
 def merge_live(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    rows = line.join(suppliers(spark, sf_dir), line.l_suppkey == F.col("s_suppkey")).join(
-        part, line.l_partkey == F.col("p_partkey")).groupBy(
+    rows = owned_lines(spark, sf_dir, line).groupBy(
         F.col("n_name").alias("parent_ticker"), F.col("p_brand").alias("investee_ticker"), "l_returnflag",
     ).agg(F.sum("l_quantity").alias("shares_held"), cents("l_extendedprice").alias("v"))
     none = F.lit(None).cast("double")
@@ -246,9 +245,7 @@ WHERE abs(value_a - value_b) > 50000
   AND abs(value_a - value_b) / greatest(abs(value_a), abs(value_b), 1.0) > 0.05""")
 def reconcile_sources(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    both = line.join(suppliers(spark, sf_dir), line.l_suppkey == F.col("s_suppkey")).join(
-        part, line.l_partkey == F.col("p_partkey")).groupBy(
+    both = owned_lines(spark, sf_dir, line).groupBy(
         F.col("n_name").alias("parent_ticker"), F.col("p_brand").alias("ticker"), "l_returnflag",
     ).agg(cents("l_extendedprice").alias("v"))
     a = both.where("l_returnflag = 'A'").select("parent_ticker", "ticker", F.col("v").alias("value_a"))
@@ -389,10 +386,8 @@ QUALIFY row_number() OVER (PARTITION BY parent_ticker, period_end, investee_tick
        WHEN f = undated THEN 1 ELSE 0 END DESC, vd DESC NULLS LAST, f DESC) = 1""")
 def notes_as_of(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     day = F.col("l_shipdate").cast("date")
-    notes = line.join(suppliers(spark, sf_dir), line.l_suppkey == F.col("s_suppkey")).join(
-        part, line.l_partkey == F.col("p_partkey")).groupBy(
+    notes = owned_lines(spark, sf_dir, line).groupBy(
         F.col("n_name").alias("parent_ticker"), F.col("p_brand").alias("investee_ticker"),
         F.trunc(day, "month").alias("filing_date"),
     ).agg(F.max(day).alias("value_date"), cents("l_extendedprice").alias("market_value_usd"))

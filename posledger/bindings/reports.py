@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from posledger.bindings.registry import query
 from posledger.bindings.views import (
-    HIST, cents, ledger, msum, sql_cents, suppliers, table,
+    HIST, cents, ledger, msum, owned_lines, sql_cents, table,
 )
 from posledger.functions.numbers import scrub_pct_as_shares
 from posledger.functions.valuation import apply_gaap_and_adjustment, lifo_adjustment
@@ -86,9 +86,10 @@ sized AS (SELECT investee_ticker, max(CASE WHEN period_end = (SELECT max(period_
 ranked AS (SELECT *, row_number() OVER (ORDER BY latest_value DESC NULLS LAST, max_value DESC, investee_ticker) AS series_rank FROM sized)"""
 
 
-@query("rank_series", f"WITH {_RANKED} SELECT * FROM ranked")
+@query("rank_series", f"WITH {_RANKED} SELECT * FROM ranked WHERE series_rank <= 20")
 def rank_series(spark, sf_dir):
-    return reporting.rank_series(reporting.portfolio_by_period(ledger(spark, sf_dir)), "market_value_usd")
+    return reporting.rank_series(
+        reporting.portfolio_by_period(ledger(spark, sf_dir)), "market_value_usd", top_n=20)
 
 
 @query("top_series", f"""WITH {HIST},
@@ -107,7 +108,7 @@ SELECT c.period_end, {', '.join(f"round(coalesce(max(CASE WHEN series_rank = {i}
 FROM cells c JOIN ranked r USING (investee_ticker) WHERE series_rank <= 8 GROUP BY ALL""")
 def pivot_stack(spark, sf_dir):
     long = stage(reporting.portfolio_by_period(ledger(spark, sf_dir)), "portfolio")
-    ranked = reporting.rank_series(long, "market_value_usd").where("series_rank <= 8")
+    ranked = reporting.rank_series(long, "market_value_usd", top_n=8)
     named = long.join(ranked.select("investee_ticker", "series_rank"), "investee_ticker").withColumn(
         "investee_ticker", F.concat(F.lit("s"), F.col("series_rank").cast("string")))
     return reporting.pivot_stack(named, "market_value_usd", series=[f"s{i}" for i in range(1, 9)], exclude=())
@@ -122,9 +123,8 @@ SELECT series_id, investee_ticker, broker,
   {' + '.join(f"CASE WHEN max(CASE WHEN as_of = DATE '{y}-12-31' THEN stake END) IS NOT NULL THEN 1 ELSE 0 END" for y in range(1995, 2002))} AS n_vintages
 FROM s GROUP BY ALL""")
 def stake_wide(spark, sf_dir):
-    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    rows = line.join(suppliers(spark, sf_dir), line.l_suppkey == F.col("s_suppkey")).join(
-        part, line.l_partkey == F.col("p_partkey")).groupBy(
+    line = table(spark, sf_dir, "lineitem")
+    rows = owned_lines(spark, sf_dir, line).groupBy(
         F.col("n_name").alias("series_id"), F.col("p_brand").alias("investee_ticker"), F.col("l_returnflag").alias("broker"),
         F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31)).alias("as_of"),
     ).agg(F.sum("l_quantity").alias("ownership_pct"))
@@ -234,9 +234,8 @@ def lifo_adjust(spark, sf_dir):
 
 def _broker(spark, sf_dir):
     """Yearly published stakes of brands ending in 2 or 5."""
-    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return line.join(suppliers(spark, sf_dir), line.l_suppkey == F.col("s_suppkey")).join(
-        part, line.l_partkey == F.col("p_partkey")).where(F.col("p_brand").rlike("[25]$")).groupBy(
+    line = table(spark, sf_dir, "lineitem")
+    return owned_lines(spark, sf_dir, line).where(F.col("p_brand").rlike("[25]$")).groupBy(
         F.col("n_name").alias("parent_ticker"), F.col("p_brand").alias("investee_ticker"),
         F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31)).alias("as_of"),
     ).agg(F.max("l_quantity").alias("ownership_pct"), cents("l_extendedprice").alias("value_usd")).withColumns({
@@ -276,7 +275,7 @@ def _aggregate_rows(spark, sf_dir):
     """Year-end totals of every nation as listed (and, in even years, unlisted) aggregates."""
     line = table(spark, sf_dir, "lineitem")
     year_end = F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31))
-    totals = line.join(suppliers(spark, sf_dir), line.l_suppkey == F.col("s_suppkey")).groupBy(
+    totals = owned_lines(spark, sf_dir, line, brands=False).groupBy(
         F.col("n_name").alias("parent_ticker"), year_end.alias("period_end")).agg(cents("l_extendedprice").alias("v"))
     even = F.year("period_end") % 2 == 0
     bucket = F.when(even, F.lit("PRIV_HK_LISTED_INVESTEES_FV")).otherwise(F.lit("PRIV_HK_LISTED_ASSOCIATES"))

@@ -41,8 +41,8 @@ u AS (SELECT doc_id, gaps, hits, unnest(range(1, len(hits) + 1)) AS i FROM d)
 SELECT doc_id, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS lo,
        length(hits[i]) AS size FROM u""")
 def match_spans(spark, sf_dir):
-    spans = F.explode(text.match_spans("text", _NUMBER)).alias("s")
-    return table(spark, sf_dir, "documents").select("doc_id", spans).select(
+    spans = F.explode_outer(text.match_spans("text", _NUMBER)).alias("s")
+    return table(spark, sf_dir, "documents").select("doc_id", spans).where("s is not null").select(
         "doc_id", F.col("s.lo").cast("long").alias("lo"), (F.col("s.hi") - F.col("s.lo")).cast("long").alias("size"))
 
 
@@ -69,8 +69,8 @@ _LOW = "low AS (SELECT doc_id, text, lower(text) AS low, length(text) AS size FR
 @query("keyword_spans", f"""WITH {_LOW}, {_merged_sql('w', _KEYS)}
 SELECT doc_id, CAST(lo AS BIGINT) AS lo, CAST(hi AS BIGINT) AS hi FROM w""")
 def keyword_spans(spark, sf_dir):
-    spans = F.explode(text.keyword_spans("text", _KEYS, _WIDTH)).alias("s")
-    return table(spark, sf_dir, "documents").select("doc_id", spans).select(
+    spans = F.explode_outer(text.keyword_spans("text", _KEYS, _WIDTH)).alias("s")
+    return table(spark, sf_dir, "documents").select("doc_id", spans).where("s is not null").select(
         "doc_id", F.col("s.lo").cast("long").alias("lo"), F.col("s.hi").cast("long").alias("hi"))
 
 
@@ -92,8 +92,8 @@ def keyword_windows(spark, sf_dir):
 @query("extract_facts", r"""SELECT doc_id, unnest(regexp_extract_all(text, '(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})')) AS fact FROM documents""")
 def extract_facts(spark, sf_dir):
     pattern = r"(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})"
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(
-        F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("fact"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(
+        F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("fact")).where("fact is not null")
 
 
 # -- payloads ------------------------------------------------------------------------------------

@@ -6,14 +6,21 @@ Each view exists twice: as a DataFrame and as a SQL fragment for the oracles.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from posledger.functions.dates import quarter_end
 from posledger.operators.ledger import diff_snapshots
-from posledger.sources.tables import stage
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def cents(col: str):
@@ -21,33 +28,35 @@ def cents(col: str):
     return F.sum(F.floor(F.col(col) * 100.0 + 0.5)) / F.lit(100.0)
 
 
-def suppliers(spark, sf_dir) -> DataFrame:
-    s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    return s.join(n, s.s_nationkey == n.n_nationkey).select("s_suppkey", "n_name")
+def owned_lines(spark, sf_dir, line: DataFrame | None = None, brands: bool = True) -> DataFrame:
+    """Line items with the supplier's nation and, on demand, the brand.
+
+    Every build side is a base table, so its true size decides between broadcast and shuffle.
+    """
+    line = line if line is not None else table(spark, sf_dir, "lineitem")
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    rows = line.join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(
+        nation.select("n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
+    if not brands:
+        return rows
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
 
 
-def positions(spark, sf_dir, extra: tuple[str, ...] = (), line: DataFrame | None = None,
-              owners: DataFrame | None = None) -> DataFrame:
+def positions(spark, sf_dir, extra: tuple[str, ...] = (), line: DataFrame | None = None) -> DataFrame:
     """Supplier nation holds brands: shares are quantities, value is the extended price."""
-    line = line or table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    owners = owners or suppliers(spark, sf_dir)
-    joined = line.join(owners, line.l_suppkey == F.col("s_suppkey")).join(
-        part, line.l_partkey == F.col("p_partkey"))
-    return joined.groupBy(
+    return owned_lines(spark, sf_dir, line).groupBy(
         F.col("n_name").alias("parent_ticker"), F.col("p_brand").alias("investee_ticker"),
         quarter_end("l_shipdate").alias("period_end"), *extra,
     ).agg(F.sum("l_quantity").alias("shares_held"), cents("l_extendedprice").alias("market_value_usd"))
 
 
-def periods(spark, sf_dir, line: DataFrame | None = None, owners: DataFrame | None = None) -> DataFrame:
+def periods(spark, sf_dir, line: DataFrame | None = None) -> DataFrame:
     """Reporting periods of every nation (narrow scan, combined before the shuffle)."""
-    line = (line or table(spark, sf_dir, "lineitem")).select("l_suppkey", "l_shipdate")
-    q = quarter_end("l_shipdate")
-    owners = owners or suppliers(spark, sf_dir)
-    return line.join(owners, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        F.col("n_name").alias("parent_ticker"), q.alias("period_end")).distinct().withColumns({
-            "filing_date": F.col("period_end"), "accession_no": F.lit(None).cast("string")})
+    return owned_lines(spark, sf_dir, line, brands=False).select(
+        F.col("n_name").alias("parent_ticker"), quarter_end("l_shipdate").alias("period_end"),
+    ).distinct().withColumns({
+        "filing_date": F.col("period_end"), "accession_no": F.lit(None).cast("string")})
 
 
 def snapshot_rows(df: DataFrame) -> DataFrame:
@@ -57,15 +66,9 @@ def snapshot_rows(df: DataFrame) -> DataFrame:
 
 def ledger(spark, sf_dir) -> DataFrame:
     """Position history of all nations."""
-    line, owners = table(spark, sf_dir, "lineitem"), suppliers(spark, sf_dir)
+    line = table(spark, sf_dir, "lineitem")
     return diff_snapshots(
-        snapshot_rows(positions(spark, sf_dir, line=line, owners=owners)),
-        periods(spark, sf_dir, line, owners), unique=True)
-
-
-def staged_ledger(spark, sf_dir) -> DataFrame:
-    """The history written once, for queries that read it along several branches."""
-    return stage(ledger(spark, sf_dir), "ledger")
+        snapshot_rows(positions(spark, sf_dir, line=line)), periods(spark, sf_dir, line), unique=True)
 
 
 QEND = "CAST(date_trunc('quarter', {0}) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)"

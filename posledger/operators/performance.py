@@ -83,17 +83,17 @@ def realized_events(history: DataFrame) -> DataFrame:
     rows = rows.withColumn("mark", F.when(is_sale, F.col("c")).otherwise(F.col("a")))
 
     axis = Window.partitionBy("parent_ticker", "ticker").orderBy("mark", "seq")
-    ahead = axis.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    lot = F.first(F.when(~is_sale, F.struct(
+    # The next lot and the next sale from here on: running values read from the far end.
+    ahead = Window.partitionBy("parent_ticker", "ticker").orderBy(
+        F.col("mark").desc(), F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lot = F.last(F.when(~is_sale, F.struct(
         F.col("period_end").alias("opened"), F.col("unit_px").alias("px"))), ignorenulls=True).over(ahead)
-    sale = F.first(F.when(is_sale, F.struct(
+    sale = F.last(F.when(is_sale, F.struct(
         "seq", "period_end", "px", "split", "filing_url", "accession_no", "investee_name")),
         ignorenulls=True).over(ahead)
     eps = F.greatest(F.lit(_EPS), F.col("a") * 1e-12)
-    laid = rows.withColumns({
-        "qty": F.col("mark") - F.coalesce(F.lag("mark").over(axis), zero),
-        "lot": lot, "sale": sale,
-    })
+    laid = rows.withColumns({"lot": lot, "sale": sale}).withColumn(
+        "qty", F.col("mark") - F.coalesce(F.lag("mark").over(axis), zero))
     matched = (F.col("qty") > eps) & F.col("lot").isNotNull() & F.col("sale").isNotNull()
     laid = laid.withColumns({
         "matched": matched,
@@ -213,10 +213,12 @@ def _cells(history: DataFrame) -> DataFrame:
     )
 
 
-def _period_index(cells: DataFrame, value: str, name: str) -> DataFrame:
+def _neighbours(cells: DataFrame, value: str) -> DataFrame:
+    """Periods with any such value, with the period before and after, per parent (one row each)."""
     periods = cells.where(F.col(value).isNotNull()).select("parent_ticker", "period_end").distinct()
     w = Window.partitionBy("parent_ticker").orderBy("period_end")
-    return periods.select("parent_ticker", "period_end", F.row_number().over(w).alias(name))
+    return periods.select("parent_ticker", "period_end", F.lag("period_end").over(w).alias("period_before"),
+                          F.lead("period_end").over(w).alias("period_after"))
 
 
 def flows(history: DataFrame) -> DataFrame:
@@ -230,40 +232,46 @@ def flows(history: DataFrame) -> DataFrame:
 
 
 def _flows_from_cells(cells: DataFrame) -> DataFrame:
+    """One pass over the cells of each name; only the short list of periods is joined to it."""
     by_name = Window.partitionBy("parent_ticker", "ticker")
-    named = cells.where(F.col("ticker").isNotNull()).withColumn(
-        "share_based", F.max("has_shares").over(by_name))
-    shares = named.where(F.col("share_flow").isNotNull()).select(
-        "parent_ticker", "period_end", "ticker", F.col("share_flow").alias("flow"),
-        F.lit(0).alias("enters"), F.lit(0).alias("leaves"))
-
-    index = _period_index(named, "cover_mv", "_i")
-    w = by_name.orderBy("_i")
-    cover = named.where(~F.col("share_based") & F.col("cover_mv").isNotNull()).join(
-        index, ["parent_ticker", "period_end"]).withColumns({
-            "_before": F.lag("_i").over(w), "_next": F.lead("_i").over(w)})
-    enters = F.col("_before").isNull() | (F.col("_before") < F.col("_i") - 1)
-    leaves = F.col("_next").isNull() | (F.col("_next") > F.col("_i") + 1)
-    step = F.filter(F.array(
-        F.when(enters, F.struct(F.col("_i").alias("i"), F.col("cover_mv").alias("flow"),
-                                F.lit(1).alias("enters"), F.lit(0).alias("leaves"))),
-        F.when(leaves, F.struct((F.col("_i") + 1).alias("i"), (-F.col("cover_mv")).alias("flow"),
-                                F.lit(0).alias("enters"), F.lit(1).alias("leaves"))),
-    ), lambda s: s.isNotNull())
-    coverage = cover.select("parent_ticker", "ticker", F.explode(step).alias("s")).select(
-        "parent_ticker", "ticker", F.col("s.i").alias("_i"), "s.flow", "s.enters", "s.leaves",
-    ).join(index, ["parent_ticker", "_i"]).drop("_i")
-    both = Window.partitionBy("parent_ticker", "period_end")
-    coverage = coverage.withColumn(
-        "series_break", (F.max("enters").over(both) + F.max("leaves").over(both)) == 2)
-    coverage = coverage.select(
-        "parent_ticker", "period_end", "ticker",
-        F.when(~F.col("series_break"), F.col("flow")).alias("flow"), "series_break")
-    return shares.select("parent_ticker", "period_end", "ticker", "flow",
-                         F.lit(False).alias("series_break")).unionByName(coverage).groupBy(
-        "parent_ticker", "period_end", "ticker").agg(
-        F.coalesce(money_sum("flow"), F.lit(0.0)).alias("flow"),
-        F.max("series_break").alias("series_break"))
+    w = by_name.orderBy("period_end")
+    covered = F.when(F.col("cover_mv").isNotNull(), F.col("period_end"))
+    named = cells.where(F.col("ticker").isNotNull()).select(
+        "parent_ticker", "ticker", "period_end", "cover_mv", "share_flow",
+        F.max("has_shares").over(by_name).alias("share_based"),
+        F.last(covered, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.last(covered, ignorenulls=True).over(by_name.orderBy(F.col("period_end").desc()).rowsBetween(
+            Window.unboundedPreceding, -1)).alias("_after"))
+    index = _neighbours(cells.where(F.col("ticker").isNotNull()), "cover_mv")
+    rows = named.join(index, ["parent_ticker", "period_end"], "left")
+    value_only = ~F.col("share_based") & F.col("cover_mv").isNotNull()
+    enters = value_only & ~F.coalesce(F.col("_before") == F.col("period_before"), F.lit(False))
+    leaves = value_only & F.col("period_after").isNotNull() & ~F.coalesce(
+        F.col("_after") == F.col("period_after"), F.lit(False))
+
+    def move(when, period, amount, entered, left):
+        return F.when(when, F.struct(F.col(period).alias("period_end"), amount.alias("flow"),
+                                     F.lit(entered).alias("enters"), F.lit(left).alias("leaves")))
+
+    moves = F.filter(F.array(
+        move(F.col("share_flow").isNotNull(), "period_end", F.col("share_flow"), 0, 0),
+        move(enters, "period_end", F.col("cover_mv"), 1, 0),
+        move(leaves, "period_after", -F.col("cover_mv"), 0, 1),
+    ), lambda m: m.isNotNull())
+    spread = rows.select("parent_ticker", "ticker", F.explode_outer(moves).alias("m")).where(
+        F.col("m").isNotNull()).select("parent_ticker", "ticker", "m.*")
+    per_name = spread.groupBy("parent_ticker", "period_end", "ticker").agg(
+        money_sum(F.when(F.col("enters") + F.col("leaves") == 0, F.col("flow"))).alias("_shares"),
+        money_sum(F.when(F.col("enters") + F.col("leaves") == 1, F.col("flow"))).alias("_cover"),
+        F.max("enters").alias("enters"), F.max("leaves").alias("leaves"))
+    breaks = per_name.groupBy("parent_ticker", "period_end").agg(
+        ((F.max("enters") == 1) & (F.max("leaves") == 1)).alias("broken"))
+    zero = F.lit(0.0)
+    cover = F.when(F.col("broken"), zero).otherwise(F.coalesce("_cover", zero))
+    touched = F.col("enters") + F.col("leaves") > 0
+    return per_name.join(breaks, ["parent_ticker", "period_end"]).select(
+        "parent_ticker", "period_end", "ticker", (F.coalesce("_shares", zero) + cover).alias("flow"),
+        (F.col("broken") & touched).alias("series_break"))
 
 
 # -- returns -------------------------------------------------------------------------------------

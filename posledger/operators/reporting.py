@@ -73,10 +73,11 @@ def quarterly_locf(history: DataFrame, include_open_quarter: bool = False) -> Da
 
 
 def rank_series(long: DataFrame, value: str, by: Sequence[str] = (),
-                exclude: Sequence[str] = fixed.CHART_EXCLUDED_TICKERS) -> DataFrame:
+                exclude: Sequence[str] = fixed.CHART_EXCLUDED_TICKERS, top_n: int | None = None) -> DataFrame:
     """Names in chart order: by size in the latest period, then by their largest earlier value.
 
-    One row per name, so ranking never sorts the data itself.
+    One row per name, so ranking never sorts the data itself; with ``top_n`` every partition only
+    passes its own best names on.
     """
     rows = long.where(~F.upper("investee_ticker").isin(*exclude)) if exclude else long
     cells = rows.groupBy(*by, "period_end", "investee_ticker").agg(money_sum(value).alias("_v"))
@@ -85,15 +86,16 @@ def rank_series(long: DataFrame, value: str, by: Sequence[str] = (),
     per_name = marked.groupBy(*by, "investee_ticker").agg(
         F.max(F.when(F.col("period_end") == F.col("_latest"), F.col("_v"))).alias("latest_value"),
         F.max("_v").alias("max_value"))
-    w = Window.partitionBy(*by).orderBy(
-        F.col("latest_value").desc_nulls_last(), F.col("max_value").desc(), "investee_ticker")
-    return per_name.withColumn("series_rank", F.row_number().over(w))
+    order = [F.col("latest_value").desc_nulls_last(), F.col("max_value").desc(), F.col("investee_ticker")]
+    if not by and top_n is not None:
+        per_name = per_name.orderBy(*order).limit(top_n)
+    ranked = per_name.withColumn("series_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return ranked if top_n is None else ranked.where(F.col("series_rank") <= top_n)
 
 
 def top_series(long: DataFrame, value: str, top_n: int, by: Sequence[str] = ("parent_ticker",)) -> DataFrame:
     """Rows of the ``top_n`` names by latest value."""
-    keep = rank_series(long, value, by).where(
-        F.col("latest_value").isNotNull() & (F.col("series_rank") <= top_n))
+    keep = rank_series(long, value, by, top_n=top_n).where(F.col("latest_value").isNotNull())
     return long.join(keep.select(*by, "investee_ticker", "series_rank"), [*by, "investee_ticker"])
 
 
@@ -106,9 +108,9 @@ def pivot_stack(long: DataFrame, value: str, top_n: int | None = None, series: S
     """
     rows = long.where(~F.upper("investee_ticker").isin(*exclude)) if exclude else long
     if series is None:
-        ranked = rank_series(long, value, exclude=exclude)
+        ranked = rank_series(long, value, exclude=exclude, top_n=top_n)
         if top_n is not None:
-            ranked = ranked.where(F.col("latest_value").isNotNull() & (F.col("series_rank") <= top_n))
+            ranked = ranked.where(F.col("latest_value").isNotNull())
         series = [r[0] for r in ranked.orderBy("series_rank").select("investee_ticker").collect()]
     names = list(series)
     wide = rows.where(F.col("investee_ticker").isin(names)).groupBy("period_end").pivot(

@@ -1,7 +1,8 @@
 """Text jobs over tables of raw filings: windows, cover pages, tables and notes.
 
 Everything stays inside one row of text, in JVM string and array functions: no shuffle, no Python,
-and one long filing is never more than one row of work.
+and one long filing is never more than one row of work. Arrays are exploded with the outer form, so
+the optimizer does not repeat the search in a pushed-down filter.
 """
 
 from __future__ import annotations
@@ -86,7 +87,11 @@ def keyword_spans(text, keywords: Sequence[str], width: int) -> Column:
     """Merged windows of ``width`` characters around literal, case-insensitive keyword hits."""
     source = _as_col(text)
     lower = F.lower(source)
-    hits = F.flatten(F.array(*[match_spans(lower, "\\Q" + k.lower() + "\\E") for k in keywords]))
+    none = F.array().cast(_SPANS)
+    # A plain substring test first: most texts lack most keywords.
+    hits = F.flatten(F.array(*[
+        F.when(lower.contains(k.lower()), match_spans(lower, "\\Q" + k.lower() + "\\E")).otherwise(none)
+        for k in keywords]))
     return merge_spans(_around(source, hits, width))
 
 
@@ -278,7 +283,8 @@ def extract_investments_table(df: DataFrame, body: str = "body",
     from_prose = F.when(header > 0, F.transform(
         F.regexp_extract_all(window, F.lit(row), F.lit(0)),
         lambda h: F.struct(_table_dates(window).alias("dates"), h.alias("hit"))))
-    rows = staged.select(*keep, F.posexplode(F.coalesce(F.when(F.size("_rows") > 0, F.col("_rows")), from_prose)).alias("_pos", "x"))
+    rows = staged.select(*keep, F.posexplode_outer(
+        F.coalesce(F.when(F.size("_rows") > 0, F.col("_rows")), from_prose)).alias("_pos", "x")).where(F.col("x").isNotNull())
     name = F.regexp_replace(F.trim(F.regexp_extract("x.hit", row, 1)), r"\s+", " ")
     symbol = F.create_map(*[F.lit(v) for pair in names for v in pair])[F.lower(name)]
     pairs = rows.select(*keep, "_pos", name.alias("investee_name"), symbol.alias("investee_ticker"), F.posexplode(F.array(
@@ -313,8 +319,9 @@ def extract_investment_notes(df: DataFrame, body: str = "body") -> DataFrame:
             F.lit(kind).alias("kind"), s["lo"].alias("lo"),
             F.substr(text, s["lo"] + 1, F.lit(size)).alias("window")))
 
-    found = staged.select(*keep, F.explode(F.concat(
-        hits(pat.INVESTMENT_IN, 900, "section"), hits(pat.NEWLY_ISSUED, 500, "issued"), hits(pat.WE_HELD, 400, "held"))).alias("h"))
+    found = staged.select(*keep, F.explode_outer(F.concat(
+        hits(pat.INVESTMENT_IN, 900, "section"), hits(pat.NEWLY_ISSUED, 500, "issued"), hits(pat.WE_HELD, 400, "held"),
+    )).alias("h")).where(F.col("h").isNotNull())
     window, kind = F.col("h.window"), F.col("h.kind")
     section = kind == "section"
     name = F.trim(F.regexp_extract(window, pat.INVESTMENT_IN, 1))
@@ -523,7 +530,7 @@ def reconstitution_rows(df: DataFrame, text: str = "text") -> DataFrame:
     """``COMPANY  TICKER  INDUSTRY`` lines of an index change list."""
     keep = [c for c in df.columns if c != text]
     hits = F.regexp_extract_all(F.col(text), F.lit(pat.RECONSTITUTION_ROW), F.lit(0))
-    rows = df.select(*keep, F.explode(hits).alias("_l"))
+    rows = df.select(*keep, F.explode_outer(hits).alias("_l")).where(F.col("_l").isNotNull())
     return rows.select(*keep, *[
         F.trim(F.regexp_extract("_l", pat.RECONSTITUTION_ROW, i)).alias(n)
         for i, n in enumerate(("company", "ticker", "industry"), 1)])

@@ -20,7 +20,7 @@ def report_tables(live: DataFrame, history: DataFrame, ciks: DataFrame, window_s
     rows = stage(reporting.normalized_keys(merge.coalesce_for_export(history)), "export")
     quality.enforce(quality.unique_period_ticker(rows))
     quality.enforce(quality.estimates_in_value(rows))
-    current = scrub_pct_as_shares(live)
+    current = stage(scrub_pct_as_shares(live), "current")
     quality.enforce(quality.pct_as_shares(current))
     quality.enforce(quality.estimates_in_value(current, "current"))
     shown = in_display_window(rows, window_start)

@@ -1,4 +1,8 @@
-"""Position history of all parents from landed filings (one lazy plan)."""
+"""Position history of all parents from landed filings.
+
+Intermediates that several branches read are written once to the shared folder: inputs are parsed
+once, plans stay small, and a lost executor costs a re-read instead of a re-computation.
+"""
 
 from __future__ import annotations
 
@@ -11,15 +15,16 @@ from posledger.operators.identity import drop_self_issuer, resolve_identity
 from posledger.schemas import HISTORY_SCHEMA, SNAPSHOT_SCHEMA, conform
 from posledger.sources import fixed_values as fixed
 from posledger.sources.filings import flatten_13f_json, parse_13f_json
+from posledger.sources.tables import stage
 
 
 def quarterly_snapshots(payloads: DataFrame, dims: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Snapshot rows and reporting periods from quarterly report payloads (parent_ticker, payload)."""
     reports = parse_13f_json(payloads)
-    chosen = snapshots.period_filings(reports)
-    rows = flatten_13f_json(chosen)
+    chosen = stage(snapshots.period_filings(reports), "reports")
+    rows = stage(flatten_13f_json(chosen), "holdings")
     named = resolve_identity(rows, dims["cusips"], dims["aliases"], dims["hints"])
-    return named, chosen.select("parent_ticker", "period_end", "filing_date", "accession_no")
+    return stage(named, "quarterly"), chosen.select("parent_ticker", "period_end", "filing_date", "accession_no")
 
 
 def ownership_events(filings: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -28,10 +33,10 @@ def ownership_events(filings: DataFrame, dims: dict[str, DataFrame]) -> DataFram
     parsed = text.extract_ownership_filing(filings.where(F.col("form").isin(*fixed.OWNERSHIP_FORMS)))
     rows = parsed.withColumnsRenamed({"issuer_name": "investee_name", "ticker": "investee_ticker"})
     foreign = drop_self_issuer(rows.where(F.col("investee_name").isNotNull()), dims["parent_hints"])
-    named = resolve_identity(foreign, dims["cusips"], dims["aliases"], dims["hints"])
+    named = resolve_identity(stage(foreign.drop("body"), "ownership"), dims["cusips"], dims["aliases"], dims["hints"])
     positions = text.ownership_positions(named)
-    return positions.withColumn("key", holding_key("investee_ticker", "cusip", "investee_name")).where(
-        F.col("key").isNotNull())
+    return stage(positions.withColumn("key", holding_key("investee_ticker", "cusip", "investee_name")).where(
+        F.col("key").isNotNull()), "amendments")
 
 
 def note_snapshots(filings: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -41,10 +46,10 @@ def note_snapshots(filings: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     notes = text.extract_investment_notes(base).withColumns({
         "investee_ticker": F.lit(None).cast("string"), "as_of_date": F.col("filing_date"), "cusip": F.lit(None).cast("string")})
     tables = text.extract_investments_table(base).withColumn("cusip", F.lit(None).cast("string"))
-    both = notes.unionByName(tables, allowMissingColumns=True)
+    both = stage(notes.unionByName(tables, allowMissingColumns=True), "note-facts")
     named = resolve_identity(both, dims["cusips"], dims["aliases"], dims["hints"])
     positions = text.note_positions(named).withColumn("as_of_accession_no", F.col("accession_no"))
-    return conform(positions, SNAPSHOT_SCHEMA)
+    return stage(conform(positions, SNAPSHOT_SCHEMA), "notes")
 
 
 def exit_event_table(events: DataFrame) -> DataFrame:
@@ -79,17 +84,17 @@ def build_history(quarterly: DataFrame, periods: DataFrame, events: DataFrame, n
 
     main = quarterly.join(inside.select("parent_ticker", "period_end"), ["parent_ticker", "period_end"], "left_semi")
     parts = [conform(df, SNAPSHOT_SCHEMA).drop("filing_date", "accession_no") for df in (main, held, fresh)]
-    merged = merge.merge_sources(parts)
+    merged = stage(merge.merge_sources(parts), "merged")
     dated = merged.join(inside, ["parent_ticker", "period_end"])
     rows = conform(dated, SNAPSHOT_SCHEMA).unionByName(conform(pre_rows, SNAPSHOT_SCHEMA))
     all_periods = inside.unionByName(pre_periods)
 
     lonely = recent.join(inside.select("parent_ticker").distinct(), "parent_ticker", "left_anti")
     own_rows, own_periods = ownership_grid(lonely)
-    history = ledger.diff_snapshots(
-        rows.unionByName(own_rows), all_periods.unionByName(own_periods), unique=False)
+    history = stage(ledger.diff_snapshots(
+        rows.unionByName(own_rows), all_periods.unionByName(own_periods)), "difference")
     clean = ledger.normalize_export_rows(merge.coalesce_for_export(merge.coalesce_survivors(history)))
-    return snapshots.stamp_truncated(stamp_urls(clean, ciks), truncated)
+    return stage(snapshots.stamp_truncated(stamp_urls(clean, ciks), truncated), "history")
 
 
 def ownership_grid(events: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -114,20 +119,22 @@ def build_aggregate_history(events: DataFrame, annual: DataFrame, stakes: DataFr
     delisting, aggregates, composition, broker values and filing-date marks."""
     rows_in = events if window_start is None else events.where(F.col("filing_date") >= F.lit(window_start).cast("date"))
     rows, periods = ownership_grid(rows_in)
+    rows = stage(rows, "running")
     kept, late_exits = ledger.apply_exit_cutoffs(rows, cutoffs)
     explicit = exit_event_table(rows_in)
     exits = explicit.withColumn("note", F.lit(None).cast("string")).unionByName(
         late_exits.join(explicit.select("investee_ticker"), "investee_ticker", "left_anti"))
-    history = merge.coalesce_for_export(ledger.diff_snapshots(kept, periods, exits))
+    difference = stage(ledger.diff_snapshots(kept, periods, exits), "difference")
+    history = merge.coalesce_for_export(difference)
     aggregates = text.annual_history_rows(annual)
     if window_start is not None:
         aggregates = aggregates.where(F.col("period_end") >= F.lit(window_start).cast("date"))
-    full = history.unionByName(conform(aggregates, HISTORY_SCHEMA))
-    stamped = valuation.stamp_composition(full)
-    overlaid = valuation.overlay_values(stamped, stakes)
-    final = valuation.finalize_composition(valuation.stamp_composition(overlaid))
+    full = stage(history.unionByName(conform(aggregates, HISTORY_SCHEMA)), "with-aggregates")
+    stamped = stage(valuation.stamp_composition(full), "stamped")
+    overlaid = stage(valuation.overlay_values(stamped, stakes), "overlaid")
+    final = stage(valuation.finalize_composition(valuation.stamp_composition(overlaid)), "restamped")
     marked = valuation.filing_marks(final, prices)
-    return stamp_urls(conform(marked, HISTORY_SCHEMA), ciks)
+    return stage(stamp_urls(conform(marked, HISTORY_SCHEMA), ciks), "history")
 
 
 def window_of(as_of, years: int):

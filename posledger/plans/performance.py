@@ -18,6 +18,8 @@ def performance_frames(history: DataFrame, income: DataFrame | None = None, stag
     if staged:
         events = stage(events, "realized")
     returns = perf.portfolio_returns(rows, events)
+    if staged:
+        returns = stage(returns, "returns")
     frames = {
         "returns_by_period": returns,
         "realized_pnl_qoq": events,

@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from posledger.operators import merge, quality
+from posledger.sources.tables import stage
 
 
 def mechanical_precheck(history: DataFrame, dims: dict[str, DataFrame], portfolio: DataFrame | None = None,
                         anchors: DataFrame | None = None) -> DataFrame:
     """Findings of all mechanical checks; ``anchors`` are known values of single parents."""
-    rows = merge.coalesce_for_export(history)
+    rows = stage(merge.coalesce_for_export(history), "checked")
     checks = [
         quality.unique_period_ticker(rows), quality.invented_pricing(rows),
         quality.ownership_as_value_source(rows), quality.false_exit(rows),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from posledger.operators import screening
 from posledger.schemas import BUYBACK_SCHEMA, DESCRIPTION_SCHEMA, LIFO_SCHEMA, OWNERSHIP_SCHEMA
-from posledger.sources.tables import latest_per_key
+from posledger.sources.tables import latest_per_key, stage
 
 # Columns each enrichment contributes.
 LIFO_COLUMNS = ("accounting_basis", "method", "lifo_reserve_disclosed", "lifo_reserve_usd", "method_change_disclosed",
@@ -108,7 +108,7 @@ def run_backtest(deletions: DataFrame, additions: DataFrame, prices: DataFrame,
                  as_of, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Crossings of the deletions not done yet, and the outcome of all profitable crossers."""
     todo = deletions if done is None else screening.pending(deletions, done, ["ticker", "deletion_date"])
-    fresh = screening.first_crossing(todo, prices, book, earnings)
+    fresh = stage(screening.first_crossing(todo, prices, book, earnings), "crossings")
     crossings = fresh if done is None else done.unionByName(fresh, allowMissingColumns=True)
     crossed = crossings.where(F.col("status") == "crossed")
     joined = screening.attach_reentry(crossed, screening.reentry_dates(crossings, additions))

@@ -1,7 +1,8 @@
 """Flatteners for landed payloads: fundamentals, facts, quarterly reports, ownership forms, catalogs.
 
 Payloads arrive as one text column per row. They are parsed with explicit schemas, so only the
-declared fields are materialised.
+declared fields are materialised. Arrays are exploded with the outer form and filtered afterwards:
+the plain form makes the optimizer repeat the parse in a pushed-down filter.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def flatten_fundamentals(raw: DataFrame, statement: str, key: str = "ticker",
         return F.when(known, records)
 
     records = F.coalesce(*[useful(m) for m in (flat, nested, section, quarterly, bare)])
-    rows = raw.select(key, F.explode(F.map_values(records)).alias("r"))
+    rows = raw.select(key, F.explode_outer(F.map_values(records)).alias("r")).where(F.col("r").isNotNull())
     period = iso_date("r.date")
     return rows.select(
         key, period.alias("period_end"), F.coalesce(iso_date("r.filing_date"), period).alias("filed"),
@@ -108,9 +109,9 @@ def flatten_facts(raw: DataFrame, tags: Sequence[tuple[str, str]], unit: str, ke
         o["tag"].alias("tag"), F.filter(o["rows"], lambda r: r["end"].isNotNull()
                                         & r["filed"].isNotNull() & r["val"].isNotNull()).alias("rows")))
     chosen = F.filter(complete, lambda o: F.size(o["rows"]) > 0)
-    first = raw.select(key, F.when(F.size(chosen) > 0, chosen[0]).alias("c")).where(F.col("c").isNotNull())
-    return first.select(key, F.col("c.tag").alias("tag"), F.posexplode("c.rows").alias("pos", "r")).select(
-        key, "tag", "pos", "r.end", "r.filed", "r.val")
+    first = raw.select(key, F.get(chosen, F.lit(0)).alias("c"))
+    return first.select(key, F.col("c.tag").alias("tag"), F.posexplode_outer("c.rows").alias("pos", "r")).where(
+        F.col("r").isNotNull()).select(key, "tag", "pos", "r.end", "r.filed", "r.val")
 
 
 def book_series_from_facts(raw: DataFrame, key: str = "ticker", payload: str = "payload",
@@ -153,7 +154,7 @@ def flatten_13f_xml(raw: DataFrame, body: str = "body") -> DataFrame:
     plain = F.regexp_replace(F.col(body), r"(</?)[A-Za-z0-9_.-]+:", "$1")
     rows = F.from_xml(plain, _INFO_TABLE, {"mode": "PERMISSIVE"})["infoTable"]
     keep = [c for c in raw.columns if c != body]
-    flat = raw.select(*keep, F.explode(rows).alias("h"))
+    flat = raw.select(*keep, F.explode_outer(rows).alias("h"))
     put_call = F.upper(F.trim(F.coalesce("h.putCall", F.lit(""))))
     name = F.trim(F.col("h.nameOfIssuer"))
     shares = F.nullif(digits_number("h.shrsOrPrnAmt.sshPrnamt"), F.lit(0.0))
@@ -187,7 +188,7 @@ def parse_13f_json(raw: DataFrame, payload: str = "payload") -> DataFrame:
 def flatten_13f_json(reports: DataFrame) -> DataFrame:
     """One row per share position; values are dollars, non-positive values are unknown."""
     keep = [c for c in reports.columns if c != "holdings"]
-    flat = reports.select(*keep, F.explode("holdings").alias("h"))
+    flat = reports.select(*keep, F.explode_outer("holdings").alias("h"))
     name = F.trim(F.coalesce("h.nameOfIssuer", F.lit("")))
     put_call = F.upper(F.trim(F.coalesce("h.putCall", F.lit(""))))
     plain = is_share_position(

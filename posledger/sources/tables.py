@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from posledger.schemas import conform
 
@@ -97,8 +97,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def first_seen_rank(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Distinct keys ranked by their first appearance."""
-    firsts = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
-    return firsts.withColumn("first_rank", F.row_number().over(Window.orderBy("_first", key)))

@@ -6,10 +6,10 @@ from pyspark.sql import SparkSession
 def spark():
     session = (
         SparkSession.builder.master("local[4]").appName("posledger-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "4g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .getOrCreate()
     )
