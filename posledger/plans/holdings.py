@@ -64,7 +64,8 @@ def holdings_universe(parents: DataFrame, holdings: DataFrame, allow: DataFrame
         (F.col("as_of") if "as_of" in asked.columns else F.lit(None).cast("date")).alias("as_of_date"))
     mine = holdings.join(keyed.select("parent_ticker").distinct(), "parent_ticker", "left_semi")
     seen = mine.groupBy("parent_ticker").agg(
-        F.max("as_of_date").alias("_last"), F.max_by("as_of_accession_no", "as_of_date").alias("accession_no"))
+        F.max("as_of_date").alias("_last"),
+        F.max_by("as_of_accession_no", F.when(F.col("as_of_accession_no").isNotNull(), F.col("as_of_date"))).alias("accession_no"))
     rolled = valuation.rollup_parent(mine, keyed)
     rows = rolled.join(keyed.select("parent_ticker", "as_of_date"), "parent_ticker").join(seen, "parent_ticker", "left")
     error = F.when(F.col("holdings_count") == 0, F.lit("no holdings from 13F/13G/notes"))
