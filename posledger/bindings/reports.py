@@ -433,15 +433,17 @@ def resolve_identity(spark, sf_dir):
 
 @query("drop_self_issuer", """SELECT s_suppkey, s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
 WHERE NOT contains(lower(s_name || ' of ' || n_name), CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) ELSE 'zzz' || n_nationkey END)
-  AND NOT ends_with(s_name, '9')""")
+  AND NOT contains(lower(s_name), '#00000000' || (n_nationkey % 10))""")
 def drop_self_issuer(spark, sf_dir):
     s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    number = F.col("n_nationkey").cast("string")
+    parent = F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(F.concat(F.lit("zzz"), number))
     rows = s.join(n, s.s_nationkey == n.n_nationkey).select(
         "s_suppkey", "s_name", F.concat("s_name", F.lit(" of "), "n_name").alias("investee_name"),
-        F.lit(None).cast("string").alias("investee_ticker"),
-        F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).otherwise(
-            F.concat(F.lit("zzz"), F.col("n_nationkey").cast("string"))).alias("parent_ticker"))
-    hints = rows.where(F.col("s_name").endswith("9")).select("parent_ticker", F.lower("s_name").alias("hint"))
+        F.lit(None).cast("string").alias("investee_ticker"), parent.alias("parent_ticker"))
+    # One further name fragment per parent, so the hint table stays as small as the parents.
+    hints = n.select(parent.alias("parent_ticker"), F.concat(
+        F.lit("#00000000"), (F.col("n_nationkey") % 10).cast("string")).alias("hint"))
     return identity.drop_self_issuer(rows, hints).select("s_suppkey", "s_name")
 
 

@@ -9,6 +9,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .getOrCreate()
