@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -77,13 +76,12 @@ def read_jsonl_latest(spark: SparkSession, paths: str | Sequence[str], schema: T
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is configured."""
+    """The cluster's shared checkpoint folder; staged tables must be visible to every executor."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir")
     if not folder:
-        folder = tempfile.mkdtemp(prefix="posledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

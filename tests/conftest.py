@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -11,6 +13,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="posledger-tests-"))
         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .getOrCreate()
     )
