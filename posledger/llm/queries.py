@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posledger.llm import exact_dedup, mixing, packing, quality_rules, simhash
+from posledger.llm import exact_dedup, lm_scoring, mixing, packing, quality_rules, simhash
 from posledger.llm.common import read_table
 from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL
 
@@ -41,6 +41,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@_query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
