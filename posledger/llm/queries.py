@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posledger.llm import exact_dedup, lm_scoring, mixing, packing, quality_rules, simhash
+from posledger.llm import exact_dedup, lm_scoring, mixing, packing, quality_rules, secrets, simhash
 from posledger.llm.common import read_table
 from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL
 
@@ -41,6 +41,18 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@_query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "format")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    listed = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
+
+
 @_query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
