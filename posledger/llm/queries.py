@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posledger.llm import exact_dedup, lm_scoring, mixing, packing, quality_rules, secrets, simhash
+from posledger.llm import exact_dedup, lm_scoring, mixing, packing, quality_rules, secrets, simhash, warc
 from posledger.llm.common import read_table
 from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL
 
@@ -41,6 +41,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(read_table(spark, sf_dir, "pages"), warc.new_folder(spark))
+    records = warc.read_archives(spark, archives, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
 @_query
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
