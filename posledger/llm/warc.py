@@ -40,7 +40,7 @@ from posledger.sources.tables import shared_folder, stage
 DICTIONARY_MAGIC = 0x184D2A5D
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-TRAIN_BYTES = 4 << 20
+TRAIN_BYTES = 1 << 20
 DICTIONARY_BYTES = 64 << 10
 ARCHIVE_BYTES = 64 << 20
 LEVEL = 3
