@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posledger.llm import exact_dedup, lm_scoring, mixing, packing, quality_rules, secrets, simhash, warc
+from posledger.llm import exact_dedup, html_extraction, lm_scoring, mixing, packing, quality_rules, secrets, simhash, warc
 from posledger.llm.common import read_table
 from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL
 
@@ -60,6 +60,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
 
 
+@_query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_extraction.extract(read_table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @_query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
