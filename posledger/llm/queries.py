@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posledger.llm import exact_dedup, html_extraction, lm_scoring, mixing, packing, quality_rules, secrets, simhash, warc
+from posledger.llm import chat_format, exact_dedup, html_extraction, lm_scoring, mixing, packing, quality_rules, secrets, simhash, warc
 from posledger.llm.common import read_table
 from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL
 
@@ -71,6 +71,11 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.repair(read_table(spark, sf_dir, "conversations"))
+
+
 @_query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False).drop("ids")
