@@ -126,7 +126,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
         frame, dictionary = dictionary_frame(first)
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)
         name, count, size = f"{uuid.uuid4().hex}.warc.zst", 0, len(frame)
-        with store.open_output_stream(f"{root}/{name}") as out:
+        with store.open_output_stream(f"{root}/{name}", compression=None) as out:
             out.write(frame)
             for r in chain(first, source):
                 packed = compressor.compress(r)
@@ -267,7 +267,7 @@ def _read(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.Reco
     for batch in batches:
         for path in batch.column(0).to_pylist():
             store, root = _open(path)
-            with store.open_input_stream(root) as stream:
+            with store.open_input_stream(root, compression=None) as stream:
                 source = frames(stream)
                 while True:
                     try:
