@@ -7,7 +7,7 @@ bits, the bucket (binary logarithm of the length), the number of the task that c
 buckets are contiguous in id order and no pass over all rows is needed to number them.
 
 Ids: the tokenizer's without special tokens, then the end id. The pre-tokenizer of a word-based vocabulary never
-joins characters across white space, so words are encoded once per task and kept in a memo of bounded size.
+joins characters across white space, so words are encoded once and kept in a memo of bounded size.
 
 Defined results: a null or empty text is the end id alone. Repeated rows are packed once each. Texts are cut whole.
 Extra columns are ignored; the output names are fixed. A null doc_id is carried as null.
@@ -15,10 +15,11 @@ Extra columns are ignored; the output names are fixed. A null doc_id is carried
 
 from __future__ import annotations
 
+import json
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,11 @@ from posledger.llm.common import text_of
 
 CAPACITY = 4096
 END_ID = 2
-MEMO = 400_000
+END = struct.pack("<I", END_ID)
+MEMO = 600_000
+#: Latin, Greek and Cyrillic letters, known as such to any Unicode version; the rest goes the whole way.
+LAST_LETTER = "\u052f"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SCHEMA = ("doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 ARROW = pa.schema([
@@ -40,23 +45,81 @@ OUT = 2000
 
 
 class WordIds(dict):
-    """Ids of white-space separated words, encoded at first sight; emptied when it has ``MEMO`` words."""
+    """Ids of white-space separated words, as little-endian bytes, encoded at first sight.
+
+    Words of letters go straight to the vocabulary's merges, words of letters and final punctuation are put together from
+    the two, all others take the tokenizer's whole way. Two generations of at most ``MEMO`` words bound the memory: a full
+    one becomes the old one, and words found there move to the new one.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         super().__init__()
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> list[int]:
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.merges = BPE(model["vocab"], merges, cache_capacity=0, end_of_word_suffix=model["end_of_word_suffix"])
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._encoded(word)
         if len(self) >= MEMO:
+            self.old = dict(self)
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         self[word] = ids
         return ids
 
-    def encode(self, text: bytes) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, text.split())))
+    def _encoded(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():
+            return self._letters(word)
+        text = word.decode("utf-8", "replace")
+        bare = text.rstrip(MARKS)
+        if _is_word(bare):
+            if bare != text:
+                return self[bare.encode()] + self[text[len(bare):].encode()]
+            normal = self.tokenizer.normalizer.normalize_str(text)
+            if _is_word(normal):
+                return self._letters(normal.encode())
+        return _bytes_of(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _letters(self, letters: bytes) -> bytes:
+        return _bytes_of([t.id for t in self.merges.tokenize("".join(map(BYTE_LETTERS.__getitem__, letters)))])
+
+    def encode(self, text: bytes) -> bytes:
+        # Lower-casing first halves the words seen; texts that may hold special tokens are left as they are.
+        folded = text if b"<|" in text else text.lower()
+        return b"".join(map(self.__getitem__, folded.split()))
+
+
+def _is_word(text: str) -> bool:
+    return text.isalpha() and max(text) <= LAST_LETTER
+
+
+def _bytes_of(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if printable, else one after 255."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (chr(256 + i) for i in range(256))
+    return [chr(b) if b in printable else next(others) for b in range(256)]
+
+
+BYTE_LETTERS = _byte_letters()
+_memos: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The memo of this Python worker, which outlives a task."""
+    if path not in _memos:
+        _memos[path] = WordIds(path)
+    return _memos[path]
 
 
 def pieces(n: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:
@@ -70,7 +133,7 @@ def pieces(n: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    words, task, running, rows = WordIds(path), TaskContext.get().partitionId(), {}, []
+    words, task, running, rows = word_ids(path), TaskContext.get().partitionId(), {}, []
 
     def flushed() -> pa.RecordBatch:
         columns = list(zip(*rows)) or [()] * len(ARROW)
@@ -79,14 +142,14 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, with_ids:
 
     for batch in batches:
         for doc_id, text in zip(batch.column(0), batch.column(1)):
-            ids = np.array([*words.encode(text.as_py()), END_ID], dtype="<u4")
-            for start, length in pieces(len(ids), capacity):
-                cut = ids[start:start + length]
+            ids = words.encode(text.as_py()) + END
+            n = len(ids) // 4
+            for start, length in pieces(n, capacity):
+                cut = ids[4 * start:4 * (start + length)]
                 bucket = length.bit_length() - 1
                 nr = running[bucket] = running.get(bucket, -1) + 1
-                sequence = bucket << 57 | task << 33 | nr
-                rows.append((doc_id.as_py(), start, length, cut.view(np.int32) if with_ids else None,
-                             zlib.crc32(cut.tobytes()), len(ids), sequence, 0))
+                rows.append((doc_id.as_py(), start, length, np.frombuffer(cut, "<i4") if with_ids else None,
+                             zlib.crc32(cut), n, bucket << 57 | task << 33 | nr, 0))
             if len(rows) >= OUT:
                 yield flushed()
     yield flushed()

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from posledger.llm import mixing, packing, quality_rules
 from posledger.llm.queries import tokenizer_path
@@ -158,6 +159,9 @@ def tokenizer():
     return Tokenizer.from_file(tokenizer_path())
 
 
+whole = tokenizer()
+
+
 def test_pieces_are_binary():
     for n in (1, 2, 3, 4095, 4096, 4097, 12345):
         cut = list(packing.pieces(n))
@@ -190,8 +194,16 @@ def test_packed_ids_round_trip(spark):
 def test_memo_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "MEMO", 3)
     memo = packing.WordIds(tokenizer_path())
-    text = "a b c d e f a b c"
-    assert memo.encode(text.encode()) == tokenizer().encode(text, add_special_tokens=False).ids and len(memo) <= 3
+    text = "a b c d e f a b c a"
+    ids = np.frombuffer(memo.encode(text.encode()), "<u4").tolist()
+    assert ids == tokenizer().encode(text, add_special_tokens=False).ids and len(memo) <= 3 and len(memo.old) <= 3
+
+
+@given(st.text(st.one_of(st.sampled_from("aeéÉßσΣ' .,!<|>\u0301\u0338\u00a0\u2026İ"), st.characters(codec="utf-8")), max_size=40))
+@settings(max_examples=1500, deadline=None)
+def test_words_encode_as_the_whole_text_does(text):
+    ids = np.frombuffer(packing.word_ids(tokenizer_path()).encode(text.encode()), "<u4").tolist()
+    assert ids == whole.encode(text, add_special_tokens=False).ids
 
 
 def test_pack_nothing(spark):
