@@ -449,14 +449,51 @@ def exit_cutoffs(spark, sf_dir):
         "parent_ticker", "investee_ticker", "period_end", "shares_held")
 
 
-@query("exit_events", f"""WITH {POS},
-cut AS (SELECT DISTINCT p_brand AS investee_ticker,
-               CAST(make_date(1996 + CAST(right(p_brand, 1) AS INTEGER) % 5, 6, 30) AS DATE) AS cutoff FROM part)
-SELECT upper(investee_ticker) AS investee_ticker, min(period_end) AS filing_date,
+_CUTS = """cut AS (SELECT DISTINCT p_brand AS investee_ticker,
+               CAST(make_date(1996 + CAST(right(p_brand, 1) AS INTEGER) % 5, 6, 30) AS DATE) AS cutoff FROM part)"""
+
+
+def _cuts(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(F.col("p_brand").alias("investee_ticker")).distinct().withColumn(
+        "cutoff", F.make_date(F.lit(1996) + F.substring("investee_ticker", -1, 1).cast("int") % 5, F.lit(6), F.lit(30)))
+
+
+def _filed(spark, sf_dir):
+    """Snapshot rows and periods in which every parent files each period under its own number."""
+    number = F.concat_ws("-", "parent_ticker", F.col("period_end").cast("string"))
+    rows = snapshot_rows(positions(spark, sf_dir)).withColumns({
+        "accession_no": number, "filing_date": F.col("period_end"), "note": F.lit("source=13g")})
+    return rows, rows.select("parent_ticker", "period_end", "filing_date", "accession_no").distinct()
+
+
+@query("exit_events", f"""WITH {POS}, {_CUTS}
+SELECT parent_ticker, upper(investee_ticker) AS investee_ticker, min(period_end) AS filing_date,
+       parent_ticker || '-' || CAST(min(period_end) AS VARCHAR) AS accession,
        'exit_reason=mna_acquired; mna_as_of=' || CAST(cutoff AS VARCHAR) AS note
-FROM pos JOIN cut USING (investee_ticker) WHERE period_end > cutoff GROUP BY investee_ticker, cutoff""")
+FROM pos JOIN cut USING (investee_ticker) WHERE period_end > cutoff GROUP BY parent_ticker, investee_ticker, cutoff""")
 def exit_events(spark, sf_dir):
-    cuts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("investee_ticker")).distinct().withColumn(
-        "cutoff", F.make_date(F.lit(1996) + F.substring("investee_ticker", -1, 1).cast("int") % 5, F.lit(6), F.lit(30)))
-    rows = snapshot_rows(positions(spark, sf_dir)).withColumn("accession_no", F.lit("x"))
-    return ops.apply_exit_cutoffs(rows, cuts)[1].select("investee_ticker", "filing_date", "note")
+    rows, _ = _filed(spark, sf_dir)
+    return ops.apply_exit_cutoffs(rows, _cuts(spark, sf_dir))[1]
+
+
+@query("exit_provenance", f"""WITH {POS}, {_CUTS},
+late AS (SELECT parent_ticker, upper(investee_ticker) AS t, min(period_end) AS gone, cutoff
+         FROM pos JOIN cut USING (investee_ticker) WHERE period_end > cutoff GROUP BY parent_ticker, investee_ticker, cutoff),
+seen AS (SELECT parent_ticker, upper(investee_ticker) AS t, max(period_end) AS last_held
+         FROM pos JOIN cut USING (investee_ticker) WHERE period_end <= cutoff GROUP BY ALL),
+grid AS (SELECT DISTINCT parent_ticker, period_end FROM pos),
+after AS (SELECT s.parent_ticker, s.t, min(g.period_end) AS period_end
+          FROM seen s JOIN grid g ON g.parent_ticker = s.parent_ticker AND g.period_end > s.last_held GROUP BY ALL)
+SELECT a.parent_ticker, a.t AS investee_ticker, a.period_end,
+       l.parent_ticker || '-' || CAST(l.gone AS VARCHAR) AS accession_no, l.gone AS filing_date
+FROM after a JOIN late l ON l.parent_ticker = a.parent_ticker AND l.t = a.t""")
+def exit_provenance(spark, sf_dir):
+    # Only the last exit of a name is followed: with gaps it has earlier ones, with the same document.
+    rows, grid = _filed(spark, sf_dir)
+    kept, exits = ops.apply_exit_cutoffs(rows, _cuts(spark, sf_dir))
+    out = ops.diff_snapshots(kept, grid, exits).where("action = 'exit'")
+    late = exits.select("parent_ticker", F.upper("investee_ticker").alias("investee_ticker"))
+    last = out.groupBy("parent_ticker", F.upper("investee_ticker").alias("investee_ticker")).agg(
+        F.max("period_end").alias("period_end"), F.max_by("accession_no", "period_end").alias("accession_no"),
+        F.max_by("filing_date", "period_end").alias("filing_date"))
+    return last.join(late, ["parent_ticker", "investee_ticker"], "left_semi")

@@ -366,6 +366,34 @@ def ttm_last4(spark, sf_dir):
     ).drop("note")
 
 
+@query("ttm_refiled", f"""WITH cf AS (
+  SELECT o_custkey AS ticker, {qend('o_orderdate')} AS period_end, CAST(o_orderdate AS DATE) + CAST((o_orderkey % 2) * 400 AS INTEGER) AS filing_date,
+         max(CAST(floor(o_totalprice * 10000.0 + 0.5) AS BIGINT)) AS v FROM orders GROUP BY ALL),
+keys AS (SELECT DISTINCT o_custkey AS ticker, CAST(d AS DATE) AS as_of FROM orders,
+         generate_series((SELECT min(CAST(o_orderdate AS DATE)) FROM orders), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), INTERVAL 9 MONTH) g(d)),
+known AS (SELECT k.as_of, cf.*, row_number() OVER (PARTITION BY k.ticker, k.as_of, period_end ORDER BY filing_date DESC) AS version
+          FROM keys k JOIN cf ON cf.ticker = k.ticker AND cf.filing_date <= k.as_of),
+last AS (SELECT *, row_number() OVER (PARTITION BY ticker, as_of ORDER BY period_end DESC) AS rn FROM known WHERE version = 1),
+agg AS (SELECT ticker, as_of, CAST(-sum(v) AS DOUBLE) / 10000.0 AS s, count(*) AS n, max(period_end) AS pe FROM last WHERE rn <= 4 GROUP BY ALL)
+SELECT k.ticker, k.as_of, pe AS period_end, s AS sale_purchase_of_stock_ttm, -s AS net_buyback_usd_ttm, coalesce(n, 0) AS quarters_used
+FROM keys k LEFT JOIN agg a ON a.ticker = k.ticker AND a.as_of = k.as_of""")
+def ttm_refiled(spark, sf_dir):
+    # Orders of a quarter are filings of it: every second one is filed 400 days later, when newer periods are known.
+    orders = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    cash = orders.select(
+        F.col("o_custkey").alias("ticker"), quarter_end("o_orderdate").alias("period_end"),
+        F.date_add(day, ((F.col("o_orderkey") % 2) * 400).cast("int")).alias("filing_date"), F.col("o_totalprice").alias("v"))
+    cash = cash.groupBy("ticker", "period_end", "filing_date").agg((-F.max("v")).alias("sale_purchase")).withColumn(
+        "issuance", F.lit(None).cast("double"))
+    span = orders.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    keys = orders.select(F.col("o_custkey").alias("ticker")).distinct().withColumn("as_of", F.explode(F.sequence(
+        span.select("lo").scalar(), span.select("hi").scalar(), F.expr("interval 9 months"))))
+    sheet = cash.where("false").select("ticker", "period_end", "filing_date", F.col("sale_purchase").alias("treasury_stock"))
+    return ownership.buybacks_ttm(cash, sheet, keys).select(
+        "ticker", "as_of", "period_end", "sale_purchase_of_stock_ttm", "net_buyback_usd_ttm", "quarters_used")
+
+
 # -- filters, work lists and summaries -----------------------------------------------------------
 
 @query("price_book_screen", """WITH avg_order AS (SELECT o_custkey, CAST(sum(CAST(floor(o_totalprice * 100.0 + 0.5) AS HUGEINT)) AS DOUBLE) / 100.0 / count(*) AS a

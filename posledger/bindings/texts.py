@@ -81,12 +81,11 @@ kept AS (SELECT doc_id, lo, hi, 0 AS o FROM p
 cut AS (SELECT k.doc_id, o, lo, regexp_replace(substring(text, CAST(lo AS BIGINT) + 1, CAST(hi - lo AS BIGINT)), '^\\s+|\\s+$', '', 'g') AS chunk
         FROM kept k JOIN low USING (doc_id)),
 joined AS (SELECT doc_id, string_agg(chunk, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY o, lo) AS excerpt FROM cut WHERE chunk <> '' GROUP BY ALL)
-SELECT low.doc_id, coalesce(excerpt, regexp_replace(substring(text, 1, 8000), '^\\s+|\\s+$', '', 'g')) AS excerpt
+SELECT low.doc_id, coalesce(excerpt, regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS excerpt
 FROM low LEFT JOIN joined USING (doc_id)""")
 def keyword_windows(spark, sf_dir):
-    # The budget is wider than any text, so every window is kept; tests cover the packing.
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return text.keyword_windows(docs, "text", _KEYS, _PRIORITY, _WIDTH, 1_000_000_000).drop("text")
+    return text.keyword_windows(docs, "text", _KEYS, _PRIORITY, _WIDTH).drop("text")
 
 
 @query("extract_facts", r"""SELECT doc_id, unnest(regexp_extract_all(text, '(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})')) AS fact FROM documents""")
@@ -211,7 +210,7 @@ def flatten_facts(spark, sf_dir):
 @query("scalar_strings", r"""SELECT p_partkey, upper(trim(p_brand)) AS ticker,
   CASE WHEN p_size % 3 = 0 THEN 't:' || upper(p_brand) WHEN p_size % 3 = 1 THEN 'c:' || upper('id' || p_partkey)
        ELSE 'n:' || regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') END AS holding_key,
-  'PRIV_' || upper(left(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_'), 48)) AS private_ticker,
+  'PRIV_' || upper(trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_')) AS private_ticker,
   CASE p_size % 5 WHEN 0 THEN lpad(CAST(p_size AS VARCHAR), 4, '0') || '.HK' WHEN 1 THEN p_size || '.T' WHEN 2 THEN p_size || '.SS'
        WHEN 3 THEN CAST(p_size AS VARCHAR) ELSE p_size || '.KS' END AS exchange_ticker,
   lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS cik,

@@ -61,7 +61,7 @@ def clean_issuer_name(value) -> Column:
 def private_ticker(name) -> Column:
     """``PRIV_`` identity for an unlisted name (never an exchange symbol)."""
     slug = F.regexp_replace(F.lower(F.coalesce(_as_col(name), F.lit(""))), "[^a-z0-9]+", "_")
-    slug = F.upper(F.substring(F.btrim(slug, F.lit("_")), 1, 48))
+    slug = F.upper(F.btrim(slug, F.lit("_")))
     return F.when(slug != "", F.concat(F.lit("PRIV_"), slug)).otherwise(F.lit("PRIV_UNKNOWN"))
 
 

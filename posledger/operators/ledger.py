@@ -69,7 +69,7 @@ def diff_snapshots(rows: DataFrame, periods: DataFrame | None = None,
     ``periods`` lists every reporting period, including empty ones (they close positions);
     without it the periods are those of ``rows``. ``order_by`` names the input order: of several
     rows of one identity in one period the last wins. ``unique`` skips de-duplication when the caller
-    guarantees one row per identity and period and one filing per period. ``exit_events`` (investee_ticker, accession, filing_date, note) documents
+    guarantees one row per identity and period and one filing per period. ``exit_events`` (parent_ticker, investee_ticker, accession, filing_date, note) documents
     explicit exits.
     """
     order_columns = [order_by] if order_by else []
@@ -136,11 +136,12 @@ def _ledger_rows(dated: DataFrame, exit_events: DataFrame | None) -> DataFrame:
     if exit_events is not None:
         extra = [c for c in ("note",) if c in exit_events.columns]
         events = exit_events.select(
-            normalize_ticker("investee_ticker").alias("_t"),
+            "parent_ticker", normalize_ticker("investee_ticker").alias("_t"),
             F.struct(F.col("accession"), F.col("filing_date"),
                      *([F.col("note")] if extra else [F.lit(None).cast("string").alias("note")])
                      ).alias("_event"))
-        base = base.withColumn("_t", normalize_ticker("investee_ticker")).join(events, "_t", "left")
+        base = base.withColumn("_t", normalize_ticker("investee_ticker")).join(
+            events, ["parent_ticker", "_t"], "left")
     else:
         base = base.withColumn("_event", F.lit(None).cast(
             "struct<accession:string,filing_date:date,note:string>"))
@@ -240,20 +241,21 @@ def normalize_export_rows(history: DataFrame) -> DataFrame:
 
 
 def apply_exit_cutoffs(rows: DataFrame, cutoffs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Drop names from snapshots after their cut-off date and record the first dropped period.
+    """Drop names from snapshots after their cut-off date and record each parent's first dropped period.
 
-    ``cutoffs`` is (investee_ticker, cutoff). Returns the kept rows and the exit events.
+    ``cutoffs`` is (investee_ticker, cutoff): the date is a fact about the name, the exit one about the
+    parent that held it. Returns the kept rows and the exit events per parent.
     """
     cuts = cutoffs.select(normalize_ticker("investee_ticker").alias("_t"), F.col("cutoff").alias("_cut"))
     marked = rows.withColumn("_t", normalize_ticker("investee_ticker")).join(cuts, "_t", "left")
     late = F.coalesce(F.col("period_end") > F.col("_cut"), F.lit(False))
     kept = marked.where(~late).select(*rows.columns)
-    events = marked.where(late).groupBy(F.col("_t").alias("investee_ticker")).agg(
+    events = marked.where(late).groupBy("parent_ticker", F.col("_t").alias("investee_ticker")).agg(
         F.min_by(F.struct(
             F.col("accession_no").alias("accession"), F.col("period_end").alias("filing_date"),
             F.concat(F.lit("exit_reason=mna_acquired; mna_as_of="), F.col("_cut").cast("string")).alias("note"),
         ), F.struct("period_end", "accession_no")).alias("e"),
-    ).select("investee_ticker", "e.accession", "e.filing_date", "e.note")
+    ).select("parent_ticker", "investee_ticker", "e.accession", "e.filing_date", "e.note")
     return kept, events
 
 
@@ -279,7 +281,7 @@ def position_moves(history: DataFrame) -> DataFrame:
     return history.where(F.col("action").isin("new", "buy", "sell", "exit"))
 
 
-def recent_rows(history: DataFrame, n: int = 50) -> DataFrame:
+def recent_rows(history: DataFrame, n: int) -> DataFrame:
     """Last ``n`` rows of a report, by period and ticker."""
     return history.orderBy(F.col("period_end").desc(), F.col("investee_ticker").desc(),
                            F.col("investee_name").desc()).limit(n)

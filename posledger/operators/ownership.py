@@ -143,22 +143,34 @@ def buybacks_ttm(cash_flow: DataFrame, balance: DataFrame, keys: DataFrame, quar
     """Trailing net and gross buybacks over the last ``quarters`` filed rows known at ``as_of``.
 
     ``cash_flow``: ticker, period_end, filing_date, sale_purchase, issuance; ``balance``: ticker,
-    period_end, filing_date, treasury_stock; ``keys``: ticker, as_of. A ticker has one row per
-    reporting period, so the trailing window per ticker is bounded. The sums are made once per
-    filing; a key then looks up the last one filed by its date.
+    period_end, filing_date, treasury_stock; ``keys``: ticker, as_of. A period may be filed again: a date sees
+    each period as last filed by then, and of those the latest ``quarters``. The sums are made once per
+    filing day of a ticker, from its versions of reporting periods (one row each, so the calendar bounds them);
+    a key then looks up the last filing day by its date.
     """
-    one = cash_flow.where(F.col("filing_date").isNotNull()).groupBy("ticker", "period_end").agg(
-        F.max(F.struct("filing_date", "sale_purchase", "issuance")).alias("r")).select("ticker", "period_end", "r.*")
-    w = Window.partitionBy("ticker").orderBy("filing_date", "period_end").rowsBetween(-(quarters - 1), 0)
     spent = F.col("sale_purchase")
-    rolled = one.select(
-        "ticker", "period_end", "filing_date",
-        F.sum(to_fixed(spent)).over(w).alias("_sale"),
-        F.sum(to_fixed(F.when(spent < 0, -spent).when(spent.isNotNull(), F.lit(0.0)))).over(w).alias("_gross"),
-        F.sum(to_fixed("issuance")).over(w).alias("_issue"),
-        F.count(F.lit(1)).over(w).alias("quarters_used"))
-    per_day = rolled.groupBy("ticker", "filing_date").agg(
-        F.max(F.struct("period_end", "_sale", "_gross", "_issue", "quarters_used")).alias("q"))
+    versions = cash_flow.where(F.col("filing_date").isNotNull()).groupBy("ticker", "period_end", "filing_date").agg(
+        F.max(F.struct("sale_purchase", "issuance")).alias("r")).select("ticker", "period_end", "filing_date", "r.*")
+    listed = versions.groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct(
+        "period_end", "filing_date", to_fixed(spent).alias("sale"),
+        to_fixed(F.when(spent < 0, -spent).when(spent.isNotNull(), F.lit(0.0))).alias("gross"),
+        to_fixed("issuance").alias("issue")))).alias("_all"))
+    days = listed.withColumn("filing_date", F.explode(F.array_distinct(F.transform("_all", lambda v: v["filing_date"]))))
+    known = days.withColumn("_known", F.filter("_all", lambda v: v["filing_date"] <= F.col("filing_date")))
+    newest = known.withColumn("_known", F.filter("_known", lambda v, i: ~F.get("_known", i + 1)["period_end"].eqNullSafe(
+        v["period_end"])))
+    last = newest.withColumn("_known", F.slice(
+        "_known", F.greatest(F.lit(1), F.size("_known") - (quarters - 1)), F.lit(quarters)))
+
+    def total(name):
+        some = F.filter(F.transform("_known", lambda v: v[name]), lambda x: x.isNotNull())
+        return F.when(F.size(some) > 0, F.aggregate(some, F.lit(0).cast("decimal(38,0)"), lambda acc, x: (
+            acc + x).cast("decimal(38,0)")))
+
+    per_day = last.select("ticker", "filing_date", F.struct(
+        F.element_at("_known", -1)["period_end"].alias("period_end"), total("sale").alias("_sale"),
+        total("gross").alias("_gross"), total("issue").alias("_issue"),
+        F.size("_known").cast("long").alias("quarters_used")).alias("q"))
     sheet = balance.where(F.col("filing_date").isNotNull()).groupBy(
         "ticker", F.col("filing_date").alias("bs_filed")).agg(
         F.max(F.struct("period_end", "treasury_stock")).alias("b"))

@@ -161,16 +161,18 @@ def realized_by_period(events: DataFrame) -> DataFrame:
     )
 
 
-def realized_by_ticker(events: DataFrame, max_tickers: int = 15, min_abs_usd: float = 1e6,
+def realized_by_ticker(events: DataFrame, max_tickers: int | None, min_abs_usd: float,
                        by: tuple[str, ...] = ("parent_ticker",)) -> DataFrame:
-    """Average-cost totals per ticker in millions: drop small ones, keep the largest by size."""
+    """Average-cost totals per ticker in millions, of at least a size; the largest ones if a number is stated."""
     total = (
         events.where((F.col("cost_method") == "avg") & F.col("realized_pnl_est").isNotNull())
         .groupBy(*by, "investee_ticker").agg(money_sum("realized_pnl_est").alias("usd"))
         .where(F.abs("usd") >= min_abs_usd)
     )
     w = Window.partitionBy(*by).orderBy(F.abs("usd").desc(), "investee_ticker") if by else None
-    if w is None:
+    if max_tickers is None:
+        kept = total
+    elif w is None:
         kept = total.orderBy(F.abs("usd").desc(), "investee_ticker").limit(max_tickers)
     else:
         kept = total.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_tickers)
@@ -421,7 +423,9 @@ def returns_chart_with_footer(returns: DataFrame) -> DataFrame:
     chart = returns_chart(returns).select(
         "parent_ticker", F.row_number().over(w).cast("long").alias("line_no"),
         F.col("period_end").cast("string").alias("period_end"), "dietz_return_pct", "cum_growth_index")
-    info = linked_cagr(returns)
+    # The footer is numbered after the last row of the parent's chart.
+    last = chart.groupBy("parent_ticker").agg(F.max("line_no").alias("_last"))
+    info = linked_cagr(returns).join(last, "parent_ticker")
     known = F.col("cagr").isNotNull()
     note = F.when(known, F.concat(
         F.lit("years="), F.format_string("%.2f", "years"), F.lit("; "),
@@ -429,10 +433,9 @@ def returns_chart_with_footer(returns: DataFrame) -> DataFrame:
         F.lit("; estimated; Modified Dietz; not tax/GAAP"))).otherwise(
         F.lit("note=estimated; Modified Dietz; not tax/GAAP"))
     nothing = F.lit(None).cast("double")
-    top = 1_000_000
 
     def line(no, text, value):
-        return F.struct(F.lit(top + no).cast("long").alias("line_no"), text.alias("period_end"),
+        return F.struct((F.col("_last") + no).alias("line_no"), text.alias("period_end"),
                         value.alias("dietz_return_pct"), nothing.alias("cum_growth_index"))
 
     footer = info.select("parent_ticker", F.inline(F.array(

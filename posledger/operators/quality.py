@@ -237,7 +237,7 @@ def verdict(findings: DataFrame) -> DataFrame:
         F.when(fails == 0, F.lit(100)).otherwise(F.lit(0)).alias("score"))
 
 
-def exit_sample(history: DataFrame, n: int = 40) -> DataFrame:
+def exit_sample(history: DataFrame, n: int) -> DataFrame:
     """First exit rows for a report."""
     exits = history.where((F.lower("action") == "exit") | has_tag("note", "13g_exit=1"))
     return exits.select(

@@ -11,7 +11,6 @@ from posledger.functions.numbers import money_sum
 from posledger.functions.text import filing_url, normalize_ticker
 from posledger.operators.performance import excluded_from_portfolio
 from posledger.schemas import POSITIONS_COLUMNS
-from posledger.sources import fixed_values as fixed
 
 
 def _label() -> Column:
@@ -73,7 +72,7 @@ def quarterly_locf(history: DataFrame, include_open_quarter: bool = False) -> Da
 
 
 def rank_series(long: DataFrame, value: str, by: Sequence[str] = (),
-                exclude: Sequence[str] = fixed.CHART_EXCLUDED_TICKERS, top_n: int | None = None) -> DataFrame:
+                exclude: Sequence[str] = (), top_n: int | None = None) -> DataFrame:
     """Names in chart order: by size in the latest period, then by their largest earlier value.
 
     One row per name, so ranking never sorts the data itself; with ``top_n`` every partition only
@@ -100,7 +99,7 @@ def top_series(long: DataFrame, value: str, top_n: int, by: Sequence[str] = ("pa
 
 
 def pivot_stack(long: DataFrame, value: str, top_n: int | None = None, series: Sequence[str] | None = None,
-                exclude: Sequence[str] = fixed.CHART_EXCLUDED_TICKERS) -> DataFrame:
+                exclude: Sequence[str] = ()) -> DataFrame:
     """Wide matrix in millions: one row per period, one column per name in chart order, zero filled.
 
     Without ``series`` the column list is read first; that list (one entry per name) is the only

@@ -113,11 +113,11 @@ def snapshot_as_of(snapshots: DataFrame, grid: DataFrame, by: Sequence[str] = ("
     return picked.join(snapshots, [*by, snapshot_date])
 
 
-def notes_as_of(notes: DataFrame, grid: DataFrame, window: int = 3,
+def notes_as_of(notes: DataFrame, grid: DataFrame, window: int | None = None,
                 order_by: str | None = None) -> DataFrame:
     """Note positions known at each grid row (parent_ticker, period_end, as_of).
 
-    Takes the last ``window`` note filings, drops values dated after the period, and keeps one row
+    Takes all note filings up to the as-of date (or the last ``window`` if stated), drops values dated after the period, and keeps one row
     per identity: a value dated exactly at the period end, else the newest value date (an undated
     value of a later filing replaces what came before it), else the later filing.
     """
@@ -129,7 +129,8 @@ def notes_as_of(notes: DataFrame, grid: DataFrame, window: int = 3,
     points = asof_join(
         grid.select(*by, "period_end", "as_of"), latest.withColumnRenamed("filing_date", "_fd"),
         by, "as_of", "_fd", "backward", columns=["_f"])
-    span = F.sequence(F.greatest(F.lit(1), F.col("_f") - (window - 1)), F.col("_f"))
+    oldest = F.lit(1) if window is None else F.greatest(F.lit(1), F.col("_f") - (window - 1))
+    span = F.sequence(oldest, F.col("_f"))
     wanted = points.where(F.col("_f").isNotNull()).select(
         *by, "period_end", "as_of", F.explode(span).alias("_f"))
     numbered = notes.withColumn(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from posledger.functions import patterns as pat
 from posledger.functions.dates import month_day_year
-from posledger.functions.text import exchange_ticker
+from posledger.functions.text import append_tags, exchange_ticker
 from posledger.sources import fixed_values as fixed
 
 _SPANS = "array<struct<lo:int,hi:int>>"
@@ -101,11 +101,10 @@ def _cut(text: Column, span: Column) -> Column:
 
 def keyword_windows(df: DataFrame, text: str, keywords: Sequence[str] = pat.INVENTORY_KEYWORDS,
                     priority: Sequence[str] = pat.INVENTORY_PRIORITY_KEYWORDS, width: int = 2500,
-                    budget: int = 20000, name: str = "excerpt") -> DataFrame:
-    """Text near the keywords within a character budget, priority words first.
+                    name: str = "excerpt") -> DataFrame:
+    """Text near the keywords, windows around priority words first; the whole text if it has none.
 
-    A secondary window inside a priority one is left out. The last window is cut only if more than
-    500 characters are left; without any hit the head of the text is returned.
+    A secondary window inside a priority one is left out. Nothing else is: every hit is in the result.
     """
     rest = [k for k in keywords if k not in priority]
     staged = df.withColumns({
@@ -115,50 +114,22 @@ def keyword_windows(df: DataFrame, text: str, keywords: Sequence[str] = pat.INVE
         "_first", lambda p: (s["lo"] >= p["lo"]) & (s["hi"] <= p["hi"])))
     chunks = F.filter(F.transform(F.concat("_first", fresh), lambda s: _strip(_cut(F.col(text), s))),
                       lambda c: c != "")
-    start = F.struct(F.lit(0).alias("total"), F.array().cast("array<string>").alias("parts"), F.lit(False).alias("full"))
-
-    def pack(acc, chunk):
-        left = F.lit(budget) - acc["total"]
-        fits = F.length(chunk) <= left
-        return F.when(acc["full"], acc).when(fits, F.struct(
-            (acc["total"] + F.length(chunk)).alias("total"),
-            F.array_append(acc["parts"], chunk).alias("parts"), F.lit(False).alias("full"))
-        ).otherwise(F.struct(
-            acc["total"].alias("total"),
-            F.when(left > 500, F.array_append(acc["parts"], F.substr(chunk, F.lit(1), left))).otherwise(acc["parts"]).alias("parts"),
-            F.lit(True).alias("full")))
-
-    packed = F.aggregate(chunks, start, pack)["parts"]
     none = (F.size("_first") == 0) & (F.size(fresh) == 0)
-    head = _strip(F.substring(text, 1, min(8000, budget)))
-    return staged.withColumn(name, F.when(none, head).otherwise(F.array_join(packed, SEPARATOR))).drop("_first", "_second")
+    return staged.withColumn(name, F.when(none, _strip(F.col(text))).otherwise(
+        F.array_join(chunks, SEPARATOR))).drop("_first", "_second")
 
 
-def ownership_slices(df: DataFrame, text: str, width: int = 4500, budget: int = 20000,
-                     name: str = "slices") -> DataFrame:
-    """Windows around ownership disclosures; later ones are packed first, then put in order."""
+def ownership_slices(df: DataFrame, text: str, width: int = 4500, name: str = "slices") -> DataFrame:
+    """All windows around ownership disclosures, merged, in text order."""
     source = F.col(text)
 
     def spans(patterns):
         hits = F.flatten(F.array(*[match_spans(source, "(?i)" + p) for p in patterns]))
-        return _around(source, hits, width)
+        return merge_spans(_around(source, hits, width))
 
-    main = spans(pat.OWNERSHIP_PATTERNS)
-    staged = df.withColumn("_s", main)
+    staged = df.withColumn("_s", spans(pat.OWNERSHIP_PATTERNS))
     staged = staged.withColumn("_s", F.when(F.size("_s") > 0, F.col("_s")).otherwise(spans(pat.OWNERSHIP_FALLBACK_PATTERNS)))
-    latest = F.reverse(_by_start(F.col("_s")))
-    start = F.struct(F.lit(0).alias("total"), F.array().cast(_SPANS).alias("spans"))
-
-    def pack(acc, s):
-        size, left = s["hi"] - s["lo"], F.lit(budget) - acc["total"]
-        some = F.size(acc["spans"]) > 0
-        lo = F.when(size > left, s["hi"] - left).otherwise(s["lo"])
-        return F.when((left <= 0) | ((size > left) & some), acc).otherwise(F.struct(
-            (acc["total"] + s["hi"] - lo).alias("total"),
-            F.array_append(acc["spans"], F.struct(lo.alias("lo"), s["hi"].alias("hi"))).alias("spans")))
-
-    merged = merge_spans(F.aggregate(latest, start, pack)["spans"])
-    joined = F.array_join(F.transform(merged, lambda s: _cut(source, s)), SEPARATOR)
+    joined = F.array_join(F.transform("_s", lambda s: _cut(source, s)), SEPARATOR)
     return staged.withColumn(name, F.coalesce(joined, F.lit(""))).drop("_s")
 
 
@@ -261,8 +232,8 @@ def extract_investments_table(df: DataFrame, body: str = "body",
                               names: Sequence[tuple[str, str]] = pat.INVESTMENT_NAMES) -> DataFrame:
     """Named rows of two-date investment tables (millions): one row per name and date.
 
-    Table markup is read first; filings without any table row fall back on their prose, from the
-    date header on. ``names`` lists the labels to look for with their tickers.
+    Table markup is read first; filings without any table row fall back on their prose, where each
+    date header holds up to the next one or the end. ``names`` lists the labels to look for with their tickers.
     """
     labels = "|".join(n.replace(" ", r"\s+") for n, _ in names)
     row = (r"(?i)(" + labels + r")(?:\s*\([^)]*\))?\s*\$?\s*([\d,]+(?:\.\d+)?)\s*\$?\s*([\d,]+(?:\.\d+)?)")
@@ -278,11 +249,13 @@ def extract_investments_table(df: DataFrame, body: str = "body",
     usable = F.filter(in_tables, lambda x: x["dates"].isNotNull() & (x["hit"] != ""))
     prose = _plain_row(strip_tag_runs(raw))
     staged = df.withColumns({"_rows": usable, "_prose": F.when(F.size(usable) == 0, prose)})
-    header = F.regexp_instr("_prose", F.lit(pat.TWO_DATES))
-    window = F.substr(F.col("_prose"), header, F.lit(4000))
-    from_prose = F.when(header > 0, F.transform(
-        F.regexp_extract_all(window, F.lit(row), F.lit(0)),
-        lambda h: F.struct(_table_dates(window).alias("dates"), h.alias("hit"))))
+    headers = match_spans("_prose", pat.TWO_DATES)
+    sections = F.transform(headers, lambda h, i: F.substr(
+        F.col("_prose"), h["lo"] + 1,
+        F.coalesce(F.get(headers, i + 1)["lo"], F.length("_prose")) - h["lo"]))
+    from_prose = F.flatten(F.transform(sections, lambda t: F.transform(
+        F.regexp_extract_all(t, F.lit(row), F.lit(0)),
+        lambda h: F.struct(_table_dates(t).alias("dates"), h.alias("hit")))))
     rows = staged.select(*keep, F.posexplode_outer(
         F.coalesce(F.when(F.size("_rows") > 0, F.col("_rows")), from_prose)).alias("_pos", "x")).where(F.col("x").isNotNull())
     name = F.regexp_replace(F.trim(F.regexp_extract("x.hit", row, 1)), r"\s+", " ")
@@ -306,7 +279,7 @@ def extract_investments_table(df: DataFrame, body: str = "body",
 def extract_investment_notes(df: DataFrame, body: str = "body") -> DataFrame:
     """Named investment sections and held-stake sentences of annual and interim notes.
 
-    A section needs a percentage or an amount within 900 characters of its heading; month names
+    A section runs to the next heading or the end and needs a percentage or an amount; month names
     and one or two letter labels are not names. Several hits of one name are merged, the one with
     more facts first.
     """
@@ -314,13 +287,16 @@ def extract_investment_notes(df: DataFrame, body: str = "body") -> DataFrame:
     staged = df.withColumn("_text", strip_tag_runs(body))
     text = F.col("_text")
 
-    def hits(pattern, size, kind):
-        return F.transform(match_spans(text, pattern), lambda s: F.struct(
+    headings = match_spans(text, pat.INVESTMENT_IN)
+
+    def hits(pattern, kind, end):
+        return F.transform(match_spans(text, pattern), lambda s, i: F.struct(
             F.lit(kind).alias("kind"), s["lo"].alias("lo"),
-            F.substr(text, s["lo"] + 1, F.lit(size)).alias("window")))
+            F.substr(text, s["lo"] + 1, end(s, i) - s["lo"]).alias("window")))
 
     found = staged.select(*keep, F.explode_outer(F.concat(
-        hits(pat.INVESTMENT_IN, 900, "section"), hits(pat.NEWLY_ISSUED, 500, "issued"), hits(pat.WE_HELD, 400, "held"),
+        hits(pat.INVESTMENT_IN, "section", lambda s, i: F.coalesce(F.get(headings, i + 1)["lo"], F.length(text))),
+        hits(pat.NEWLY_ISSUED, "issued", lambda s, i: s["hi"]), hits(pat.WE_HELD, "held", lambda s, i: s["hi"]),
     )).alias("h")).where(F.col("h").isNotNull())
     window, kind = F.col("h.window"), F.col("h.kind")
     section = kind == "section"
@@ -359,7 +335,7 @@ def note_positions(notes: DataFrame) -> DataFrame:
 
     Unresolved names get a private identity.
     """
-    from posledger.functions.text import append_tags, normalize_ticker, private_ticker
+    from posledger.functions.text import normalize_ticker, private_ticker
 
     def opt(name, kind="double"):
         return F.col(name) if name in notes.columns else F.lit(None).cast(kind)
@@ -385,7 +361,7 @@ def extract_annual_aggregates(df: DataFrame, text: str = "text", as_of: str = "a
     """Up to four portfolio aggregates of an annual report, in dollars.
 
     The listed-associates value is part of all listed investees, so it loses its portfolio value
-    when the wider one is known. Reports with fewer than two aggregates are skipped.
+    when the wider one is known. Rows of a report that states fewer than two aggregates say so.
     """
     body, day = F.col(text), F.col(as_of)
     line = F.regexp_extract(F.col("_line"), r"(?i)Listed entities(?:\s*\(Note\))?\s+([^\n]+)", 1)
@@ -431,8 +407,10 @@ def extract_annual_aggregates(df: DataFrame, text: str = "text", as_of: str = "a
         row("_ui", "Unlisted investees excl. subsidiaries (aggregate carrying)", fixed.UNLISTED_INVESTEES, usd("_ui"),
             none, none, "cost", F.lit("No market; cannot invent MTM adj"))))
     keep = [c for c in df.columns if c != text]
-    return staged.withColumn("_rows", rows).where(F.size("_rows") >= 2).select(
-        *keep, F.inline("_rows")).withColumn("source", F.lit("hk_annual"))
+    few = append_tags("note", (F.col("_n") < 2, "aggregates=incomplete", "aggregates=incomplete"))
+    return staged.withColumn("_rows", rows).select(
+        *keep, F.size("_rows").alias("_n"), F.inline("_rows")).withColumn("note", few).drop("_n").withColumn(
+        "source", F.lit("hk_annual"))
 
 
 def annual_history_rows(aggregates: DataFrame) -> DataFrame:
@@ -470,7 +448,7 @@ def _stake_struct(text: Column, pattern: str) -> Column:
 
 
 def extract_stake_table(df: DataFrame, text: str = "text") -> DataFrame:
-    """Named stakes between the table heading and its totals; short tables are read inline."""
+    """Named stakes between the table heading and its totals, from table lines and from running text."""
     lines = F.filter(F.transform(F.split(F.col(text), r"\r?\n"), lambda l: F.trim(F.regexp_replace(l, r"\s+", " "))),
                      lambda l: l != "")
     staged = df.withColumn("_lines", lines)
@@ -497,17 +475,23 @@ def extract_stake_table(df: DataFrame, text: str = "text") -> DataFrame:
     table = F.array_compact(F.transform(walked["rows"], lambda l: _stake_struct(l, pat.STAKE_ROW)))
     staged = staged.withColumn("_table", table)
     blob = F.regexp_replace(F.col(text), r"\s+", " ")
-    at = F.locate("valuation of strategic investments", F.lower(blob))
-    window = F.when(at > 0, F.substr(blob, at, F.lit(8000))).otherwise(blob)
-    inline = F.when(F.size("_table") < 3, F.array_compact(F.transform(
-        F.regexp_extract_all(window, F.lit(pat.STAKE_INLINE), F.lit(0)), lambda m: _stake_struct(m, pat.STAKE_INLINE))))
-    staged = staged.withColumn("_inline", inline)
-    # Of several inline hits of one ticker the first counts.
-    once = F.filter("_inline", lambda x, i: F.array_position(
-        F.transform("_inline", lambda y: y["investee_ticker"]), x["investee_ticker"]) == i + 1)
-    chosen = F.when(F.coalesce(F.size(once) > F.size("_table"), F.lit(False)), once).otherwise(F.col("_table"))
+    title = "valuation of strategic investments"
+    after = F.substr(blob, F.locate(title, F.lower(blob)) + len(title), F.length(blob))
+    # Read on from the heading to the first line that closes the table.
+    closing = r"(?i)\b(?:" + "|".join(s.strip() for s in pat.STAKE_STOPS) + ")"
+    shut = F.regexp_instr(after, F.lit(closing))
+    inline = F.when(F.locate(title, F.lower(blob)) > 0, F.array_compact(F.transform(
+        F.regexp_extract_all(F.when(shut > 0, F.substr(after, F.lit(1), shut - 1)).otherwise(after),
+                             F.lit(pat.STAKE_INLINE), F.lit(0)),
+        lambda m: _stake_struct(m, pat.STAKE_INLINE))))
+    none = F.array().cast(staged.schema["_table"].dataType)
+    staged = staged.withColumn("_all", F.concat(F.col("_table"), F.coalesce(inline, none)))
+    # Lines come first, so of several hits of one ticker the line wins, then the first inline hit.
+    names = F.transform("_all", lambda y: F.coalesce(y["investee_ticker"], y["investee_name"]))
+    once = F.filter("_all", lambda x, i: F.array_position(
+        names, F.coalesce(x["investee_ticker"], x["investee_name"])) == i + 1)
     keep = [c for c in df.columns if c != text]
-    return staged.select(*keep, F.inline(chosen))
+    return staged.select(*keep, F.inline(once))
 
 
 # Parsers of published tables by name: each maps a frame of texts to a frame of stakes.

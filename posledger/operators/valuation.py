@@ -18,14 +18,15 @@ _COMPOSITION = ["composition_parent", "composition_as_of", "child_value_source",
                 "parent_aggregate_market_value_usd"]
 
 
-def rollup_parent(holdings: DataFrame, parents: DataFrame | None = None) -> DataFrame:
-    """Parent-level totals; ``parents`` (parent_ticker, price, bvps, shares) adds the per-share view.
+def rollup_parent(holdings: DataFrame, parents: DataFrame | None = None,
+                  by: tuple[str, ...] = ("parent_ticker",)) -> DataFrame:
+    """Parent-level totals; ``parents`` (the keys ``by``, price, bvps, shares) adds the per-share view.
 
     Look-through amounts are summed over rows that are not in the book adjustment.
     """
     included = F.coalesce("include_in_book_adj", F.lit(False))
     zero = F.lit(0.0)
-    rolled = holdings.groupBy("parent_ticker").agg(
+    rolled = holdings.groupBy(*by).agg(
         F.count(F.lit(1)).alias("holdings_count"),
         F.coalesce(money_sum(F.when(included, F.col("suggested_adj_usd"))), zero).alias("holdings_book_adj_usd"),
         F.coalesce(money_sum(F.when(~included, F.col("lookthrough_mtm_usd"))), zero).alias("holdings_lookthrough_mtm_usd"),
@@ -36,14 +37,14 @@ def rollup_parent(holdings: DataFrame, parents: DataFrame | None = None) -> Data
     if parents is None:
         return rolled.withColumns({"bvps_holdings_adj": F.lit(None).cast("double"),
                                    "pb_holdings_adj": F.lit(None).cast("double")})
-    base = parents.join(rolled, "parent_ticker", "left")
+    base = parents.join(rolled, list(by), "left")
     counts = ["holdings_count", "holdings_above_count", "holdings_below_count", "holdings_ni_impact_count"]
     base = base.na.fill(0, counts).na.fill(0.0, ["holdings_book_adj_usd", "holdings_lookthrough_mtm_usd"])
     adj = F.col("holdings_book_adj_usd")
     bvps = F.when(F.col("shares") > 0, F.col("bvps") + adj / F.col("shares")).when(adj == 0, F.col("bvps"))
     return base.withColumn("bvps_holdings_adj", bvps).withColumn(
         "pb_holdings_adj", F.when(F.col("bvps_holdings_adj") > 0, F.col("price") / F.col("bvps_holdings_adj"))
-    ).select("parent_ticker", *rolled.columns[1:], "bvps_holdings_adj", "pb_holdings_adj")
+    ).select(*rolled.columns, "bvps_holdings_adj", "pb_holdings_adj")
 
 
 # -- broker overlay ------------------------------------------------------------------------------

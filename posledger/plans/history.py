@@ -53,16 +53,16 @@ def note_snapshots(filings: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 
 def exit_event_table(events: DataFrame) -> DataFrame:
-    """Last explicit exit per ticker."""
+    """Last explicit exit per parent and ticker."""
     return events.where(F.col("is_exit") & normalize_ticker("investee_ticker").isNotNull()).groupBy(
-        normalize_ticker("investee_ticker").alias("investee_ticker")).agg(
+        "parent_ticker", normalize_ticker("investee_ticker").alias("investee_ticker")).agg(
         F.max_by(F.struct(F.col("accession_no").alias("accession"), "filing_date"),
                  F.struct("filing_date", "accession_no")).alias("e")).select(
-        "investee_ticker", "e.accession", "e.filing_date")
+        "parent_ticker", "investee_ticker", "e.accession", "e.filing_date")
 
 
 def build_history(quarterly: DataFrame, periods: DataFrame, events: DataFrame, notes: DataFrame,
-                  window_start: str, ciks: DataFrame, note_window: int = fixed.NOTE_WINDOW_FILINGS) -> DataFrame:
+                  window_start: str, ciks: DataFrame, note_window: int | None = None) -> DataFrame:
     """Quarterly grid with ownership and note overlays, pre-window inception and truncation tags.
 
     Parents without quarterly reports use their ownership filing dates as the grid. Pre-window
@@ -123,7 +123,7 @@ def build_aggregate_history(events: DataFrame, annual: DataFrame, stakes: DataFr
     kept, late_exits = ledger.apply_exit_cutoffs(rows, cutoffs)
     explicit = exit_event_table(rows_in)
     exits = explicit.withColumn("note", F.lit(None).cast("string")).unionByName(
-        late_exits.join(explicit.select("investee_ticker"), "investee_ticker", "left_anti"))
+        late_exits.join(explicit.select("parent_ticker", "investee_ticker"), ["parent_ticker", "investee_ticker"], "left_anti"))
     difference = stage(ledger.diff_snapshots(kept, periods, exits), "difference")
     history = merge.coalesce_for_export(difference)
     aggregates = text.annual_history_rows(annual)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from posledger.functions.numbers import scrub_pct_as_shares
-from posledger.functions.text import append_tags, note_text
+from posledger.functions.text import append_tags, holding_key, note_text
 from posledger.functions.valuation import apply_gaap_and_adjustment
 from posledger.operators import ledger, merge, quality, valuation
 from posledger.operators.screening import apply_allowlist
@@ -52,26 +52,46 @@ def live_from_history(history: DataFrame) -> DataFrame:
     return conform(live, HOLDINGS_SCHEMA, HOLDINGS_DEFAULTS)
 
 
+def holdings_as_of(holdings: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows known at each (parent_ticker, as_of): of every name the newest dated on or before the date.
+
+    A dated row holds until the name's next one, so a date meets one row per name; undated rows are known
+    from the start.
+    """
+    cusip = F.col("cusip") if "cusip" in holdings.columns else F.lit(None).cast("string")
+    key = F.coalesce(holding_key("investee_ticker", cusip, "investee_name"), F.lit(""))
+    w = Window.partitionBy("parent_ticker", "_key").orderBy(F.col("as_of_date").asc_nulls_first(), "as_of_accession_no")
+    held = holdings.withColumn("_key", key).withColumn("_n", F.row_number().over(w)).withColumn(
+        "_until", F.lead("as_of_date").over(w))
+    known = (F.col("as_of_date").isNull() | (F.col("as_of_date") <= F.col("as_of"))) & (
+        F.col("_until").isNull() | (F.col("_until") > F.col("as_of")))
+    return held.join(keys.distinct(), "parent_ticker").where(known).drop("_key", "_n", "_until")
+
+
 def holdings_universe(parents: DataFrame, holdings: DataFrame, allow: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Holdings of the asked parents and one rollup row per parent.
+    """Holdings of the asked parents and one rollup row per parent, or per parent and date.
 
-    ``parents``: ticker, price, book_value, shares and, for the backtest, as_of. A parent without
-    any holding still gets its row, with the reason.
+    ``parents``: ticker, price, book_value, shares and, for the backtest, as_of; with it only holdings known
+    at that date count, and both results carry it. A parent without any holding still gets its row, with the
+    reason.
     """
     asked = apply_allowlist(parents, allow) if allow is not None else parents
+    dated = "as_of" in asked.columns
+    by = ["parent_ticker", "as_of"] if dated else ["parent_ticker"]
     keyed = asked.select(
-        F.col("ticker").alias("parent_ticker"), "price", F.col("book_value").alias("bvps"), "shares",
-        (F.col("as_of") if "as_of" in asked.columns else F.lit(None).cast("date")).alias("as_of_date"))
-    mine = holdings.join(keyed.select("parent_ticker").distinct(), "parent_ticker", "left_semi")
-    seen = mine.groupBy("parent_ticker").agg(
+        F.col("ticker").alias("parent_ticker"), "price", F.col("book_value").alias("bvps"), "shares", *by[1:])
+    if dated:
+        mine = holdings_as_of(holdings, keyed.select(*by))
+    else:
+        mine = holdings.join(keyed.select("parent_ticker").distinct(), "parent_ticker", "left_semi")
+    seen = mine.groupBy(*by).agg(
         F.max("as_of_date").alias("_last"),
         F.max_by("as_of_accession_no", F.when(F.col("as_of_accession_no").isNotNull(), F.col("as_of_date"))).alias("accession_no"))
-    rolled = valuation.rollup_parent(mine, keyed)
-    rows = rolled.join(keyed.select("parent_ticker", "as_of_date"), "parent_ticker").join(seen, "parent_ticker", "left")
+    rolled = valuation.rollup_parent(mine, keyed, tuple(by)).join(seen, by, "left")
     error = F.when(F.col("holdings_count") == 0, F.lit("no holdings from 13F/13G/notes"))
-    rollups = rows.withColumns({
-        "as_of_date": F.coalesce("as_of_date", "_last"), "extract_error": error,
-    }).drop("_last").withColumnRenamed("parent_ticker", "ticker")
+    rollups = rolled.withColumns({
+        "as_of_date": F.col("as_of") if dated else F.col("_last"), "extract_error": error,
+    }).drop("_last", "as_of").withColumnRenamed("parent_ticker", "ticker")
     return mine, rollups
 
 

@@ -8,9 +8,12 @@ from posledger.operators import performance as perf
 from posledger.sources.tables import stage
 
 
-def performance_frames(history: DataFrame, income: DataFrame | None = None, staged: bool = True) -> dict[str, DataFrame]:
+def performance_frames(history: DataFrame, income: DataFrame | None = None, staged: bool = True,
+                       max_tickers: int | None = None, min_abs_usd: float = 0.0) -> dict[str, DataFrame]:
     """Returns, disposals, holding returns and charts by name.
 
+    The chart of realized totals has every ticker unless the caller states a number or a floor.
+
     The history and the disposal events feed several frames, so they are written once.
     """
     rows = stage(history, "history") if staged else history
@@ -26,7 +29,7 @@ def performance_frames(history: DataFrame, income: DataFrame | None = None, stag
         "holding_returns": perf.holding_returns(rows, events),
         "returns_chart": perf.returns_chart_with_footer(returns),
         "realized_chart": perf.realized_chart(returns),
-        "realized_by_ticker_chart": perf.realized_by_ticker(events),
+        "realized_by_ticker_chart": perf.realized_by_ticker(events, max_tickers, min_abs_usd),
     }
     if income is not None:
         frames["reported_vs_est"] = perf.reported_vs_estimated(income, returns, rows)

@@ -89,9 +89,11 @@ def backtest_summary(crossings: DataFrame, outcomes: DataFrame | None = None, li
         out = out.join(renamed.select(*pair, *extra), pair, "left")
     out = _with_texts(out, lifo, descriptions)
     out = enrich(out, ownership, pair, OWNERSHIP_COLUMNS, _types(OWNERSHIP_SCHEMA))
+    if rollups is not None and "deletion_date" not in rollups.columns:
+        rollups = rollups.withColumnRenamed("as_of_date", "deletion_date")
     renamed_bb = buybacks.withColumnsRenamed(_BUYBACK_NAMES) if buybacks is not None else None
     out = enrich(out, renamed_bb, pair, BUYBACK_COLUMNS, _types(BUYBACK_SCHEMA, _BUYBACK_NAMES))
-    return enrich(out, rollups, ["ticker"], HOLDINGS_COLUMNS, _HOLDINGS_TYPES)
+    return enrich(out, rollups, pair, HOLDINGS_COLUMNS, _HOLDINGS_TYPES)
 
 
 def summary_counts(summary: DataFrame) -> DataFrame:

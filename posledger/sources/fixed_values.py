@@ -89,8 +89,6 @@ ISSUER_HINTS = (
 # --- fixed values: rates and thresholds ---
 RMB_PER_USD = 7.1884
 HKD_PER_USD_FALLBACK = 7.8
-NOTE_WINDOW_FILINGS = 8
-CHART_EXCLUDED_TICKERS = ("MRDB",)
 
 # --- fixed values: provenance notes ---
 NOTE_ESTIMATE = (

@@ -71,6 +71,18 @@ def test_exit_cutoff_gives_one_documented_exit(spark):
     assert got[0]["accession_no"] == "g2" and "exit_reason=mna_acquired" in got[0]["note"]
 
 
+def test_exits_stay_with_their_parent(spark):
+    frames = [snapshots(spark, [
+        (d, d, f"{p}-{d}", [row("GONE", 100, None, note="source=13g"), row("STAYS", 5, None, note="source=13g")]) for d in dates], parent=p)
+        for p, dates in (("A", ["2020-06-30", "2020-09-30"]), ("B", ["2020-06-30", "2020-12-31"]))]
+    rows, grid = (x.unionByName(y) for x, y in zip(*frames))
+    cuts = spark.createDataFrame([("GONE", day("2020-07-01"))], "investee_ticker string, cutoff date")
+    kept, events = ledger.apply_exit_cutoffs(rows, cuts)
+    exits = {r["parent_ticker"]: r for r in collect(ledger.diff_snapshots(kept, grid, events)) if r["action"] == "exit"}
+    assert {p: (r["accession_no"], str(r["filing_date"])) for p, r in exits.items()} == {
+        "A": ("A-2020-09-30", "2020-09-30"), "B": ("B-2020-12-31", "2020-12-31")}
+
+
 def ratio_case(spark, rows):
     return {(str(r["period_end"]), r["action"]) for r in collect(ledger.reclassify_share_ratio(history(spark, rows)))}
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from posledger.operators import quality, text, valuation
 from posledger.plans import export, history as plan, holdings, performance, precheck, summaries
-from posledger.schemas import SNAPSHOT_SCHEMA
+from posledger.schemas import HOLDINGS_SCHEMA, SNAPSHOT_SCHEMA
 from posledger.sources.filings import load_dims
 from tests.helpers import collect, day, frame, history
 
@@ -138,6 +138,20 @@ def test_live_and_universe(spark):
     assert got["NONE"]["holdings_count"] == 0 and got["ABSENT"]["extract_error"] and mine.count() == 2
 
 
+def test_universe_sees_only_what_was_known(spark):
+    rows = [("P", "X", "2019-06-30", 10.0, True), ("P", "X", "2024-06-30", 99.0, True), ("P", "Y", "2019-12-31", 5.0, True), ("P", "Z", None, 1.0, True)]
+    held = frame(spark, HOLDINGS_SCHEMA, [
+        {"parent_ticker": p, "investee_name": n, "investee_ticker": n, "as_of_date": d, "suggested_adj_usd": v, "include_in_book_adj": i,
+         "as_of_accession_no": d} for p, n, d, v, i in rows])
+    parents = spark.createDataFrame(
+        [("P", 10.0, 5.0, 100.0, day("2020-12-31")), ("P", 10.0, 5.0, 100.0, day("2019-07-01")), ("P", 10.0, 5.0, 100.0, day("2025-01-01"))],
+        "ticker string, price double, book_value double, shares double, as_of date")
+    mine, rolls = holdings.holdings_universe(parents, held)
+    got = {str(r["as_of_date"]): (r["holdings_count"], r["holdings_book_adj_usd"]) for r in collect(rolls)}
+    assert got == {"2019-07-01": (2, 11.0), "2020-12-31": (3, 16.0), "2025-01-01": (3, 105.0)} and rolls.count() == 3
+    assert mine.count() == 8
+
+
 def test_performance_frames(spark):
     rows = history(spark, [
         {"period_end": "2023-12-31", "investee_ticker": "A", "action": "new", "shares_held": 10, "shares_delta": 10, "market_value_usd": 100.0},
@@ -153,7 +167,9 @@ def test_performance_frames(spark):
     assert chart[:4] == ["2023-12-31", "2024-03-31", "", "CAGR (estimated Dietz)"] and chart[4].startswith("years=0.25")
     (rep,) = collect(frames["reported_vs_est"])
     assert rep["our_mtm_sum_usd"] == 20.0 and rep["residual_usd"] == 5.0
-    assert collect(frames["realized_by_ticker_chart"]) == []
+    (chart,) = collect(frames["realized_by_ticker_chart"])
+    assert chart["investee_ticker"] == "A" and chart["realized_pnl_m"] == 1e-05
+    assert collect(performance.performance_frames(rows, min_abs_usd=1e6)["realized_by_ticker_chart"]) == []
 
 
 def test_backtest(spark):

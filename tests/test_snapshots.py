@@ -51,49 +51,38 @@ def test_running_positions_match_sequential(spark, seed):
     assert latest == want[dates[-1]]
 
 
-def notes_brute(rows, as_of, pe, window):
-    filings = sorted({r[0] for r in rows if r[0] <= as_of})[-window:]
-    best = {}
-    for filed, name, vd, value in sorted((r for r in rows if r[0] in filings), key=lambda r: (r[0], str(r[2] or ""))):
-        if vd and vd > pe:
-            continue
-        prev = best.get(name)
-        if prev is None:
-            best[name] = (vd, value)
-            continue
-        if vd == pe and prev[0] != pe:
-            best[name] = (vd, value)
-        elif prev[0] == pe and vd != pe:
-            continue
-        elif vd and prev[0]:
-            if vd >= prev[0]:
-                best[name] = (vd, value)
-        else:
-            best[name] = (vd, value)
-    return {k: v[1] for k, v in best.items()}
-
-
-@pytest.mark.parametrize("seed", [3, 4, 5])
-def test_notes_as_of_match_sequential(spark, seed):
-    rng = random.Random(seed)
-    filed = [day(f"2024-{m:02d}-15") for m in range(1, 11)]
-    rows, seen = [], set()
-    for i in range(40):
-        f, n = rng.choice(filed), rng.choice("ABC")
-        vd = rng.choice([None, day("2024-03-31"), day("2024-06-30"), day("2024-09-30"), day("2024-02-29")])
-        if (f, n, vd) not in seen:
-            seen.add((f, n, vd))
-            rows.append((f, n, vd, float(i)))
+def note_case(spark, rows, points, window=None):
+    """[(filed, value date or None, value)] of one name and [(period end, as of)] -> value per period end."""
     df = frame(spark, SNAPSHOT_SCHEMA, [
-        {"parent_ticker": "P", "filing_date": f, "accession_no": "x", "investee_name": n, "investee_ticker": n,
-         "as_of_date": vd, "market_value_usd": v, "note": "20f_note"} for f, n, vd, v in rows])
-    points = [("2024-03-31", "2024-05-10"), ("2024-06-30", "2024-08-14"), ("2024-09-30", "2024-11-14")]
+        {"parent_ticker": "P", "filing_date": f, "accession_no": f"x{f}", "investee_name": "N", "investee_ticker": "N",
+         "as_of_date": d, "market_value_usd": v, "note": "20f_note"} for f, d, v in rows])
     grid = spark.createDataFrame([("P", day(p), day(a)) for p, a in points], "parent_ticker string, period_end date, as_of date")
-    got = {}
-    for r in collect(snapshots.notes_as_of(df, grid, window=3)):
-        got.setdefault(str(r["period_end"]), {})[r["investee_ticker"]] = r["market_value_usd"]
-    for p, a in points:
-        assert got.get(p, {}) == notes_brute(rows, day(a), day(p), 3)
+    return {str(r["period_end"]): r["market_value_usd"] for r in collect(snapshots.notes_as_of(df, grid, window=window))}
+
+
+@pytest.mark.parametrize("rows, want", [
+    # Dated at the period end beats a newer filing of an older value.
+    ([("2024-07-01", "2024-06-30", 1.0), ("2024-08-01", "2024-03-31", 2.0)], 1.0),
+    # Else the newest value date, whichever filing states it.
+    ([("2024-05-01", "2024-03-31", 1.0), ("2024-06-01", "2023-12-31", 2.0)], 1.0),
+    # Equal value dates: the later filing.
+    ([("2024-05-01", "2024-03-31", 1.0), ("2024-06-01", "2024-03-31", 2.0)], 2.0),
+    # An undated value replaces what earlier filings said, and is replaced by what later ones say.
+    ([("2024-05-01", "2024-03-31", 1.0), ("2024-06-01", None, 2.0)], 2.0),
+    ([("2024-05-01", None, 1.0), ("2024-06-01", "2023-03-31", 2.0)], 2.0),
+    # Values dated after the period and filings after the as-of date are unknown.
+    ([("2024-07-01", "2024-07-01", 1.0), ("2024-09-30", "2024-06-30", 2.0), ("2023-01-01", "2022-12-31", 3.0)], 3.0),
+])
+def test_note_preference(spark, rows, want):
+    assert note_case(spark, rows, [("2024-06-30", "2024-08-14")]) == {"2024-06-30": want}
+
+
+def test_note_window_is_the_callers(spark):
+    rows = [(f"20{y:02d}-05-01", f"20{y:02d}-03-31" if y == 10 else None, float(y)) for y in range(10, 22)]
+    rows = [(f, d, v) for f, d, v in rows if v in (10.0,)] + [(f"20{y:02d}-05-01", "1999-12-31", float(y)) for y in range(11, 22)]
+    points = [("2022-12-31", "2023-02-14")]
+    assert note_case(spark, rows, points) == {"2022-12-31": 10.0}
+    assert note_case(spark, rows, points, window=3) == {"2022-12-31": 21.0}
 
 
 def held(ticker, shares, value):

@@ -1,3 +1,4 @@
+import pytest
 import json
 
 from pyspark.sql import functions as F
@@ -181,3 +182,20 @@ def test_pending_run(spark):
     again = incremental.run_pending(spark, keys, "pl_done", st, ["ticker"], lambda k: k.withColumn("v", F.lit(2)))
     assert {(r.ticker, r.v) for r in again.collect()} == {("A", 1), ("B", 2)}
     spark.sql("DROP TABLE pl_done")
+
+
+def test_staging_needs_the_shared_folder():
+    from posledger.sources.tables import shared_folder
+
+    class Unset:
+        def get(self, key, default=None):
+            return default
+
+        def getConf(self):
+            return self
+
+    class Session:
+        conf = sparkContext = Unset()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
