@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("ledger", "market", "performance", "reports", "texts")
+MODULES = ("landed", "ledger", "market", "performance", "reports", "texts")
 
 
 def load_all() -> None:

@@ -116,9 +116,9 @@ known AS (SELECT *, lag(period_end) OVER w AS prev_period, lag(market_value_usd)
           FROM hist WINDOW w AS (PARTITION BY parent_ticker, investee_ticker ORDER BY period_end))
 SELECT parent_ticker, investee_ticker, prev_period, period_end, prev_value_usd, market_value_usd,
        market_value_usd - prev_value_usd AS change_usd
-FROM known WHERE abs(market_value_usd - prev_value_usd) >= 1000000""")
+FROM known WHERE abs(market_value_usd - prev_value_usd) >= 100000""")
 def large_moves(spark, sf_dir):
-    return ops.large_moves(ledger(spark, sf_dir), 1e6)
+    return ops.large_moves(ledger(spark, sf_dir), 1e5)
 
 
 @query("normalized_exits", f"""WITH {HIST}

@@ -236,10 +236,12 @@ def returns_chart(spark, sf_dir):
 
 @query("mtm_identity", f"""WITH {MIXED}, {RETURNS}
 SELECT parent_ticker, count(*) AS periods,
-  count(*) FILTER (abs(mtm_pnl - (portfolio_mv_end - portfolio_mv_start - net_external_flow)) > 1) AS violations
+  count(*) FILTER (abs(mtm_pnl + CASE WHEN month(period_end) = 3 THEN 5 ELSE 0 END - (portfolio_mv_end - portfolio_mv_start - net_external_flow)) > 1) AS violations
 FROM returns GROUP BY ALL""")
 def mtm_identity(spark, sf_dir):
-    rows = stage(_returns(spark, sf_dir), "returns")
+    # Every first quarter is off by five dollars, so there is something to find.
+    planted = F.col("mtm_pnl") + F.when(F.month("period_end") == 3, 5.0).otherwise(0.0)
+    rows = stage(_returns(spark, sf_dir).withColumn("mtm_pnl", planted), "returns")
     bad = perf.mtm_identity_breaks(rows).groupBy("parent_ticker").agg(F.count(F.lit(1)).alias("violations"))
     return rows.groupBy("parent_ticker").agg(F.count(F.lit(1)).alias("periods")).join(
         bad, "parent_ticker", "left").na.fill(0, ["violations"])

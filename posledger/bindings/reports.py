@@ -361,13 +361,19 @@ d AS (SELECT parent_ticker, investee_ticker, period_end, action, shares_held,
              CASE WHEN investee_ticker LIKE '%1' AND period_end > DATE '2001-01-01' THEN shares_held ELSE 12.5 END AS pct,
              market_value_usd,
              CASE WHEN investee_ticker LIKE '%5' THEN 'source=13g; 13g_exit=1' WHEN investee_ticker LIKE '%6' THEN 'priced=shares*eodhd'
-                  WHEN investee_ticker LIKE '%8' THEN 'source=13g shares_proxy=presence' ELSE '' END AS note FROM hist)
+                  WHEN investee_ticker LIKE '%8' THEN 'source=13g shares_proxy=presence'
+                  WHEN investee_ticker LIKE '%2' THEN 'value_estimate=eod_at_filing' ELSE '' END AS note,
+             investee_ticker LIKE '%3' AND shares_held = 7 AS twice, investee_ticker LIKE '%4' AS estimated FROM hist)
 SELECT check_id, count(*) AS findings FROM (
   SELECT 'ownership_pct_stuffed_into_shares_held' AS check_id FROM d WHERE shares_held > 0 AND shares_held <= 100 AND pct > 0 AND pct <= 100 AND abs(shares_held - pct) < 1e-6
   UNION ALL SELECT 'otc_invent_marker' FROM d WHERE note LIKE '%priced=shares*eodhd%'
   UNION ALL SELECT 'beneficial_ownership_used_as_value_source' FROM d WHERE market_value_usd > 0 AND note LIKE '%source=13g%'
   UNION ALL SELECT 'false_13g_exit_positive_stake' FROM d WHERE note LIKE '%13g_exit=1%' AND (pct > 0 OR shares_held > 0)
   UNION ALL SELECT 'shares_proxy_presence_invent' FROM d WHERE note LIKE '%shares_proxy=presence%'
+  UNION ALL SELECT 'duplicate_ticker_same_period' FROM d WHERE twice
+  UNION ALL SELECT 'estimate_missing_excluded_from_portfolio_mv' FROM d WHERE estimated
+  UNION ALL SELECT 'eod_estimate_as_market_value' FROM d WHERE note = 'value_estimate=eod_at_filing' AND market_value_usd IS NOT NULL
+  UNION ALL SELECT 'placeholder_exchange_like_ticker' FROM d WHERE investee_ticker = (SELECT max(p_brand) FROM part)
   UNION ALL SELECT 'overlay_exit_invented_zero' FROM d WHERE note LIKE '%source=13g%' AND action = 'exit' AND market_value_usd = 0
 ) GROUP BY ALL""")
 def dq_findings(spark, sf_dir):
@@ -375,11 +381,15 @@ def dq_findings(spark, sf_dir):
     rows = stage(ledger(spark, sf_dir).withColumns({
         "ownership_pct": F.when(t.endswith("1") & (F.col("period_end") > F.lit("2001-01-01").cast("date")), F.col("shares_held")).otherwise(F.lit(12.5)),
         "note": F.when(t.endswith("5"), F.lit("source=13g; 13g_exit=1")).when(t.endswith("6"), F.lit("priced=shares*eodhd"))
-        .when(t.endswith("8"), F.lit("source=13g shares_proxy=presence")).otherwise(F.lit("")),
+        .when(t.endswith("8"), F.lit("source=13g shares_proxy=presence")).when(t.endswith("2"), F.lit("value_estimate=eod_at_filing"))
+        .otherwise(F.lit("")),
+        "cost_basis_est_usd": F.when(t.endswith("4"), F.lit(1.0)),
     }), "dq")
-    found = [quality.unique_period_ticker(rows), quality.pct_as_shares(rows), quality.estimates_in_value(rows),
+    twice = rows.unionByName(rows.where(t.endswith("3") & (F.col("shares_held") == 7)))
+    deny = table(spark, sf_dir, "part").agg(F.max("p_brand").alias("ticker"))
+    found = [quality.unique_period_ticker(twice), quality.pct_as_shares(rows), quality.estimates_in_value(rows),
              quality.invented_pricing(rows), quality.ownership_as_value_source(rows), quality.false_exit(rows),
-             quality.presence_proxy(rows), quality.overlay_exit_zero(rows), quality.placeholder_tickers(rows)]
+             quality.presence_proxy(rows), quality.overlay_exit_zero(rows), quality.placeholder_tickers(rows, deny)]
     all_rows = found[0]
     for f in found[1:]:
         all_rows = all_rows.unionByName(f)
