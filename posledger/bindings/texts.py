@@ -9,7 +9,8 @@ from posledger.bindings.registry import query
 from posledger.bindings.views import qend, table
 from posledger.functions import dates, numbers as num, text as txt
 from posledger.operators import ownership, text
-from posledger.plans import summaries
+from posledger.plans import holdings, summaries
+from posledger.schemas import HOLDINGS_SCHEMA, conform
 from posledger.sources import filings
 from posledger.sources.tables import stage
 
@@ -295,7 +296,82 @@ def wide_summary(spark, sf_dir):
         "ticker", "pb_ratio", "is_index_dropout", "method", "lifo_source_quote", "description", "holdings_count")
 
 
-@query("summary_counts", f"""WITH {_CROSS} SELECT count(*) AS num_rows, 0 AS num_lifo_adjusted, 0 AS num_with_adjusted_pb,
-  0 AS num_with_insiders, 0 AS num_with_non_inst, 0 AS num_with_buybacks, 0 AS num_with_holdings FROM crossings""")
+_UNIVERSE_SQL = """h AS (SELECT l_suppkey AS p, l_partkey AS i, CAST(l_shipdate AS DATE) AS d, l_orderkey || '-' || l_linenumber AS acc,
+    CAST(floor(l_extendedprice * 10000.0 + 0.5) AS HUGEINT) AS v, l_linenumber % 2 = 0 AS incl FROM lineitem),
+keys AS (SELECT s_suppkey AS p, CAST(d AS DATE) AS as_of FROM supplier, (VALUES (DATE '1900-01-01'), (DATE '1996-12-31'), (DATE '1999-06-30')) v(d)),
+known AS (SELECT k.as_of, h.* FROM keys k JOIN h ON h.p = k.p AND h.d <= k.as_of
+          QUALIFY row_number() OVER (PARTITION BY k.p, k.as_of, h.i ORDER BY d DESC, acc DESC) = 1)"""
+
+
+@query("universe_rollup_as_of", f"""WITH {_UNIVERSE_SQL}
+SELECT CAST(k.p AS VARCHAR) AS ticker, k.as_of AS as_of_date, count(i) AS holdings_count,
+  CAST(coalesce(sum(v) FILTER (incl), 0) AS DOUBLE) / 10000.0 AS holdings_book_adj_usd,
+  CAST(coalesce(sum(v) FILTER (NOT incl), 0) AS DOUBLE) / 10000.0 AS holdings_lookthrough_mtm_usd,
+  CASE WHEN count(i) = 0 THEN 'no holdings from 13F/13G/notes' END AS extract_error
+FROM keys k LEFT JOIN known USING (p, as_of) GROUP BY ALL""")
+def universe_rollup_as_of(spark, sf_dir):
+    line = table(spark, sf_dir, "lineitem")
+    ticker = F.concat(F.lit("T"), F.col("l_partkey"))
+    held = conform(line.select(
+        F.col("l_suppkey").cast("string").alias("parent_ticker"), ticker.alias("investee_ticker"), ticker.alias("investee_name"),
+        F.col("l_shipdate").cast("date").alias("as_of_date"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("as_of_accession_no"),
+        F.col("l_extendedprice").alias("suggested_adj_usd"), F.col("l_extendedprice").alias("lookthrough_mtm_usd"),
+        (F.col("l_linenumber") % 2 == 0).alias("include_in_book_adj")), HOLDINGS_SCHEMA)
+    dates = F.array(*[F.to_date(F.lit(d)) for d in ("1900-01-01", "1996-12-31", "1999-06-30")])
+    parents = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("ticker"), F.lit(1.0).alias("price"), F.lit(1.0).alias("book_value"),
+        F.lit(1.0).alias("shares"), F.explode(dates).alias("as_of"))
+    _, rollups = holdings.holdings_universe(parents, held)
+    return rollups.select("ticker", "as_of_date", "holdings_count", "holdings_book_adj_usd", "holdings_lookthrough_mtm_usd",
+                          "extract_error")
+
+
+_FULL_SQL = f"""{_CROSS},
+h AS (SELECT user_id AS ticker, event_type AS i, CAST(ts AS DATE) AS d, lpad(CAST(event_id AS VARCHAR), 12, '0') AS acc,
+        CAST(floor(value * 10000.0 + 0.5) AS HUGEINT) AS v FROM events),
+known AS (SELECT c.ticker, c.deletion_date, i, v FROM crossings c JOIN h ON h.ticker = c.ticker AND h.d <= c.deletion_date
+          QUALIFY row_number() OVER (PARTITION BY c.ticker, c.deletion_date, i ORDER BY d DESC, acc DESC) = 1),
+rolled AS (SELECT ticker, deletion_date, count(*) AS n, CAST(sum(v) AS DOUBLE) / 10000.0 AS adj FROM known GROUP BY ALL),
+fullsum AS (SELECT c.ticker, c.deletion_date, c.status, 'LIFO' AS method, c.ticker * 1.0 AS adjusted_bvps, c.ticker * 2.0 AS adjusted_pb_ratio,
+  'text ' || c.ticker AS description, CAST(c.ticker % 50 AS DOUBLE) AS percent_insiders, CAST(100 - c.ticker % 50 AS DOUBLE) AS percent_non_institutions,
+  CAST(c.ticker * 3 AS DOUBLE) AS net_buyback_usd_ttm, coalesce(n, 0) AS holdings_count, coalesce(adj, 0.0) AS holdings_book_adj_usd
+  FROM crossings c LEFT JOIN rolled r ON r.ticker = c.ticker AND r.deletion_date = c.deletion_date)"""
+
+
+def _full(spark, sf_dir):
+    """The backtest summary with every enrichment; holdings are those known at the deletion."""
+    crossings = stage(_crossings(spark, sf_dir).withColumn("shares_at_crossing", F.lit(None).cast("double")), "crossings")
+    t, name = F.col("ticker"), F.lit("x")
+    keys = crossings.select("ticker", "deletion_date").distinct()
+    lifo = keys.select("ticker", F.concat(name, "ticker").alias("accession_no"), F.col("deletion_date").alias("filing_date"),
+                       F.lit("LIFO").alias("method"), (t * 1.0).alias("adjusted_bvps"), (t * 2.0).alias("adjusted_pb_ratio"))
+    texts = keys.select("ticker", F.concat(name, "ticker").alias("accession_no"), F.col("deletion_date").alias("filing_date"),
+                        F.concat(F.lit("text "), "ticker").alias("description"))
+    owned = keys.select("ticker", "deletion_date", (t % 50).cast("double").alias("percent_insiders"),
+                        (100 - t % 50).cast("double").alias("percent_non_institutions"))
+    bought = keys.select("ticker", "deletion_date", (t * 3).cast("double").alias("net_buyback_usd_ttm"))
+    events = table(spark, sf_dir, "events")
+    held = conform(events.select(
+        F.col("user_id").cast("string").alias("parent_ticker"), F.col("event_type").alias("investee_ticker"),
+        F.col("event_type").alias("investee_name"), F.col("ts").cast("date").alias("as_of_date"),
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("as_of_accession_no"), F.col("value").alias("suggested_adj_usd"),
+        F.lit(True).alias("include_in_book_adj")), HOLDINGS_SCHEMA)
+    parents = holdings.backtest_parents(crossings).withColumn("ticker", t.cast("string"))
+    _, rollups = holdings.holdings_universe(parents, held)
+    rollups = rollups.withColumn("ticker", t.cast(crossings.schema["ticker"].dataType))
+    return summaries.backtest_summary(crossings, None, lifo, texts, owned, bought, rollups)
+
+
+@query("backtest_full", f"WITH {_FULL_SQL} SELECT * FROM fullsum")
+def backtest_full(spark, sf_dir):
+    return _full(spark, sf_dir).select(
+        "ticker", "deletion_date", "status", "method", "adjusted_bvps", "adjusted_pb_ratio", "description", "percent_insiders",
+        "percent_non_institutions", "net_buyback_usd_ttm", "holdings_count", "holdings_book_adj_usd")
+
+
+@query("summary_counts", f"""WITH {_FULL_SQL} SELECT count(*) AS num_rows, count(adjusted_bvps) AS num_lifo_adjusted,
+  count(adjusted_pb_ratio) AS num_with_adjusted_pb, count(percent_insiders) AS num_with_insiders,
+  count(percent_non_institutions) AS num_with_non_inst, count(net_buyback_usd_ttm) AS num_with_buybacks,
+  count(*) FILTER (holdings_count > 0) AS num_with_holdings FROM fullsum""")
 def summary_counts(spark, sf_dir):
-    return summaries.summary_counts(summaries.backtest_summary(_crossings(spark, sf_dir)))
+    return summaries.summary_counts(_full(spark, sf_dir))
