@@ -8,43 +8,32 @@ from posledger.functions.text import (
     clean_issuer_name, dash_share_class, normalize_ticker, private_ticker,
 )
 
-_GRAM = 2
-
-
-def _grams(text, width: int = _GRAM):
-    """All character grams of a text (and its single letters, for very short aliases)."""
-    n = F.length(text)
-    wide = F.when(n >= width, F.transform(
-        F.sequence(F.lit(1), n - (width - 1)), lambda i: F.substr(text, i, F.lit(width))))
-    single = F.split(text, "")
-    return F.array_distinct(F.concat(F.coalesce(wide, F.array().cast("array<string>")), single))
+def _substrings(text, lengths):
+    """All substrings of a text that have one of the lengths."""
+    return F.array_distinct(F.flatten(F.transform(lengths, lambda size: F.when(
+        size <= F.length(text), F.transform(
+            F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, size))
+    ).otherwise(F.array().cast("array<string>")))))
 
 
 def substring_match(names: DataFrame, aliases: DataFrame, name: str, either_way: bool = True) -> DataFrame:
     """First alias (by ``alias_order``) contained in the name, or containing it.
 
-    Works on distinct names by an equi-join on character grams: an alias is looked up by its first
-    gram among the grams of the name and, the other way round, a name by its first gram among the
-    grams of the alias; the exact test runs on those candidates only.
+    Distinct names are joined by equality: a name is cut into its substrings of the lengths that aliases
+    have, which meet whole aliases, and an alias, the other way round, into its substrings of all lengths,
+    which meet whole names. Only true hits meet, so a frequent fragment makes no key hot; the list of
+    alias lengths is a scalar of the dimension table.
     """
     distinct = names.select(F.col(name).alias("_n")).where(F.length(name) > 0).distinct()
-    sides = [(
-        distinct.select("_n", F.explode(_grams(F.col("_n"))).alias("_g")),
-        aliases.select("alias", "ticker", "alias_order", F.substring("alias", 1, _GRAM).alias("_g")),
-        F.col("_n").contains(F.col("alias")),
-    )]
+    known = aliases.where(F.length("alias") > 0).select("alias", "ticker", "alias_order")
+    lengths = known.agg(F.sort_array(F.collect_set(F.length("alias"))).alias("l")).scalar()
+    sized = distinct.withColumn("_sizes", lengths)
+    hits = sized.select("_n", F.explode(_substrings(F.col("_n"), F.col("_sizes"))).alias("alias")).join(known, "alias")
     if either_way:
-        sides.append((
-            distinct.select("_n", F.substring("_n", 1, _GRAM).alias("_g")),
-            aliases.select("alias", "ticker", "alias_order", F.explode(_grams(F.col("alias"))).alias("_g")),
-            F.col("alias").contains(F.col("_n")),
-        ))
-    hits = None
-    for left, right, test in sides:
-        found = left.join(right, "_g").where(test).groupBy("_n").agg(
-            F.min(F.struct("alias_order", "ticker")).alias("h"))
-        hits = found if hits is None else hits.unionByName(found)
-    return hits.groupBy("_n").agg(F.min("h").alias("h")).select(
+        size = F.length("alias")
+        cut = known.select(F.explode(_substrings(F.col("alias"), F.sequence(F.lit(1), size))).alias("_n"), "ticker", "alias_order")
+        hits = hits.select("_n", "ticker", "alias_order").unionByName(distinct.join(cut, "_n"))
+    return hits.groupBy("_n").agg(F.min(F.struct("alias_order", "ticker")).alias("h")).select(
         F.col("_n").alias(name), F.col("h.ticker").alias("matched_ticker"),
         F.col("h.alias_order").alias("matched_order"))
 

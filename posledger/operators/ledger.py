@@ -211,7 +211,11 @@ def reclassify_share_ratio(history: DataFrame, partition: str | None = None) ->
     """
     cusip = F.nullif(F.upper(F.trim("cusip")), F.lit(""))
     keyed = history.withColumns({"_t": normalize_ticker("investee_ticker"), "_id": cusip})
-    w = Window.partitionBy("parent_ticker", partition or "_t").orderBy("period_end", "accession_no")
+    # Rows without a ticker are never restated; they are spread instead of meeting in one group.
+    alone = F.when(F.col("_t").isNull(), F.xxhash64("investee_name", "period_end", "accession_no", "shares_held"))
+    by = [partition] if partition else ["_t", "_alone"]
+    keyed = keyed.withColumn("_alone", alone)
+    w = Window.partitionBy("parent_ticker", *by).orderBy("period_end", "accession_no")
     before = F.last(F.when(F.col("action") != "exit", F.col("_id")), ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, -1))
     keyed = keyed.withColumns({"_before": before, "_after": F.lead("_id").over(w)})

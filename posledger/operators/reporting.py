@@ -102,9 +102,11 @@ def pivot_stack(long: DataFrame, value: str, top_n: int | None = None, series: S
                 exclude: Sequence[str] = ()) -> DataFrame:
     """Wide matrix in millions: one row per period, one column per name in chart order, zero filled.
 
-    Without ``series`` the column list is read first; that list (one entry per name) is the only
-    thing that reaches the driver, and a wide table cannot be described without it.
+    Columns are the named ``series`` or the first ``top_n``, one of which the caller states. Only that list
+    reaches the driver, and a wide table cannot be described without it.
     """
+    if series is None and top_n is None:
+        raise ValueError("state the series or their number")
     rows = long.where(~F.upper("investee_ticker").isin(*exclude)) if exclude else long
     if series is None:
         ranked = rank_series(long, value, exclude=exclude, top_n=top_n)

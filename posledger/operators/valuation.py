@@ -57,8 +57,10 @@ def add_usd(broker: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     if rates is None:
         priced = broker.withColumn("rate", F.lit(None).cast("double"))
     else:
-        keyed = broker.withColumn("_one", F.lit(1))
-        priced = asof_join(keyed, rates.withColumn("_one", F.lit(1)), "_one", "as_of", "day", columns=["rate"]).drop("_one", "day")
+        # Rates are looked up once per distinct date, so stakes of one vintage do not meet on a key.
+        days = broker.where(F.col("as_of").isNotNull()).select("as_of", F.lit(1).alias("_one")).distinct()
+        known = asof_join(days, rates.withColumn("_one", F.lit(1)), "_one", "as_of", "day", columns=["rate"]).select("as_of", "rate")
+        priced = broker.join(known, "as_of", "left").select(*broker.columns, "rate")
     fx = F.when(F.col("rate") > 0, F.col("rate")).otherwise(F.lit(fixed.HKD_PER_USD_FALLBACK))
     return priced.withColumns({
         "fx": fx, "value_usd": F.col("value_to_parent_hkd_mn") * 1e6 / fx}).drop("rate")

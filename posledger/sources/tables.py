@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from posledger.schemas import conform
 
@@ -40,14 +40,18 @@ def replace_by_key(df: DataFrame, path: str, key: str) -> None:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Last row per key: one aggregation with a map-side combine, no sort of whole groups."""
-    body = F.struct(*[c for c in df.columns if c not in keys])
-    return df.groupBy(*keys).agg(F.max_by(body, F.struct(*order)).alias("_r")).select(*keys, "_r.*").select(*df.columns)
+    """Last row per key, by the values of ``order`` (nulls are oldest); any of the rows that tie."""
+    return _first(df, keys, F.struct(*order).desc())
 
 
 def earliest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    body = F.struct(*[c for c in df.columns if c not in keys])
-    return df.groupBy(*keys).agg(F.min_by(body, F.struct(*order)).alias("_r")).select(*keys, "_r.*").select(*df.columns)
+    return _first(df, keys, F.struct(*order).asc())
+
+
+def _first(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """First row per key. Every task passes on one row per key, so a hot key stays small in the shuffle."""
+    nr = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    return df.withColumn("_nr", nr).where(F.col("_nr") == 1).select(*df.columns)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
