@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posledger.functions.text import append_tag, holding_key, normalize_ticker
 from posledger.operators.asof import asof_join
+from posledger.sources.tables import stage
 
 
 def period_filings(filings: DataFrame, filer: str = "parent_ticker") -> DataFrame:
@@ -159,50 +160,47 @@ def notes_as_of(notes: DataFrame, grid: DataFrame, window: int | None = None,
 
 # -- look-back window ----------------------------------------------------------------------------
 
-def split_window(periods: DataFrame, start) -> tuple[DataFrame, DataFrame]:
-    """Reporting periods inside the window (by period or filing date) and before it."""
+def _inside(start) -> Column:
     start = F.lit(start).cast("date") if isinstance(start, str) else start
-    inside = F.coalesce(F.col("period_end") >= start, F.lit(False)) | F.coalesce(
+    return F.coalesce(F.col("period_end") >= start, F.lit(False)) | F.coalesce(
         F.col("filing_date") >= start, F.lit(False))
-    return periods.where(inside), periods.where(~inside)
 
 
-def edge_held(rows: DataFrame, periods_in_window: DataFrame) -> DataFrame:
-    """Names with shares in the oldest period of the window."""
-    oldest = periods_in_window.groupBy("parent_ticker").agg(F.min("period_end").alias("period_end"))
-    ticker = normalize_ticker("investee_ticker")
-    return (
-        rows.join(oldest, ["parent_ticker", "period_end"], "left_semi")
-        .where((F.col("shares_held") > 0) & ticker.isNotNull())
-        .select("parent_ticker", ticker.alias("ticker")).distinct()
-    )
+def split_window(periods: DataFrame, start) -> tuple[DataFrame, DataFrame]:
+    """Reporting periods inside the window (by period or filing date) and before it."""
+    inside = _inside(start)
+    return periods.where(inside), periods.where(~inside)
 
 
 def prewindow_backfill(rows: DataFrame, periods: DataFrame, start) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Earlier periods of edge-held names: (rows, periods, truncated names).
 
-    Empty periods before the first and after the last appearance are dropped. A name is truncated
-    when the oldest kept period still holds it, or when nothing before the window is known.
+    Edge-held are names with shares in the oldest period of the window. Empty periods before the first and
+    after the last appearance are dropped. A name is truncated when the oldest kept period still holds it, or
+    when nothing before the window is known. Rows are marked in one pass, a group being the periods of one
+    name, and what matters is written once for the three results.
     """
-    inside, before = split_window(periods, start)
-    edge = edge_held(rows, inside)
-    pre_rows = (
-        rows.join(before.select("parent_ticker", "period_end"), ["parent_ticker", "period_end"], "left_semi")
-        .withColumn("ticker", normalize_ticker("investee_ticker"))
-        .join(edge, ["parent_ticker", "ticker"], "left_semi")
-    )
-    span = pre_rows.groupBy("parent_ticker").agg(
-        F.min("period_end").alias("_lo"), F.max("period_end").alias("_hi"))
-    pre_periods = before.join(span, "parent_ticker").where(
+    inside = _inside(start)
+    of_parent = Window.partitionBy("parent_ticker")
+    grid = periods.groupBy("parent_ticker", "period_end").agg(
+        F.max(inside).alias("_in"), F.max(~inside).alias("_before"))
+    grid = grid.withColumn("_oldest", F.min(F.when(F.col("_in"), F.col("period_end"))).over(of_parent))
+    marked = rows.withColumn("_t", normalize_ticker("investee_ticker")).where(F.col("_t").isNotNull()).join(
+        grid, ["parent_ticker", "period_end"])
+    has_shares = F.coalesce(F.col("shares_held") > 0, F.lit(False))
+    marked = marked.withColumn("_edge", F.col("_in") & (F.col("period_end") == F.col("_oldest")) & has_shares)
+    held = F.max("_edge").over(Window.partitionBy("parent_ticker", "_t"))
+    kept = stage(marked.withColumn("_held", held).where(F.col("_held") & (F.col("_before") | F.col("_edge"))), "prewindow")
+
+    pre = kept.where("_before")
+    span = pre.groupBy("parent_ticker").agg(F.min("period_end").alias("_lo"), F.max("period_end").alias("_hi"))
+    pre_periods = periods.where(~inside).join(span, "parent_ticker").where(
         F.col("period_end").between(F.col("_lo"), F.col("_hi"))).select(*periods.columns)
-    held_at_oldest = (
-        pre_rows.join(span, "parent_ticker")
-        .where((F.col("period_end") == F.col("_lo")) & (F.col("shares_held") > 0))
-        .select("parent_ticker", "ticker").distinct()
-    )
-    unknown = edge.join(span, "parent_ticker", "left_anti")
-    truncated = held_at_oldest.unionByName(unknown).distinct()
-    return pre_rows.drop("ticker"), pre_periods, truncated
+    still = pre.join(span, "parent_ticker").where((F.col("period_end") == F.col("_lo")) & has_shares)
+    unknown = kept.where("_edge").join(span, "parent_ticker", "left_anti")
+    names = ["parent_ticker", F.col("_t").alias("ticker")]
+    truncated = still.select(*names).unionByName(unknown.select(*names)).distinct()
+    return pre.select(*rows.columns), pre_periods, truncated
 
 
 def stamp_truncated(history: DataFrame, truncated: DataFrame) -> DataFrame:

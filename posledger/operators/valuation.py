@@ -89,34 +89,32 @@ def overlay_values(rows: DataFrame, broker: DataFrame, mode: str = "history") ->
         "parent_ticker").distinct().withColumn("_agg", F.lit(True))
 
     t = normalize_ticker("investee_ticker")
-    keyed = rows.withColumn("_t", F.when(~t.startswith("PRIV_"), t)).withColumn("_pe", F.col(period))
-    joined = keyed.join(stakes, match, "left") if mode == "history" else keyed.drop("_pe").join(stakes, match, "left")
-    joined = joined.join(aggregated, "parent_ticker", "left")
-    stamp = _broker_stamp(period if mode == "history" else "b._pe", F.coalesce("_agg", F.lit(False)))
+    keyed = rows.withColumns({"_t": F.when(~t.startswith("PRIV_"), t), "_ours": F.lit(True)})
+    if mode == "history":
+        keyed = keyed.withColumn("_pe", F.col(period))
+    # One full join: a stake without a row of ours becomes a row.
+    both = keyed.join(stakes, match, "full").join(aggregated, "parent_ticker", "left")
+    ours, day = F.coalesce("_ours", F.lit(False)), F.col("_pe" if mode == "history" else "b._pe")
+    both = both.withColumn("_day", F.when(ours, F.col(period) if mode == "history" else day).otherwise(day))
+    stamp = _broker_stamp("_day", F.coalesce("_agg", F.lit(False)))
     fills = F.col("b.value_usd").isNotNull() & F.col("market_value_usd").isNull()
-    kept = joined.withColumns({
+    kept = {
         "ownership_pct": F.coalesce("ownership_pct", "b.ownership_pct"),
         "note": F.when(fills, append_tag("note", stamp)).otherwise(F.col("note")),
         "market_value_usd": F.coalesce("market_value_usd", "b.value_usd"),
-    }).select(*rows.columns)
-
-    have = keyed.where(F.col("_t").isNotNull()).select(*match).distinct()
-    fresh = stakes.join(have, match, "left_anti").join(aggregated, "parent_ticker", "left")
-    day = F.col("_pe") if mode == "history" else F.col("b._pe")
-    fresh = fresh.withColumn("_day", day)
-    new_values = {
-        "parent_ticker": F.col("parent_ticker"), "investee_name": F.col("b.investee_name"),
-        "investee_ticker": F.col("_t"), "ownership_pct": F.col("b.ownership_pct"),
-        "market_value_usd": F.col("b.value_usd"),
-        "note": _broker_stamp("_day", F.coalesce("_agg", F.lit(False))),
+    }
+    added = {
+        "parent_ticker": F.col("parent_ticker"), "investee_name": F.col("b.investee_name"), "investee_ticker": F.col("_t"),
+        "ownership_pct": F.col("b.ownership_pct"), "market_value_usd": F.col("b.value_usd"), "note": stamp,
     }
     if mode == "history":
-        new_values |= {"period_end": F.col("_day"), "filing_date": F.col("_day"), "action": F.lit("hold"),
-                       "first_seen_period": F.col("_day"), "filing_url": F.col("b.source_url")}
+        added |= {"period_end": F.col("_day"), "filing_date": F.col("_day"), "action": F.lit("hold"),
+                  "first_seen_period": F.col("_day"), "filing_url": F.col("b.source_url")}
     else:
-        new_values |= {"as_of_date": F.col("_day"), "price_source": F.lit("broker_sotp")}
-    added = fresh.select(*[new_values[c].alias(c) for c in rows.columns if c in new_values])
-    return kept.unionByName(added, allowMissingColumns=True).select(*rows.columns)
+        added |= {"as_of_date": F.col("_day"), "price_source": F.lit("broker_sotp")}
+    return both.select(*[
+        F.when(ours, kept.get(c, F.col(c))).otherwise(added.get(c, F.lit(None))).cast(rows.schema[c].dataType).alias(c)
+        for c in rows.columns])
 
 
 def _broker_stamp(day: str, exclude: Column) -> Column:
