@@ -2,8 +2,8 @@
 
 Encoding. Tasks cut their documents into blocks of about ``BLOCK_TOKENS`` tokens. A block numbers its own distinct
 words, so a row (block, word, training count) per word of a block is all that leaves the texts; the whole-corpus
-count of a word is a grouped sum of those rows, joined back to the blocks that hold the word. No vocabulary is
-broadcast and no task holds more words than a block has.
+count of a word is a sum over those rows, given back to the blocks that hold the word. No vocabulary is broadcast and
+no task holds more words than a block has.
 
 Model. A word falls into one of ``SYMBOLS`` hash symbols, the end token has its own. Latent states emit symbols, and a
 word is drawn within its symbol by its smoothed count, so P(text) = P(symbol sequence) * prod P(word | symbol).
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posledger.llm.common import text_of
 from posledger.sources.tables import stage
@@ -42,7 +42,7 @@ ROUNDS = 4
 SEGMENT = 256
 #: Tokens of one forward-backward batch.
 BATCH = 1 << 18
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 5_000_000
 #: Documents whose symbol profiles may seed a state (a bounded, hashed sample that only sets the starting point).
 SEEDS = 64
 FIXED_POINT = 1 << 16
@@ -143,18 +143,25 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return rows.mapInArrow(_encode, ENCODED)
 
 
-def word_counts(encoded: DataFrame) -> DataFrame:
-    """(word, symbol, c) over all training tokens."""
-    words = encoded.where("word_row").groupBy("word", "symbol").agg(F.sum("train_count").alias("c"))
-    return words.where("c > 0")
+def counted_words(encoded: DataFrame) -> DataFrame:
+    """(home, word_nr, symbol, train_count, c, first): each block's words with their count over all training tokens.
 
+    One exchange by word: a word has one row per block that holds it, so no key grows beyond the number of blocks.
+    """
+    same = Window.partitionBy("word")
+    return encoded.where("word_row").select(
+        F.col("block").alias("home"), "word_nr", F.col("symbol").cast("short").alias("symbol"), "train_count",
+        F.sum("train_count").over(same).alias("c"),
+        (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
 
-def totals(counts: DataFrame) -> Counts:
-    by_symbol = counts.groupBy("symbol").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
-    tokens, words = np.zeros(SYMBOLS + 1), np.zeros(SYMBOLS + 1)
+
+def totals(words: DataFrame) -> Counts:
+    by_symbol = words.groupBy("symbol").agg(
+        F.sum("train_count").alias("c"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("v")).collect()
+    tokens, distinct = np.zeros(SYMBOLS + 1), np.zeros(SYMBOLS + 1)
     for r in by_symbol:
-        tokens[r.symbol], words[r.symbol] = r.c, r.v
-    return Counts(int(tokens.sum()), int(words.sum()), tokens, words)
+        tokens[r.symbol], distinct[r.symbol] = r.c, r.v
+    return Counts(int(tokens.sum()), int(distinct.sum()), tokens, distinct)
 
 
 # hidden Markov model ------------------------------------------------------------------------------------------
@@ -298,13 +305,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: i
           rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     encoded = stage(encode(docs, doc_id, text), "lm-encoded")
-    known = stage(word_counts(encoded), "lm-counts")
-    counts = totals(known)
+    words = stage(counted_words(encoded), "lm-words")
+    counts = totals(words)
     model = train(encoded, counts, states, rounds)
-    words = encoded.where("word_row").select(
-        F.col("block").alias("home"), "word", "word_nr", "symbol").join(
-        known.select("word", "c"), "word", "left").select(
-        "home", "word_nr", "symbol", F.coalesce("c", F.lit(0)).alias("c"))
+    words = words.select("home", "word_nr", "symbol", "c")
     texts = encoded.where("not word_row").select("block", "doc_id", "held_out", "n_tokens", "terms", "symbols")
     return texts.groupBy("block").cogroup(words.groupBy("home")).applyInArrow(
         lambda left, right: _score(left, right, model, counts), SCORES)
