@@ -187,10 +187,13 @@ def _values(texts: pa.Array) -> pa.Array:
 def labelled_values(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str, Counter]:
     """The values of each kind with the smallest hashes, at most ``sample`` of a kind, in character classes."""
     values = docs.select(F.explode(_values(text_of(text))).alias("v")).select("v.kind", "v.value").distinct()
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    picked = values.withColumn("nr", F.row_number().over(order)).where(F.col("nr") <= sample)
+    order = [F.xxhash64("value"), "value"]
+    # First the best of each of 64 parts of a kind, then the best of those, so no task ranks a whole kind.
+    for keys in (["kind", F.pmod(F.xxhash64("value", F.lit("part")), F.lit(64))], ["kind"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        values = values.withColumn("nr", rank).where(F.col("nr") <= sample).drop("nr")
     out: dict[str, Counter] = {}
-    for r in picked.collect():
+    for r in values.collect():
         out.setdefault(r.kind, Counter())[classes_of(r.value)] += 1
     return out
 
