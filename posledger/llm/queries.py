@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from posledger.llm import chat_format, exact_dedup, html_extraction, lm_scoring, mixing, packing, quality_rules, secrets, simhash, warc
 from posledger.llm.common import read_table
-from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL
+from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL, WARC_SQL
 
 QUERIES, ORACLES = {}, {}
 
@@ -89,4 +89,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_exact_dedup"] = EXACT_DEDUP_SQL
+ORACLES["op4_warc"] = WARC_SQL
 ORACLES["op10_quality_rules"] = QUALITY_SQL

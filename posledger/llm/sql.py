@@ -50,3 +50,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND lost <= {rules.MAX_LOSS} * word_chars AS kept
 FROM judged
 """
+
+#: SHA-1 in base 32: the hex digits as bits, the bits in fives as letters.
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+marked AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS newest FROM p),
+bits AS (
+  SELECT *, array_to_string(list_transform(string_split(sha1(payload), ''), lambda d: substr(
+    '0000000100100011010001010110011110001001101010111100110111101111', 4 * instr('0123456789abcdef', d) - 3, 4)), '') AS b
+  FROM marked)
+SELECT page_id, strlen(payload) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+    + 16 * CAST(b[5 * i + 1] AS INTEGER) + 8 * CAST(b[5 * i + 2] AS INTEGER) + 4 * CAST(b[5 * i + 3] AS INTEGER)
+    + 2 * CAST(b[5 * i + 4] AS INTEGER) + CAST(b[5 * i + 5] AS INTEGER) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM bits
+"""
