@@ -497,3 +497,12 @@ def exit_provenance(spark, sf_dir):
         F.max("period_end").alias("period_end"), F.max_by("accession_no", "period_end").alias("accession_no"),
         F.max_by("filing_date", "period_end").alias("filing_date"))
     return last.join(late, ["parent_ticker", "investee_ticker"], "left_semi")
+
+
+@query("position_provenance", f"""WITH {HIST}
+SELECT parent_ticker, investee_ticker, period_end, action, parent_ticker || '-' || CAST(period_end AS VARCHAR) AS accession_no,
+  period_end AS filing_date, CASE WHEN action = 'exit' THEN period_end END AS exited_period,
+  CASE WHEN action = 'exit' THEN 'source=13g; exit_inferred=missing_from_period' ELSE 'source=13g' END AS note FROM hist""")
+def position_provenance(spark, sf_dir):
+    return ops.diff_snapshots(*_filed(spark, sf_dir)).select(
+        "parent_ticker", "investee_ticker", "period_end", "action", "accession_no", "filing_date", "exited_period", "note")

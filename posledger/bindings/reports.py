@@ -9,7 +9,7 @@ from posledger.bindings.views import (
     HIST, cents, ledger, msum, owned_lines, sql_cents, table,
 )
 from posledger.functions.numbers import scrub_pct_as_shares
-from posledger.functions.valuation import apply_gaap_and_adjustment, lifo_adjustment
+from posledger.functions.valuation import RATIONALES, apply_gaap_and_adjustment, lifo_adjustment
 from posledger.operators import identity, performance as perf, quality, reporting, valuation
 from posledger.schemas import HISTORY_SCHEMA, conform
 from posledger.sources.tables import stage
@@ -182,12 +182,23 @@ adj AS (
 )"""
 
 
+_WHY = {k: v.replace("'", "''") for k, v in RATIONALES.items()}
+
+
 @query("gaap_treatment", f"""WITH {_GAAP} SELECT parent_ticker, investee_ticker, band AS ownership_band, treatment AS gaap_treatment,
-  included AS include_in_book_adj, suggested AS suggested_adj_usd, look AS lookthrough_mtm_usd, mvc AS market_vs_carrying FROM adj""")
+  included AS include_in_book_adj, suggested AS suggested_adj_usd, look AS lookthrough_mtm_usd, mvc AS market_vs_carrying,
+  treatment <> 'measurement_alternative_cost' AS impacts_parent_ni, treatment = 'fv_ni' AS already_at_market,
+  CASE treatment WHEN 'consolidated' THEN 'consolidated_subsidiary' WHEN 'equity_method' THEN 'equity_earnings'
+    WHEN 'fv_ni' THEN 'fv_changes' ELSE 'none_until_sale' END AS ni_mechanism,
+  CASE WHEN hint = 'consolidated' THEN '{_WHY['consolidated_disclosed']}' WHEN pct >= 50 THEN '{_WHY['consolidated_band']}'
+    WHEN infl OR hint = 'equity_method' THEN '{_WHY['equity_disclosed']}' WHEN hint IN ('fv_ni', 'asc_321') THEN '{_WHY['fair_value_disclosed']}'
+    WHEN hint = 'cost' THEN '{_WHY['cost_disclosed']}' WHEN pct >= 20 THEN '{_WHY['equity_band']}'
+    ELSE '{_WHY['fair_value_band']}' END AS adj_rationale FROM adj""")
 def gaap_treatment(spark, sf_dir):
     return apply_gaap_and_adjustment(_holdings(spark, sf_dir)).select(
         "parent_ticker", "investee_ticker", "ownership_band", "gaap_treatment", "include_in_book_adj",
-        "suggested_adj_usd", "lookthrough_mtm_usd", "market_vs_carrying")
+        "suggested_adj_usd", "lookthrough_mtm_usd", "market_vs_carrying", "impacts_parent_ni", "already_at_market",
+        "ni_mechanism", "adj_rationale")
 
 
 @query("gaap_rollup", f"""WITH {_GAAP},
