@@ -227,12 +227,14 @@ def membership_changes(spark, sf_dir):
 def _keys(spark, sf_dir):
     """Brands looked at the end of every February, when year-end reports are partly in."""
     part = table(spark, sf_dir, "part").select(F.col("p_brand").alias("ticker")).distinct()
-    return part.withColumn("as_of", F.explode(F.sequence(
-        F.to_date(F.lit("1996-02-20")), F.to_date(F.lit("2002-02-20")), F.expr("interval 1 year"))))
+    span = table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi"))
+    day = lambda c: span.select(F.make_date(F.year(c) + 1, F.lit(2), F.lit(20))).scalar()
+    return part.withColumn("as_of", F.explode(F.sequence(day("lo"), day("hi"), F.expr("interval 1 year"))))
 
 
 _KEYS = """keys AS (SELECT DISTINCT p_brand AS ticker, CAST(d AS DATE) AS as_of FROM part,
-  generate_series(DATE '1996-02-20', DATE '2002-02-20', INTERVAL 1 YEAR) g(d))"""
+  generate_series((SELECT make_date(year(min(l_shipdate)) + 1, 2, 20) FROM lineitem),
+                  (SELECT make_date(year(max(l_shipdate)) + 1, 2, 20) FROM lineitem), INTERVAL 1 YEAR) g(d))"""
 
 
 def _reports(spark, sf_dir):
@@ -338,7 +340,8 @@ def ownership_pct(spark, sf_dir):
          {msum("CASE WHEN o_orderstatus = 'P' THEN o_totalprice END")} AS issue
   FROM orders GROUP BY ALL),
 keys AS (SELECT DISTINCT o_custkey AS ticker, CAST(d AS DATE) AS as_of FROM orders,
-         generate_series(DATE '1996-06-30', DATE '2001-06-30', INTERVAL 1 YEAR) g(d)),
+         generate_series((SELECT make_date(year(min(o_orderdate)) + 1, 6, 30) FROM orders),
+                         (SELECT make_date(year(max(o_orderdate)), 6, 30) FROM orders), INTERVAL 1 YEAR) g(d)),
 ranked AS (SELECT k.as_of, cf.*, row_number() OVER (PARTITION BY k.ticker, k.as_of ORDER BY filing_date DESC, period_end DESC) AS rn
            FROM keys k JOIN cf ON cf.ticker = k.ticker AND cf.filing_date <= k.as_of),
 agg AS (SELECT ticker, as_of, {msum('sale')} AS s,
@@ -359,8 +362,10 @@ def ttm_last4(spark, sf_dir):
         F.max(F.col("o_orderdate").cast("date")).alias("filing_date"),
         money_sum(F.when(status == "F", -price).when(status == "O", price)).alias("sale_purchase"),
         money_sum(F.when(status == "P", price)).alias("issuance"))
+    span = orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    june = lambda year: span.select(F.make_date(year, F.lit(6), F.lit(30))).scalar()
     keys = orders.select(F.col("o_custkey").alias("ticker")).distinct().withColumn("as_of", F.explode(F.sequence(
-        F.to_date(F.lit("1996-06-30")), F.to_date(F.lit("2001-06-30")), F.expr("interval 1 year"))))
+        june(F.year("lo") + 1), june(F.year("hi")), F.expr("interval 1 year"))))
     return ownership.buybacks_ttm(
         cash, cash.select("ticker", "period_end", "filing_date", F.col("issuance").alias("treasury_stock")), keys,
     ).drop("note")

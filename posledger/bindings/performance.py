@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from posledger.bindings.registry import query
-from posledger.bindings.views import HIST, ledger, msum, msum_over
+from posledger.bindings.views import HIST, ledger, msum, msum_over, table
 from posledger.operators import performance as perf
 from posledger.sources.tables import stage
 
@@ -274,7 +274,7 @@ def holding_returns(spark, sf_dir):
 @query("reported_vs_estimated", f"""WITH {MIXED}, {RETURNS},
 income AS (SELECT parent_ticker, 'FY' || CAST(y AS VARCHAR) AS period_label, make_date(y, 3, 31) AS calendar_end,
                   make_date(y - 1, 4, 1) AS calendar_start, y * 1000.0 AS amount
-           FROM (SELECT DISTINCT parent_ticker FROM port), (SELECT unnest(range(1996, 2002)) AS y))
+           FROM (SELECT DISTINCT parent_ticker FROM port), (SELECT unnest(range((SELECT year(min(l_shipdate)) + 1 FROM lineitem), (SELECT year(max(l_shipdate)) + 1 FROM lineitem))) AS y))
 SELECT i.parent_ticker, i.period_label, i.amount AS company_reported_usd,
        coalesce({msum('r.mtm_pnl')}, 0.0) AS our_mtm_sum_usd,
        coalesce({msum('r.mtm_pnl')}, 0.0) - any_value(i.amount) AS residual_usd
@@ -283,7 +283,8 @@ FROM income i LEFT JOIN returns r ON r.parent_ticker = i.parent_ticker
 GROUP BY i.parent_ticker, i.period_label, i.amount""")
 def reported_vs_estimated(spark, sf_dir):
     returns = stage(_returns(spark, sf_dir), "returns")
-    year = F.explode(F.sequence(F.lit(1996), F.lit(2001)))
+    span = table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi"))
+    year = F.explode(F.sequence(span.select(F.year("lo") + 1).scalar(), span.select(F.year("hi")).scalar()))
     income = returns.select("parent_ticker").distinct().select("parent_ticker", year.alias("y")).select(
         "parent_ticker", F.concat(F.lit("FY"), F.col("y").cast("string")).alias("period_label"),
         F.make_date("y", F.lit(3), F.lit(31)).alias("calendar_end"),

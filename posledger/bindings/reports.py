@@ -128,7 +128,9 @@ def stake_wide(spark, sf_dir):
         F.col("n_name").alias("series_id"), F.col("p_brand").alias("investee_ticker"), F.col("l_returnflag").alias("broker"),
         F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31)).alias("as_of"),
     ).agg(F.sum("l_quantity").alias("ownership_pct"))
-    return reporting.stake_wide(rows, [f"{y}-12-31" for y in range(1995, 2002)])
+    # One column per vintage; the calendar bounds their number.
+    rows = stage(rows, "stakes")
+    return reporting.stake_wide(rows, [str(r.as_of) for r in rows.select("as_of").distinct().orderBy("as_of").collect()])
 
 
 @query("duplicates", """SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, count(*) AS rows FROM lineitem
