@@ -42,7 +42,7 @@ ROUNDS = 4
 SEGMENT = 256
 #: Tokens of one forward-backward batch.
 BATCH = 1 << 18
-BLOCK_TOKENS = 5_000_000
+BLOCK_TOKENS = 2_500_000
 #: Documents whose symbol profiles may seed a state (a bounded, hashed sample that only sets the starting point).
 SEEDS = 64
 FIXED_POINT = 1 << 16
