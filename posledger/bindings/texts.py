@@ -375,3 +375,33 @@ def backtest_full(spark, sf_dir):
   count(*) FILTER (holdings_count > 0) AS num_with_holdings FROM fullsum""")
 def summary_counts(spark, sf_dir):
     return summaries.summary_counts(_full(spark, sf_dir))
+
+
+@query("screener_full", """WITH avg_order AS (SELECT o_custkey, CAST(sum(CAST(floor(o_totalprice * 100.0 + 0.5) AS HUGEINT)) AS DOUBLE) / 100.0 / count(*) AS a,
+    count(*) AS n, CAST(coalesce(sum(CAST(floor(o_totalprice * 10000.0 + 0.5) AS HUGEINT)) FILTER (o_orderstatus = 'F'), 0) AS DOUBLE) / 10000.0 AS adj
+  FROM orders GROUP BY ALL),
+pb AS (SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_acctbal / a AS pb_ratio, a, n, adj FROM customer JOIN avg_order ON c_custkey = o_custkey),
+s AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events), t AS (SELECT max(d) AS today FROM s),
+b AS (SELECT max(d) AS base FROM s, t WHERE d <= today - 10),
+gone AS (SELECT user_id FROM s, b WHERE d = base EXCEPT SELECT user_id FROM s, t WHERE d = today)
+SELECT ticker, pb_ratio, ticker IN (SELECT CAST(user_id AS VARCHAR) FROM gone) AS is_index_dropout, 'LIFO' AS method, n AS holdings_count,
+  adj AS holdings_book_adj_usd, a + adj / 1000.0 AS bvps_holdings_adj FROM pb WHERE pb_ratio > 0 AND pb_ratio < 1""")
+def screener_full(spark, sf_dir):
+    from posledger.bindings.views import cents
+
+    orders, customer, events = (table(spark, sf_dir, n) for n in ("orders", "customer", "events"))
+    ticker = F.col("o_custkey").cast("string")
+    book = orders.groupBy("o_custkey").agg((cents("o_totalprice") / F.count(F.lit(1))).alias("book_value"))
+    quotes = customer.join(book, customer.c_custkey == book.o_custkey).select(
+        ticker.alias("ticker"), F.col("c_acctbal").alias("price"), "book_value", F.lit(1000.0).alias("shares"),
+        (F.col("c_acctbal") / F.col("book_value")).alias("pb_ratio"))
+    members = events.select(F.col("user_id").cast("string").alias("ticker"), F.lit("x").alias("index_name"),
+                            F.col("ts").cast("date").alias("snapshot_date")).distinct()
+    held = conform(orders.select(
+        ticker.alias("parent_ticker"), F.concat(F.lit("H"), "o_orderkey").alias("investee_ticker"), F.concat(F.lit("H"), "o_orderkey").alias("investee_name"),
+        F.col("o_orderdate").cast("date").alias("as_of_date"), F.col("o_totalprice").alias("suggested_adj_usd"),
+        (F.col("o_orderstatus") == "F").alias("include_in_book_adj")), HOLDINGS_SCHEMA)
+    lifo = orders.select(ticker.alias("ticker"), F.concat(F.lit("a"), "o_orderkey").alias("accession_no"),
+                         F.col("o_orderdate").cast("date").alias("filing_date"), F.lit("LIFO").alias("method"))
+    return summaries.run_screener(quotes, members, 10, held, lifo).select(
+        "ticker", "pb_ratio", "is_index_dropout", "method", "holdings_count", "holdings_book_adj_usd", "bvps_holdings_adj")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from posledger.operators import screening
+from posledger.plans import holdings
 from posledger.schemas import BUYBACK_SCHEMA, DESCRIPTION_SCHEMA, LIFO_SCHEMA, OWNERSHIP_SCHEMA
 from posledger.sources.tables import latest_per_key, stage
 
@@ -96,6 +97,20 @@ def backtest_summary(crossings: DataFrame, outcomes: DataFrame | None = None, li
     return enrich(out, rollups, pair, HOLDINGS_COLUMNS, _HOLDINGS_TYPES)
 
 
+def run_screener(quotes: DataFrame, members: DataFrame, lookback_days: int, known_holdings: DataFrame,
+                 lifo: DataFrame | None = None, descriptions: DataFrame | None = None, ownership: DataFrame | None = None,
+                 buybacks: DataFrame | None = None) -> DataFrame:
+    """From the universe to the enriched summary in one plan.
+
+    ``quotes``: ticker, price, book_value, shares, pb_ratio; ``members``: ticker, index_name, snapshot_date.
+    Tickers below book stay, those that left their index are flagged, and their holdings are rolled up.
+    """
+    screened = screening.screening_candidates(screening.price_book_screen(quotes))
+    dropouts = screening.index_dropouts(members, lookback_days)
+    _, rollups = holdings.holdings_universe(screened.select("ticker", "price", "book_value", "shares"), known_holdings)
+    return stock_summary(screened, dropouts, lifo, descriptions, ownership, buybacks, rollups)
+
+
 def summary_counts(summary: DataFrame) -> DataFrame:
     """Coverage of a summary: rows and how many carry each enrichment."""
     known = {"num_lifo_adjusted": "adjusted_bvps", "num_with_adjusted_pb": "adjusted_pb_ratio",
