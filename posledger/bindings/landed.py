@@ -218,13 +218,18 @@ def stake_tables(spark, sf_dir):
     cells = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_partkey").agg(
         F.max(F.col("l_quantity").cast("long")).alias("pct"), F.count(F.lit(1)).alias("n"), F.max("l_orderkey").alias("v"))
     row = F.format_string("Firm%s Inc %s KS %d %,d %,d", "l_partkey", (100000 + F.col("l_partkey")).cast("string"), "pct", "n", "v")
-    # Suppliers take turns between lines of a table and running text.
+    # Suppliers take turns between lines of a table and running text: plain, without heading, with a caption after the
+    # heading, and with the heading first in a table of contents.
     pages = cells.groupBy("l_suppkey").agg(
         _lines(row, None, ["l_partkey"], "\n").alias("rows"), _lines(row, None, ["l_partkey"], " ").alias("run"))
     head = "valuation of strategic investments"
+    turn = F.col("l_suppkey") % 8
+    opening = F.when(turn == 3, F.lit("Holdings of the group: ")).when(
+        turn == 5, F.lit(f"{head} Figure 12: stakes held. Source: company data. Note: rounded. ")).when(
+        turn == 7, F.lit(f"Contents: {head} 4, outlook 9. Figure 3: {head} ")).otherwise(F.lit(f"{head} "))
     pages = pages.select("l_suppkey", F.when(F.col("l_suppkey") % 2 == 0, F.concat(
         F.lit(f"{head}: ticker, stake\n"), "rows", F.lit("\nListed investments 1"))).otherwise(
-        F.concat(F.lit(f"{head} "), "run", F.lit(" Listed investments 1"))).alias("text"))
+        F.concat(opening, "run", F.lit(" Listed investments 1"))).alias("text"))
     return text.extract_stake_table(pages).select(
         "l_suppkey", "investee_ticker", "ownership_pct", "mkt_cap_usd_mn", "value_to_parent_hkd_mn")
 

@@ -469,21 +469,26 @@ def extract_stake_table(df: DataFrame, text: str = "text") -> DataFrame:
         return reduce(lambda a, b: a | b, [low.startswith(s) for s in pat.STAKE_STOPS])
 
     begin = F.struct(F.array().cast("array<string>").alias("rows"), F.lit(False).alias("done"))
-    walked = F.aggregate(F.coalesce("_body", F.array().cast("array<string>")), begin, lambda acc, l: F.when(
-        acc["done"], acc).when(stop(l), F.struct(acc["rows"].alias("rows"), (F.size(acc["rows"]) > 0).alias("done"))
-    ).when(l.rlike(pat.STAKE_ROW), F.struct(F.array_append(acc["rows"], l).alias("rows"), F.lit(False).alias("done"))).otherwise(acc))
-    table = F.array_compact(F.transform(walked["rows"], lambda l: _stake_struct(l, pat.STAKE_ROW)))
+
+    def walk(items, row):
+        """The rows up to the first stop that follows a row."""
+        return F.aggregate(items, begin, lambda acc, l: F.when(acc["done"], acc).when(
+            stop(l), F.struct(acc["rows"].alias("rows"), (F.size(acc["rows"]) > 0).alias("done"))).when(
+            l.rlike(row), F.struct(F.array_append(acc["rows"], l).alias("rows"), F.lit(False).alias("done"))).otherwise(acc))["rows"]
+
+    walked = walk(F.coalesce("_body", F.array().cast("array<string>")), pat.STAKE_ROW)
+    table = F.array_compact(F.transform(walked, lambda l: _stake_struct(l, pat.STAKE_ROW)))
     staged = staged.withColumn("_table", table)
     blob = F.regexp_replace(F.col(text), r"\s+", " ")
     title = "valuation of strategic investments"
-    after = F.substr(blob, F.locate(title, F.lower(blob)) + len(title), F.length(blob))
-    # Read on from the heading to the first line that closes the table.
-    closing = r"(?i)\b(?:" + "|".join(s.strip() for s in pat.STAKE_STOPS) + ")"
-    shut = F.regexp_instr(after, F.lit(closing))
-    inline = F.when(F.locate(title, F.lower(blob)) > 0, F.array_compact(F.transform(
-        F.regexp_extract_all(F.when(shut > 0, F.substr(after, F.lit(1), shut - 1)).otherwise(after),
-                             F.lit(pat.STAKE_INLINE), F.lit(0)),
-        lambda m: _stake_struct(m, pat.STAKE_INLINE))))
+    titled = F.locate(title, F.lower(blob)) > 0
+    after = F.when(titled, F.substr(blob, F.locate(title, F.lower(blob)) + len(title), F.length(blob))).otherwise(blob)
+    # Stakes and stops of the running text in order; a text without heading and table lines has no section to close.
+    closing = r"(?i:\b(?:" + "|".join(pat.STAKE_STOPS) + "))"
+    marks = F.regexp_extract_all(after, F.lit(f"{pat.STAKE_INLINE}|{closing}"), F.lit(0))
+    inline = F.array_compact(F.transform(
+        F.when(titled | (F.size("_table") > 0), walk(marks, pat.STAKE_INLINE)).otherwise(F.filter(marks, lambda m: ~stop(m))),
+        lambda m: _stake_struct(m, pat.STAKE_INLINE)))
     none = F.array().cast(staged.schema["_table"].dataType)
     staged = staged.withColumn("_all", F.concat(F.col("_table"), F.coalesce(inline, none)))
     # Lines come first, so of several hits of one ticker the line wins, then the first inline hit.
