@@ -31,7 +31,7 @@ from posledger.llm.common import text_of
 CAPACITY = 4096
 END_ID = 2
 END = struct.pack("<I", END_ID)
-MEMO = 600_000
+MEMO = 250_000
 #: Latin, Greek and Cyrillic letters, known as such to any Unicode version; the rest goes the whole way.
 LAST_LETTER = "\u052f"
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
