@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from posledger.llm import chat_format, exact_dedup, html_extraction, lm_scoring, mixing, packing, quality_rules, secrets, simhash, warc
+from posledger.llm import (chat_format, exact_dedup, filter_audit, html_extraction, lm_scoring, merkle, mixing, packing,
+                           quality_rules, repeats, secrets, simhash, warc)
 from posledger.llm.common import read_table
-from posledger.llm.sql import EXACT_DEDUP_SQL, QUALITY_SQL, WARC_SQL
+from posledger.llm.sql import EXACT_DEDUP_SQL, FILTER_AUDIT_SQL, MERKLE_SQL, QUALITY_SQL, WARC_SQL
 
 QUERIES, ORACLES = {}, {}
 
@@ -88,6 +89,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(read_table(spark, sf_dir, "documents"), with_kept=False)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 ORACLES["op2_exact_dedup"] = EXACT_DEDUP_SQL
 ORACLES["op4_warc"] = WARC_SQL
 ORACLES["op10_quality_rules"] = QUALITY_SQL
+ORACLES["op11_merkle_manifest"] = MERKLE_SQL
+ORACLES["op12_filter_audit"] = FILTER_AUDIT_SQL
