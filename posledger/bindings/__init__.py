@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("checks", "landed", "ledger", "market", "performance", "reports", "texts")
+MODULES = ("checks", "landed", "ledger", "market", "performance", "reports", "texts", "exports")
 
 
 def load_all() -> None:

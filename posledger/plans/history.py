@@ -6,7 +6,7 @@ once, plans stay small, and a lost executor costs a re-read instead of a re-comp
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from posledger.functions.dates import lookback_start
 from posledger.functions.text import filing_url, holding_key, normalize_ticker
@@ -142,6 +142,6 @@ def window_of(as_of, years: int):
     return lookback_start(as_of, years)
 
 
-def in_display_window(history: DataFrame, window_start: str) -> DataFrame:
+def in_display_window(history: DataFrame, window_start: str | Column) -> DataFrame:
     return history.where(F.col("period_end") >= F.lit(window_start).cast("date"))
 
