@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("checks", "landed", "ledger", "market", "performance", "reports", "texts", "exports")
+MODULES = ("checks", "landed", "ledger", "market", "performance", "reports", "texts", "exports", "histories")
 
 
 def load_all() -> None:

@@ -31,7 +31,7 @@ SHOWN = {
 _SPAN = f"(SELECT max({qend('l_shipdate')}) AS last, year(min(l_shipdate)) AS y0, year(max(l_shipdate)) AS y1 FROM lineitem)"
 _EXPORT_SQL = f"""WITH {MIXED}, {RETURNS},
 win AS (SELECT n_name AS parent_ticker,
-          CAST(CASE WHEN n_name < 'D' THEN last - INTERVAL 2 YEAR ELSE last - INTERVAL 5 YEAR END AS DATE) AS start FROM nation, {_SPAN}),
+          CAST(CASE WHEN n_name LIKE '%0' THEN last - INTERVAL 2 YEAR ELSE last - INTERVAL 5 YEAR END AS DATE) AS start FROM nation, {_SPAN}),
 inside AS (SELECT m.* FROM mixed m JOIN win w ON w.parent_ticker = m.parent_ticker AND m.period_end >= w.start),
 open AS (SELECT * FROM mixed QUALIFY row_number() OVER (PARTITION BY parent_ticker, t ORDER BY period_end DESC) = 1),
 live AS (SELECT * FROM open WHERE action <> 'exit'),
@@ -49,7 +49,7 @@ income AS (SELECT parent_ticker, y, y * 1000.0 AS amount FROM (SELECT DISTINCT p
 reported AS (SELECT i.parent_ticker, i.y, coalesce({msum('r.mtm_pnl')}, 0.0) AS ours, any_value(i.amount) AS amount
              FROM income i LEFT JOIN returns r ON r.parent_ticker = i.parent_ticker
                AND r.period_end BETWEEN make_date(i.y - 1, 4, 1) AND make_date(i.y, 3, 31) GROUP BY ALL)
-SELECT 'current' AS table_name, parent_ticker, period_end, t AS investee_ticker, mv AS value, shares_held AS quantity, 'history_slice' AS label FROM live
+SELECT 'current' AS table_name, parent_ticker, period_end, replace(t, 'BRAND', 'Brand') AS investee_ticker, mv AS value, shares_held AS quantity, 'history_slice' AS label FROM live
 UNION ALL SELECT 'history', parent_ticker, period_end, t, mv, shares_held, action FROM mixed
 UNION ALL SELECT 'portfolio', parent_ticker, period_end, t, mv, NULL, NULL FROM stack
 UNION ALL SELECT 'holdings_qoq_chart', parent_ticker, q, t, mv, NULL, 'display_estimate_or_broker' FROM chart
@@ -99,7 +99,7 @@ def export_parents(spark, sf_dir):
     start = lambda years: last.select(lookback_start("last", years)).scalar()
     folder = f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
     export.export_parents(history, ciks, folder, start(5), income)
-    early = F.col("parent_ticker") < "D"
+    early = F.col("parent_ticker").endswith("0")
     export.export_parents(history.where(early), ciks, folder, start(2), income.where(early))
     broken = history.where(early).withColumn("cost_basis_est_usd", F.lit(1.0))
     try:

@@ -10,7 +10,8 @@ from posledger.bindings.views import (
     msum, prices, qend, table,
 )
 from posledger.functions.dates import quarter_end
-from posledger.operators import asof, ownership, screening
+from posledger.operators import asof, ownership, screening, valuation
+from posledger.sources import tables
 from posledger.sources.tables import stage
 
 
@@ -318,9 +319,9 @@ out AS (SELECT p_brand AS ticker, CAST(date_trunc('year', l_shipdate) AS DATE) A
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
 joined AS (SELECT k.ticker, k.as_of, o.n FROM keys k ASOF LEFT JOIN out o ON o.ticker = k.ticker AND k.as_of >= o.d)
 SELECT j.ticker, j.as_of AS as_of_date, j.n AS shares_outstanding,
-       least(100.0 * f.s / j.n, 100.0) AS percent_insiders,
-       least(100.0 * i.s / j.n, 100.0) AS percent_institutions,
-       greatest(0.0, 100.0 - least(100.0 * i.s / j.n, 100.0)) AS percent_non_institutions
+       CASE WHEN f.s / j.n IS NOT NULL THEN least(100.0 * f.s / j.n, 100.0) END AS percent_insiders,
+       CASE WHEN i.s / j.n IS NOT NULL THEN least(100.0 * i.s / j.n, 100.0) END AS percent_institutions,
+       CASE WHEN i.s / j.n IS NOT NULL THEN greatest(0.0, 100.0 - least(100.0 * i.s / j.n, 100.0)) END AS percent_non_institutions
 FROM joined j LEFT JOIN fresh f ON f.ticker = j.ticker AND f.as_of = j.as_of
      LEFT JOIN inst i ON i.ticker = j.ticker AND i.as_of = j.as_of""")
 def ownership_pct(spark, sf_dir):
@@ -469,6 +470,29 @@ def latest_per_key(spark, sf_dir):
     return latest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
+@query("earliest_per_key", """SELECT o_custkey, arg_min(o_orderkey, (CAST(o_orderdate AS DATE), o_orderkey)) AS o_orderkey,
+  arg_min(o_totalprice, (CAST(o_orderdate AS DATE), o_orderkey)) AS o_totalprice FROM orders GROUP BY ALL""")
+def earliest_per_key(spark, sf_dir):
+    return tables.earliest_per_key(table(spark, sf_dir, "orders"), ["o_custkey"], [F.col("o_orderdate").cast("date"), "o_orderkey"]).select(
+        "o_custkey", "o_orderkey", "o_totalprice")
+
+
+@query("dated_rates", """WITH rates AS (SELECT CAST(o_orderdate AS DATE) AS day, max(o_orderkey % 10) / 10.0 + 7.0 * (min(o_orderkey) % 3) AS rate FROM orders
+  WHERE o_orderpriority LIKE '1%' GROUP BY ALL),
+stakes AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) - 700 AS as_of, l_quantity AS v FROM lineitem),
+hit AS (SELECT s.*, r.rate FROM stakes s ASOF LEFT JOIN rates r ON s.as_of >= r.day)
+SELECT l_orderkey, l_linenumber, CASE WHEN rate > 0 THEN rate ELSE 7.8 END AS fx, v * 1e6 / CASE WHEN rate > 0 THEN rate ELSE 7.8 END AS value_usd FROM hit""")
+def dated_rates(spark, sf_dir):
+    # Days without a useful rate, and stakes older than the first rate, fall back on the fixed one.
+    rates = table(spark, sf_dir, "orders").where(F.col("o_orderpriority").startswith("1")).groupBy(
+        F.col("o_orderdate").cast("date").alias("day")).agg(
+        (F.max(F.col("o_orderkey") % 10) / F.lit(10.0) + F.lit(7.0) * (F.min("o_orderkey") % 3)).alias("rate"))
+    stakes = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.date_sub(F.col("l_shipdate").cast("date"), 700).alias("as_of"),
+        F.col("l_quantity").alias("value_to_parent_hkd_mn"))
+    return valuation.add_usd(stakes, rates).select("l_orderkey", "l_linenumber", "fx", "value_usd")
+
+
 @query("upsert_last_wins", """WITH t AS (SELECT doc_id, CAST(n_chars AS BIGINT) AS score FROM documents),
 u AS (SELECT doc_id, CAST(quality * 10 + toxic AS BIGINT) AS score FROM labels)
 SELECT doc_id, coalesce(u.score, t.score) AS score FROM t FULL OUTER JOIN u USING (doc_id)""")

@@ -234,6 +234,37 @@ def returns_chart(spark, sf_dir):
         F.round("cum_growth_index", 6).alias("cum_growth_index"))
 
 
+@query("realized_chart", f"""WITH {MIXED}, {RETURNS}
+SELECT parent_ticker, period_end, round(ra / 1000000.0, 6) AS realized_pnl_qoq_m,
+  round({msum_over('ra', 'PARTITION BY parent_ticker ORDER BY period_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')} / 1000000.0, 6) AS cum_realized_pnl_m
+FROM returns""")
+def realized_chart(spark, sf_dir):
+    return perf.realized_chart(_returns(spark, sf_dir)).select(
+        "parent_ticker", "period_end", F.round("realized_pnl_qoq_m", 6).alias("realized_pnl_qoq_m"),
+        F.round("cum_realized_pnl_m", 6).alias("cum_realized_pnl_m"))
+
+
+@query("returns_chart_with_footer", f"""WITH {MIXED}, {RETURNS},
+chart AS (SELECT parent_ticker, row_number() OVER (PARTITION BY parent_ticker ORDER BY period_end) AS line_no,
+            CAST(period_end AS VARCHAR) AS period_end, round(dietz * 100.0, 6) AS dietz_return_pct, round(growth, 6) AS cum_growth_index FROM returns),
+ends AS (
+  SELECT parent_ticker, min(period_end) AS first_p, max(CASE WHEN growth IS NOT NULL THEN period_end END) AS end_period, count(*) AS n,
+         max(CASE WHEN is_break THEN period_end END) AS break_p,
+         arg_max(growth, CASE WHEN growth IS NOT NULL THEN period_end END) AS cum_end FROM returns GROUP BY ALL),
+spans AS (SELECT *, CASE WHEN end_period IS NULL THEN NULL WHEN break_p <= end_period THEN break_p ELSE first_p END AS start_period FROM ends),
+rated AS (SELECT *, (end_period - start_period) / 365.25 AS years, CASE WHEN (end_period - start_period) / 365.25 > 0 AND cum_end > 0
+            THEN pow(cum_end, 1.0 / ((end_period - start_period) / 365.25)) - 1.0 END AS cagr FROM spans)
+SELECT * FROM chart
+UNION ALL SELECT parent_ticker, n + 1, '', NULL, NULL FROM rated
+UNION ALL SELECT parent_ticker, n + 2, 'CAGR (estimated Dietz)', round(cagr * 100.0, 6), NULL FROM rated
+UNION ALL SELECT parent_ticker, n + 3, CASE WHEN cagr IS NULL THEN 'note=estimated; Modified Dietz; not tax/GAAP' ELSE
+  printf('years=%.2f; ', years) || start_period || '→' || end_period || '; estimated; Modified Dietz; not tax/GAAP' END, NULL, NULL FROM rated""")
+def returns_chart_with_footer(spark, sf_dir):
+    return perf.returns_chart_with_footer(_returns(spark, sf_dir)).select(
+        "parent_ticker", "line_no", "period_end", F.round("dietz_return_pct", 6).alias("dietz_return_pct"),
+        F.round("cum_growth_index", 6).alias("cum_growth_index"))
+
+
 @query("mtm_identity", f"""WITH {MIXED}, {RETURNS}
 SELECT parent_ticker, count(*) AS periods,
   count(*) FILTER (abs(mtm_pnl + CASE WHEN month(period_end) = 3 THEN 5 ELSE 0 END - (portfolio_mv_end - portfolio_mv_start - net_external_flow)) > 1) AS violations

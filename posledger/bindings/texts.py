@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from posledger.bindings.market import _CROSS, _OUTCOME, _crossings, _outcomes
 from posledger.bindings.registry import query
-from posledger.bindings.views import qend, table
+from posledger.bindings.views import (
+    ADDITIONS, additions, book_series, deletions, earnings_series, msum, prices, qend, table,
+)
 from posledger.functions import dates, numbers as num, text as txt
+from posledger.functions.dates import quarter_end_on_or_before
 from posledger.operators import ownership, text
 from posledger.plans import holdings, summaries
 from posledger.schemas import HOLDINGS_SCHEMA, conform
@@ -89,6 +92,35 @@ def keyword_windows(spark, sf_dir):
     return text.keyword_windows(docs, "text", _KEYS, _PRIORITY, _WIDTH).drop("text")
 
 
+_SLICE = 40
+_SLICES_SQL = f"""lines AS (SELECT o_custkey, o_orderkey, 'Order ' || o_orderkey || ' ' || repeat('of plain goods ', o_orderkey % 9) || CASE
+    WHEN o_custkey % 5 > 0 THEN 'We held ' || o_orderkey % 60 || '% of it' WHEN o_orderkey % 3 = 0 THEN 'Equity method investees' ELSE 'nothing' END AS line FROM orders),
+t AS (SELECT o_custkey, string_agg(line, ' ' ORDER BY o_orderkey) AS text FROM lines GROUP BY o_custkey),
+cut AS (SELECT *, length(text) AS size,
+  CASE WHEN o_custkey % 5 > 0 THEN regexp_split_to_array(lower(text), 'we held [0-9]+%') ELSE regexp_split_to_array(lower(text), 'equity method investees') END AS gaps,
+  CASE WHEN o_custkey % 5 > 0 THEN regexp_extract_all(lower(text), 'we held [0-9]+%') ELSE regexp_extract_all(lower(text), 'equity method investees') END AS hits FROM t),
+each AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM cut),
+at AS (SELECT o_custkey, text, size, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS pos,
+  length(hits[i]) AS k FROM each),
+spans AS (SELECT o_custkey, text, greatest(0, pos - {_SLICE}) AS lo, least(size, pos + k + {_SLICE}) AS hi FROM "at"),
+reaches AS (SELECT *, max(hi) OVER (PARTITION BY o_custkey ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM spans),
+isles AS (SELECT *, sum(CASE WHEN reach IS NULL OR lo > reach THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey ORDER BY lo, hi) AS isle FROM reaches),
+merged AS (SELECT o_custkey, any_value(text) AS text, min(lo) AS lo, max(hi) AS hi FROM isles GROUP BY o_custkey, isle),
+joined AS (SELECT o_custkey, string_agg(substring(text, CAST(lo AS BIGINT) + 1, CAST(hi - lo AS BIGINT)), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY lo) AS slices
+           FROM merged GROUP BY o_custkey)"""
+
+
+@query("ownership_slices", f"WITH {_SLICES_SQL.replace('at AS (', chr(34) + 'at' + chr(34) + ' AS (')} SELECT t.o_custkey, coalesce(slices, '') AS slices FROM t LEFT JOIN joined USING (o_custkey)")
+def ownership_slices(spark, sf_dir):
+    key, order = F.col("o_custkey"), F.col("o_orderkey")
+    told = F.when(key % 5 > 0, F.concat(F.lit("We held "), (order % 60).cast("string"), F.lit("% of it"))).when(
+        order % 3 == 0, F.lit("Equity method investees")).otherwise(F.lit("nothing"))
+    line = F.concat(F.lit("Order "), order.cast("string"), F.lit(" "), F.expr("repeat('of plain goods ', cast(o_orderkey % 9 as int))"), told)
+    texts = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"]), " ").alias("text"))
+    return text.ownership_slices(texts, "text", _SLICE).drop("text")
+
+
 @query("extract_facts", r"""SELECT doc_id, unnest(regexp_extract_all(text, '(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})')) AS fact FROM documents""")
 def extract_facts(spark, sf_dir):
     pattern = r"(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})"
@@ -326,47 +358,96 @@ def universe_rollup_as_of(spark, sf_dir):
                           "extract_error")
 
 
-_FULL_SQL = f"""{_CROSS},
-h AS (SELECT user_id AS ticker, event_type AS i, CAST(ts AS DATE) AS d, lpad(CAST(event_id AS VARCHAR), 12, '0') AS acc,
-        CAST(floor(value * 10000.0 + 0.5) AS HUGEINT) AS v FROM events),
-known AS (SELECT c.ticker, c.deletion_date, i, v FROM crossings c JOIN h ON h.ticker = c.ticker AND h.d <= c.deletion_date
-          QUALIFY row_number() OVER (PARTITION BY c.ticker, c.deletion_date, i ORDER BY d DESC, acc DESC) = 1),
-rolled AS (SELECT ticker, deletion_date, count(*) AS n, CAST(sum(v) AS DOUBLE) / 10000.0 AS adj FROM known GROUP BY ALL),
-fullsum AS (SELECT c.ticker, c.deletion_date, c.status, 'LIFO' AS method, c.ticker * 1.0 AS adjusted_bvps, c.ticker * 2.0 AS adjusted_pb_ratio,
-  'text ' || c.ticker AS description, CAST(c.ticker % 50 AS DOUBLE) AS percent_insiders, CAST(100 - c.ticker % 50 AS DOUBLE) AS percent_non_institutions,
-  CAST(c.ticker * 3 AS DOUBLE) AS net_buyback_usd_ttm, coalesce(n, 0) AS holdings_count, coalesce(adj, 0.0) AS holdings_book_adj_usd
-  FROM crossings c LEFT JOIN rolled r ON r.ticker = c.ticker AND r.deletion_date = c.deletion_date)"""
+_PREV_Q = "CAST(date_trunc('quarter', {0} + 1) - INTERVAL 1 DAY AS DATE)"
+_FULL_SQL = f"""{_CROSS}, {ADDITIONS},
+day AS (SELECT user_id AS ticker, event_id AS e, event_type AS kind, CAST(ts AS DATE) AS d, value AS v, lpad(CAST(event_id AS VARCHAR), 12, '0') AS acc FROM events),
+again AS (SELECT c.ticker, min(a.added_date) AS reentry_date FROM crossings c JOIN additions a ON a.ticker = c.ticker AND a.added_date > c.crossing_date
+          WHERE status = 'crossed' GROUP BY ALL),
+lastday AS (SELECT max(date) AS m FROM prices),
+best AS (SELECT a.ticker, arg_max(p.close, (p.close, -datediff('day', DATE '1970-01-01', p.date))) AS close FROM again a
+         JOIN prices p ON p.ticker = a.ticker AND p.date BETWEEN a.reentry_date AND a.reentry_date + 365 GROUP BY ALL),
+recent AS (SELECT ticker, arg_max(close, date) AS close FROM prices, lastday WHERE date >= m - 10 GROUP BY ALL),
+outcome AS (SELECT c.ticker, a.reentry_date IS NOT NULL AS back, CASE WHEN a.reentry_date IS NOT NULL THEN b.close ELSE r.close END AS px, c.buy_price
+            FROM crossings c LEFT JOIN again a ON a.ticker = c.ticker LEFT JOIN best b ON b.ticker = c.ticker LEFT JOIN recent r ON r.ticker = c.ticker
+            WHERE status = 'crossed'),
+filed AS (SELECT ticker, e % 3 AS owner, d, max(v) AS v FROM day WHERE kind = 'click' GROUP BY ALL),
+owners AS (SELECT c.ticker, owner, arg_max(v, d) AS v FROM deletions c JOIN filed f ON f.ticker = c.ticker AND f.d <= c.deletion_date GROUP BY ALL),
+insider AS (SELECT ticker, {msum('v')} AS s, count(*) AS n FROM owners WHERE v > 0 GROUP BY ALL),
+reports AS (SELECT ticker, e % 5 AS manager, {_PREV_Q.format('(d - 45)')} AS period_end, d, sum(CAST(floor(v * 10000.0 + 0.5) AS HUGEINT)) AS s FROM day WHERE kind = 'view' GROUP BY ALL),
+q AS (SELECT ticker, deletion_date, {_PREV_Q.format('(deletion_date - 45)')} AS q0 FROM deletions),
+tries AS (SELECT ticker, deletion_date, 0 AS t, q0 AS period_end FROM q UNION ALL SELECT ticker, deletion_date, 1, {_PREV_Q.format('(q0 - 1 - 45)')} FROM q),
+managers AS (SELECT t.ticker, t.t, manager, arg_max(s, d) AS s FROM tries t JOIN reports r ON r.ticker = t.ticker AND r.period_end = t.period_end AND r.d <= t.deletion_date GROUP BY ALL),
+inst AS (SELECT * FROM (SELECT ticker, t, CAST(sum(s) AS DOUBLE) / 10000.0 AS s, count(*) AS n FROM managers GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY t) = 1),
+counted AS (SELECT d.ticker, arg_max(bvps, filed) * 100.0 AS n, arg_max(bvps, filed) AS treasury FROM deletions d JOIN book b ON b.ticker = d.ticker AND b.filed <= d.deletion_date GROUP BY ALL),
+flows AS (SELECT d.ticker, e.net_income AS x FROM deletions d JOIN earn e ON e.ticker = d.ticker AND e.filed <= d.deletion_date
+          QUALIFY row_number() OVER (PARTITION BY d.ticker ORDER BY e.filed DESC) <= 4),
+spent AS (SELECT ticker, {msum('x')} AS s, {msum('CASE WHEN x < 0 THEN -x ELSE 0.0 END')} AS g, count(*) AS n FROM flows GROUP BY ALL),
+facts AS (SELECT ticker, arg_max(v, (d, acc)) AS reserve, arg_max(e, (d, acc)) % 3 AS basis FROM day WHERE kind = 'error' GROUP BY ALL),
+told AS (SELECT ticker, 'event ' || arg_max(e, (d, acc)) AS description FROM day WHERE kind = 'click' GROUP BY ALL),
+adjusted AS (SELECT f.*, c.buy_price, bvps_at_crossing + reserve / (bvps_at_crossing * 10.0) AS adj,
+               coalesce(basis <> 1 AND reserve > 0 AND c.buy_price IS NOT NULL AND bvps_at_crossing > 0, false) AS ok
+             FROM facts f JOIN crossings c ON c.ticker = f.ticker),
+known AS (SELECT c.ticker, i.kind, i.v FROM deletions c JOIN day i ON i.ticker = c.ticker AND i.d <= c.deletion_date
+          QUALIFY row_number() OVER (PARTITION BY c.ticker, i.kind ORDER BY i.d DESC, i.acc DESC) = 1),
+rolled AS (SELECT ticker, count(*) AS n, CAST(sum(CAST(floor(v * 10000.0 + 0.5) AS HUGEINT)) AS DOUBLE) / 10000.0 AS adj FROM known GROUP BY ALL),
+fullsum AS (SELECT CAST(c.ticker AS VARCHAR) AS ticker, c.deletion_date, c.status,
+  CASE WHEN o.ticker IS NULL THEN NULL WHEN px IS NULL THEN 'insufficient_data' WHEN back THEN 'realized' ELSE 'still_holding' END AS return_status,
+  px AS sell_price, (px - o.buy_price) / o.buy_price * 100.0 AS return_pct,
+  CASE WHEN a.ticker IS NOT NULL THEN 'LIFO' END AS method, (['US_GAAP', 'IFRS', 'unclear'])[a.basis + 1] AS accounting_basis,
+  CASE WHEN ok THEN a.adj END AS adjusted_bvps, CASE WHEN ok THEN a.buy_price / a.adj END AS adjusted_pb_ratio, description,
+  CASE WHEN i.s / k.n IS NOT NULL THEN least(100.0 * i.s / k.n, 100.0) END AS percent_insiders,
+  CASE WHEN h.s / k.n IS NOT NULL THEN least(100.0 * h.s / k.n, 100.0) END AS percent_institutions,
+  CASE WHEN h.s / k.n IS NOT NULL THEN greatest(0.0, 100.0 - least(100.0 * h.s / k.n, 100.0)) END AS percent_non_institutions,
+  coalesce(i.n, 0) AS insider_owner_count, coalesce(h.n, 0) AS institutional_holder_count,
+  CASE WHEN b.s IS NOT NULL THEN greatest(0.0, -b.s) END AS net_buyback_usd_ttm, b.g AS gross_repurchase_usd_ttm,
+  k.treasury AS treasury_stock, coalesce(b.n, 0) AS buyback_quarters_used, coalesce(r.n, 0) AS holdings_count, coalesce(r.adj, 0.0) AS holdings_book_adj_usd
+  FROM crossings c LEFT JOIN outcome o ON o.ticker = c.ticker LEFT JOIN adjusted a ON a.ticker = c.ticker LEFT JOIN told t ON t.ticker = c.ticker
+  LEFT JOIN insider i ON i.ticker = c.ticker LEFT JOIN inst h ON h.ticker = c.ticker LEFT JOIN counted k ON k.ticker = c.ticker
+  LEFT JOIN spent b ON b.ticker = c.ticker LEFT JOIN rolled r ON r.ticker = c.ticker)"""
 
 
 def _full(spark, sf_dir):
-    """The backtest summary with every enrichment; holdings are those known at the deletion."""
-    crossings = stage(_crossings(spark, sf_dir).withColumn("shares_at_crossing", F.lit(None).cast("double")), "crossings")
-    t, name = F.col("ticker"), F.lit("x")
-    keys = crossings.select("ticker", "deletion_date").distinct()
-    lifo = keys.select("ticker", F.concat(name, "ticker").alias("accession_no"), F.col("deletion_date").alias("filing_date"),
-                       F.lit("LIFO").alias("method"), (t * 1.0).alias("adjusted_bvps"), (t * 2.0).alias("adjusted_pb_ratio"))
-    texts = keys.select("ticker", F.concat(name, "ticker").alias("accession_no"), F.col("deletion_date").alias("filing_date"),
-                        F.concat(F.lit("text "), "ticker").alias("description"))
-    owned = keys.select("ticker", "deletion_date", (t % 50).cast("double").alias("percent_insiders"),
-                        (100 - t % 50).cast("double").alias("percent_non_institutions"))
-    bought = keys.select("ticker", "deletion_date", (t * 3).cast("double").alias("net_buyback_usd_ttm"))
-    events = table(spark, sf_dir, "events")
+    """The whole backtest: users leave an index, and events of each kind are their bars, books, reports and filings."""
+    text = lambda df: df.withColumn("ticker", F.col("ticker").cast("string"))
+    bars, book = text(prices(spark, sf_dir)), text(book_series(spark, sf_dir))
+    earned = text(earnings_series(spark, sf_dir))
+    day = F.col("ts").cast("date")
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("ticker"), "event_id", "event_type", day.alias("filing_date"), "value",
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("accession_no"))
+    of = lambda kind: events.where(F.col("event_type") == kind)
+    insiders = of("click").select("ticker", (F.col("event_id") % 3).alias("owner"), "filing_date", F.col("value").alias("shares"))
+    institutions = of("view").select(
+        "ticker", (F.col("event_id") % 5).alias("manager"), quarter_end_on_or_before(F.date_sub("filing_date", 45)).alias("period_end"),
+        "filing_date", F.col("value").alias("shares"))
+    filed = F.col("filed")
+    outstanding = book.select("ticker", filed.alias("shares_date"), (F.col("bvps") * 100.0).alias("shares_outstanding"))
+    cash = earned.select("ticker", filed.alias("period_end"), filed.alias("filing_date"), F.col("net_income").alias("sale_purchase"),
+                         F.lit(None).cast("double").alias("issuance"))
+    sheet = book.select("ticker", filed.alias("period_end"), filed.alias("filing_date"), F.col("bvps").alias("treasury_stock"))
+    basis = F.element_at(F.array(F.lit("US GAAP"), F.lit("IFRS"), F.lit("")), (F.col("event_id") % 3 + 1).cast("int"))
+    facts = of("error").select("ticker", "accession_no", "filing_date", basis.alias("basis"), F.lit("LIFO").alias("method"),
+                               F.lit(True).alias("lifo_reserve_disclosed"), F.col("value").alias("lifo_reserve_usd"))
+    told = of("click").select("ticker", "accession_no", "filing_date", F.concat(F.lit("event "), "event_id").alias("description"))
     held = conform(events.select(
-        F.col("user_id").cast("string").alias("parent_ticker"), F.col("event_type").alias("investee_ticker"),
-        F.col("event_type").alias("investee_name"), F.col("ts").cast("date").alias("as_of_date"),
-        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("as_of_accession_no"), F.col("value").alias("suggested_adj_usd"),
+        F.col("ticker").alias("parent_ticker"), F.col("event_type").alias("investee_ticker"), F.col("event_type").alias("investee_name"),
+        F.col("filing_date").alias("as_of_date"), F.col("accession_no").alias("as_of_accession_no"), F.col("value").alias("suggested_adj_usd"),
         F.lit(True).alias("include_in_book_adj")), HOLDINGS_SCHEMA)
-    parents = holdings.backtest_parents(crossings).withColumn("ticker", t.cast("string"))
-    _, rollups = holdings.holdings_universe(parents, held)
-    rollups = rollups.withColumn("ticker", t.cast(crossings.schema["ticker"].dataType))
-    return summaries.backtest_summary(crossings, None, lifo, texts, owned, bought, rollups)
+    return summaries.run_backtest_summary(
+        text(deletions(spark, sf_dir)), text(additions(spark, sf_dir)), bars, book.withColumn("shares", F.col("bvps") * 10.0), earned,
+        bars.agg(F.max("date")).scalar(), insiders, institutions, outstanding, cash, sheet, facts, told, held)
+
+
+_FULL_COLUMNS = (
+    "ticker", "deletion_date", "status", "return_status", "sell_price", "return_pct", "method", "accounting_basis", "adjusted_bvps",
+    "adjusted_pb_ratio", "description", "percent_insiders", "percent_institutions", "percent_non_institutions", "insider_owner_count",
+    "institutional_holder_count", "net_buyback_usd_ttm", "gross_repurchase_usd_ttm", "treasury_stock", "buyback_quarters_used",
+    "holdings_count", "holdings_book_adj_usd")
 
 
 @query("backtest_full", f"WITH {_FULL_SQL} SELECT * FROM fullsum")
 def backtest_full(spark, sf_dir):
-    return _full(spark, sf_dir).select(
-        "ticker", "deletion_date", "status", "method", "adjusted_bvps", "adjusted_pb_ratio", "description", "percent_insiders",
-        "percent_non_institutions", "net_buyback_usd_ttm", "holdings_count", "holdings_book_adj_usd")
+    return _full(spark, sf_dir).select(*_FULL_COLUMNS)
 
 
 @query("summary_counts", f"""WITH {_FULL_SQL} SELECT count(*) AS num_rows, count(adjusted_bvps) AS num_lifo_adjusted,

@@ -50,11 +50,14 @@ def divide(a, b) -> Column:
 
 
 def pct_capped(value) -> Column:
-    return F.least(_as_col(value), F.lit(100.0))
+    """At most 100; an unknown percentage stays unknown."""
+    value = _as_col(value)
+    return F.when(value.isNotNull(), F.least(value, F.lit(100.0)))
 
 
 def pct_complement(value) -> Column:
-    return F.greatest(F.lit(0.0), F.lit(100.0) - _as_col(value))
+    value = _as_col(value)
+    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.lit(100.0) - value))
 
 
 def period_price(action, value, shares, value_prev, shares_prev) -> Column:

@@ -8,6 +8,7 @@ and only then do left rows look inside their own bucket. No task ever holds a wh
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -121,7 +122,61 @@ def _inside_bucket(lhs, rhs, carry, by, left_on, forward, allow_exact) -> DataFr
     )
 
 
+@dataclass(frozen=True)
+class Side:
+    """A dated series to look up: its rows, their date and the columns wanted."""
+
+    rows: DataFrame
+    on: str
+    columns: tuple[str, ...] = ()
+    #: ``backward``, ``forward`` or ``nearest`` (a tie goes backward).
+    direction: str = "backward"
+    tolerance_days: int | None = None
+
+
+def asof_join_many(left: DataFrame, by: str | Sequence[str], left_on: str, sides: dict[str, Side]) -> DataFrame:
+    """``left`` with one struct per side: the date and the columns of the row that counts as of ``left_on``, or NULL.
+
+    All sides and both directions are carried in one pass: rows of all series are folded to one row per key and day,
+    one window over the days of a key carries every side, and the left rows are joined once. Dates only; rows of one
+    side and day are resolved by their column values. As in ``asof_join`` no task holds more than the days of a key.
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    body = {n: F.struct(F.col(s.on).alias(s.on), *[c for c in s.columns if c != s.on]) for n, s in sides.items()}
+    marks = left.where(F.col(left_on).isNotNull()).select(*by, F.col(left_on).alias(_B)).distinct()
+    rows = marks
+    for name, side in sides.items():
+        known = side.rows.where(F.col(side.on).isNotNull())
+        rows = rows.unionByName(known.select(*by, F.col(side.on).alias(_B), body[name].alias(name)), allowMissingColumns=True)
+    # Of several rows of a day the last counts looking back and the first looking ahead, as in asof_join.
+    back, ahead = ([n for n, s in sides.items() if s.direction != d] for d in ("forward", "backward"))
+    days = rows.groupBy(*by, _B).agg(*[F.max(n).alias(f"__b_{n}") for n in back], *[F.min(n).alias(f"__a_{n}") for n in ahead])
+    order = Window.partitionBy(*by).orderBy(_B)
+    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    carried = days.select(
+        *by, _B, *[F.last(f"__b_{n}", ignorenulls=True).over(before).alias(f"__before_{n}") for n in back],
+        *[F.first(f"__a_{n}", ignorenulls=True).over(after).alias(f"__after_{n}") for n in ahead])
+    joined = left.withColumn(_B, F.col(left_on)).join(carried, [*by, _B], "left")
+    return joined.select(*left.columns, *[_counting(n, s, left_on).alias(n) for n, s in sides.items()])
+
+
+def _counting(name: str, side: Side, left_on: str) -> Column:
+    """The row of a side that counts: of the carried ones the closer, if it is close enough."""
+    gap = lambda hit: F.abs(F.datediff(F.col(left_on), hit[side.on]))
+    if side.direction == "nearest":
+        before, after = F.col(f"__before_{name}"), F.col(f"__after_{name}")
+        hit = F.when(before.isNotNull() & (after.isNull() | (gap(before) <= gap(after))), before).otherwise(after)
+    else:
+        hit = F.col(f"__{'before' if side.direction == 'backward' else 'after'}_{name}")
+    return hit if side.tolerance_days is None else F.when(gap(hit) <= side.tolerance_days, hit)
+
+
 def _nearest(left, right, by, left_on, right_on, columns, tolerance_days, bucket) -> DataFrame:
+    if _is_date(left, left_on) and _is_date(right, right_on):
+        side = Side(right, right_on, tuple(columns), "nearest", tolerance_days)
+        hit = asof_join_many(left, by, left_on, {"__hit": side})
+        return hit.select(*left.columns, *[F.col("__hit")[c].alias(c) for c in (right_on, *columns)])
     back = asof_join(
         left, right, by, left_on, right_on, "backward", columns, None, True, bucket)
     packed = back.select(
@@ -170,16 +225,13 @@ def last_close(left: DataFrame, prices: DataFrame, by, left_on: str, date: str =
     """
     by = [by] if isinstance(by, str) else list(by)
     bars = prices.select(*by, F.col(date).alias("__d"), F.col(close).alias("__c"))
-    before = asof_join(left, bars, by, left_on, "__d", "backward", tolerance_days=days_back)
-    packed = before.select(*left.columns, F.struct("__d", "__c").alias("__before"))
-    after = asof_join(packed, bars, by, left_on, "__d", "forward", tolerance_days=days_ahead)
-    use = F.col("__before")["__d"].isNotNull()
-    px = F.when(use, F.col("__before")["__c"]).otherwise(F.col("__c"))
-    day = F.when(use, F.col("__before")["__d"]).otherwise(F.col("__d"))
-    return after.select(
+    both = asof_join_many(left, by, left_on, {
+        "__before": Side(bars, "__d", ("__c",), "backward", days_back), "__after": Side(bars, "__d", ("__c",), "forward", days_ahead)})
+    bar = F.coalesce("__before", "__after")
+    return both.select(
         *left.columns,
-        F.when(px > 0, day).alias("price_as_of"),
-        F.when(px > 0, px).alias("market_price"),
+        F.when(bar["__c"] > 0, bar["__d"]).alias("price_as_of"),
+        F.when(bar["__c"] > 0, bar["__c"]).alias("market_price"),
     )
 
 
@@ -188,16 +240,15 @@ def lookup_value(left: DataFrame, series: DataFrame, by, left_on: str, right_on:
     """Scalar as-of lookup: latest value at or before; ``fallback="forward"`` then tries the first
     value after and finally the ``current`` column of the left frame."""
     by = [by] if isinstance(by, str) else list(by)
-    hit = asof_join(left, series, by, left_on, right_on, "backward", columns=[value])
     if fallback == "none":
-        return hit
-    packed = hit.select(*left.columns, F.col(right_on).alias("__bd"), F.col(value).alias("__bv"))
-    ahead = asof_join(packed, series, by, left_on, right_on, "forward", columns=[value])
+        return asof_join(left, series, by, left_on, right_on, "backward", columns=[value])
+    hit = asof_join_many(left, by, left_on, {
+        "__before": Side(series, right_on, (value,)), "__after": Side(series, right_on, (value,), "forward")})
     last = F.col(current) if current else F.lit(None)
-    return ahead.select(
+    return hit.select(
         *left.columns,
-        F.coalesce("__bd", right_on).alias(right_on),
-        F.coalesce(F.col("__bv"), F.col(value), last).alias(value),
+        F.coalesce(F.col("__before")[right_on], F.col("__after")[right_on]).alias(right_on),
+        F.coalesce(F.col("__before")[value], F.col("__after")[value], last).alias(value),
     )
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posledger.functions.dates import filed_quarter_end
 from posledger.functions.numbers import from_fixed, money_sum, pct_capped, pct_complement, to_fixed
-from posledger.operators.asof import asof_join, lookup_value
+from posledger.operators.asof import Side, asof_join, asof_join_many, lookup_value
 from posledger.schemas import OWNERSHIP_SCHEMA, conform
 
 # Words that rule out common equity, and plain names that mean it.
@@ -86,11 +88,10 @@ def insider_filing_shares(holdings: DataFrame) -> DataFrame:
     return last.groupBy(*keys).agg(money_sum("shares").alias("shares"))
 
 
-def insider_shares(filings: DataFrame, keys: DataFrame,
-                   lookback_years: int = INSIDER_LOOKBACK_YEARS) -> DataFrame:
-    """Insider total per key: latest report per owner by ``as_of``, dropped when too old.
+def insider_totals(filings: DataFrame, lookback_years: int = INSIDER_LOOKBACK_YEARS) -> DataFrame:
+    """(ticker, day, s, n): insider shares, fixed-point, and owners from each day on.
 
-    ``filings``: ticker, owner, filing_date, shares. ``keys``: ticker, as_of.
+    ``filings``: ticker, owner, filing_date, shares. An owner's latest report counts until it is too old.
     """
     daily = filings.groupBy("ticker", "owner", "filing_date").agg(F.max("shares").alias("shares"))
     w = Window.partitionBy("ticker", "owner").orderBy("filing_date")
@@ -100,7 +101,16 @@ def insider_shares(filings: DataFrame, keys: DataFrame,
     moves = held.select("ticker", F.inline(F.array(
         F.struct(F.col("filing_date").alias("day"), to_fixed("shares").alias("s"), F.lit(1).alias("n")),
         F.struct(F.col("until").alias("day"), (-to_fixed("shares")).alias("s"), F.lit(-1).alias("n")))))
-    total = asof_join(keys, _running(moves, ["ticker"], "day"), "ticker", "as_of", "day").select(
+    return _running(moves, ["ticker"], "day")
+
+
+def insider_shares(filings: DataFrame, keys: DataFrame,
+                   lookback_years: int = INSIDER_LOOKBACK_YEARS) -> DataFrame:
+    """Insider total per key: latest report per owner by ``as_of``, dropped when too old.
+
+    ``filings``: ticker, owner, filing_date, shares. ``keys``: ticker, as_of.
+    """
+    total = asof_join(keys, insider_totals(filings, lookback_years), "ticker", "as_of", "day").select(
         "ticker", "as_of", F.when(F.col("n") > 0, from_fixed("s")).alias("insider_shares"), "n")
     return keys.join(total, ["ticker", "as_of"], "left").select(
         *keys.columns, "insider_shares", F.coalesce("n", F.lit(0)).alias("insider_owner_count"))
@@ -119,6 +129,11 @@ def ownership_as_of(keys: DataFrame, insiders: DataFrame, institutions: DataFram
         institutions.select("ticker", "as_of", "institutional_shares", "institutional_holder_count",
                             "institutional_period"), ["ticker", "as_of"], "left")
     rows = lookup_value(base, shares_outstanding, "ticker", "as_of", "shares_date", "shares_outstanding", fallback)
+    return ownership_rates(rows, explicit_zero)
+
+
+def ownership_rates(rows: DataFrame, explicit_zero: bool = False) -> DataFrame:
+    """Percentages and notes of rows that carry insider and institutional totals and the share count."""
     out = F.when(F.col("shares_outstanding") > 0, F.col("shares_outstanding"))
     inst = F.col("institutional_shares")
     if explicit_zero:
@@ -139,14 +154,12 @@ def ownership_as_of(keys: DataFrame, insiders: DataFrame, institutions: DataFram
     }), OWNERSHIP_SCHEMA)
 
 
-def buybacks_ttm(cash_flow: DataFrame, balance: DataFrame, keys: DataFrame, quarters: int = 4) -> DataFrame:
-    """Trailing net and gross buybacks over the last ``quarters`` filed rows known at ``as_of``.
+def buyback_totals(cash_flow: DataFrame, quarters: int = 4) -> DataFrame:
+    """(ticker, filing_date, q): what the last ``quarters`` periods known at each filing day add up to.
 
-    ``cash_flow``: ticker, period_end, filing_date, sale_purchase, issuance; ``balance``: ticker,
-    period_end, filing_date, treasury_stock; ``keys``: ticker, as_of. A period may be filed again: a date sees
-    each period as last filed by then, and of those the latest ``quarters``. The sums are made once per
-    filing day of a ticker, from its versions of reporting periods (one row each, so the calendar bounds them);
-    a key then looks up the last filing day by its date.
+    ``cash_flow``: ticker, period_end, filing_date, sale_purchase, issuance. A period may be filed again: a day sees
+    each period as last filed by then. The sums are made once per filing day of a ticker, from its versions of
+    reporting periods (one row each, so the calendar bounds them).
     """
     spent = F.col("sale_purchase")
     versions = cash_flow.where(F.col("filing_date").isNotNull()).groupBy("ticker", "period_end", "filing_date").agg(
@@ -167,15 +180,35 @@ def buybacks_ttm(cash_flow: DataFrame, balance: DataFrame, keys: DataFrame, quar
         return F.when(F.size(some) > 0, F.aggregate(some, F.lit(0).cast("decimal(38,0)"), lambda acc, x: (
             acc + x).cast("decimal(38,0)")))
 
-    per_day = last.select("ticker", "filing_date", F.struct(
+    return last.select("ticker", "filing_date", F.struct(
         F.element_at("_known", -1)["period_end"].alias("period_end"), total("sale").alias("_sale"),
         total("gross").alias("_gross"), total("issue").alias("_issue"),
         F.size("_known").cast("long").alias("quarters_used")).alias("q"))
-    sheet = balance.where(F.col("filing_date").isNotNull()).groupBy(
+
+
+def balance_days(balance: DataFrame) -> DataFrame:
+    """(ticker, bs_filed, b): the newest balance sheet of each filing day."""
+    return balance.where(F.col("filing_date").isNotNull()).groupBy(
         "ticker", F.col("filing_date").alias("bs_filed")).agg(
         F.max(F.struct("period_end", "treasury_stock")).alias("b"))
-    hit = asof_join(keys, per_day, "ticker", "as_of", "filing_date", columns=["q"])
-    hit = asof_join(hit, sheet, "ticker", "as_of", "bs_filed", columns=["b"])
+
+
+def buybacks_ttm(cash_flow: DataFrame, balance: DataFrame, keys: DataFrame, quarters: int = 4) -> DataFrame:
+    """Trailing net and gross buybacks over the last ``quarters`` filed rows known at ``as_of``.
+
+    ``cash_flow`` as in ``buyback_totals``; ``balance``: ticker, period_end, filing_date, treasury_stock; ``keys``:
+    ticker, as_of. A key looks up the last filing day by its date, of both in one pass.
+    """
+    hit = asof_join_many(keys, "ticker", "as_of", {
+        "cash": Side(buyback_totals(cash_flow, quarters), "filing_date", ("q",)),
+        "sheet": Side(balance_days(balance), "bs_filed", ("b",))})
+    return buyback_columns(hit, keys.columns)
+
+
+def buyback_columns(hit: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Buyback columns of rows that carry ``cash`` and ``sheet`` as of their date."""
+    hit = hit.select(*keep, F.col("cash.filing_date").alias("filing_date"), F.col("cash.q").alias("q"),
+                     F.col("sheet.bs_filed").alias("bs_filed"), F.col("sheet.b").alias("b"))
     sale = from_fixed("q._sale")
     has_cf = F.col("filing_date").isNotNull()
     note = F.concat_ws("; ", F.when(has_cf, F.concat(
@@ -186,7 +219,7 @@ def buybacks_ttm(cash_flow: DataFrame, balance: DataFrame, keys: DataFrame, quar
         F.when(F.col("bs_filed").isNotNull(), F.concat(
             F.lit("treasuryStock filed "), F.col("bs_filed").cast("string"))))
     return hit.select(
-        *keys.columns,
+        *keep,
         F.when(has_cf, F.col("q.period_end")).otherwise(F.col("b.period_end")).alias("period_end"),
         F.coalesce("filing_date", "bs_filed").alias("filing_date"),
         sale.alias("sale_purchase_of_stock_ttm"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -40,29 +41,61 @@ def finding(df: DataFrame, stage: str, check_id: str, message: str | Column, sev
         text.alias("message"), _evidence(have).alias("evidence")), FINDINGS_SCHEMA)
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """A check that a row passes or fails by itself."""
+
+    check_id: str
+    message: str
+    bad: Column
+    columns: tuple[str, ...] = ("parent_ticker", "period_end", "investee_ticker")
+    stage: str = "history"
+    severity: str = "fail"
+
+
+def row_findings(rows: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    """Findings of any number of row checks in one scan: each row gives an array of them, exploded once."""
+    def found(check: RowCheck) -> Column:
+        have = [c for c in check.columns if c in rows.columns]
+        return F.when(check.bad, F.struct(
+            F.lit(check.stage).alias("stage"), F.lit(check.severity).alias("severity"), F.lit(check.check_id).alias("check_id"),
+            F.lit(check.message).alias("message"), _evidence(have).alias("evidence")))
+
+    hits = rows.select(F.array_compact(F.array(*map(found, checks))).alias("_found"))
+    return conform(hits.select(F.inline("_found")), FINDINGS_SCHEMA)
+
+
 def unique_period_ticker(history: DataFrame) -> DataFrame:
     dup = duplicates(normalized_keys(history), ["parent_ticker", "period_end", "investee_ticker"])
     return finding(dup, "history", "duplicate_ticker_same_period", "more than one row for a period and ticker",
                    columns=("parent_ticker", "period_end", "investee_ticker", "rows"))
 
 
+def pct_check(stage: str = "live") -> RowCheck:
+    return RowCheck("ownership_pct_stuffed_into_shares_held", "share count repeats the ownership percentage",
+                    looks_like_pct_as_shares("shares_held", "ownership_pct"),
+                    ("parent_ticker", "investee_ticker", "investee_name", "shares_held", "ownership_pct"), stage)
+
+
 def pct_as_shares(rows: DataFrame, stage: str = "live") -> DataFrame:
-    bad = rows.where(looks_like_pct_as_shares("shares_held", "ownership_pct"))
-    return finding(bad, stage, "ownership_pct_stuffed_into_shares_held", "share count repeats the ownership percentage",
-                   columns=("parent_ticker", "investee_ticker", "investee_name", "shares_held", "ownership_pct"))
+    return row_findings(rows, [pct_check(stage)])
 
 
-def estimates_in_value(rows: DataFrame, stage: str = "history") -> DataFrame:
+def estimate_checks(rows: DataFrame, stage: str = "history") -> list[RowCheck]:
     """Estimates need the exclusion tag, and an estimate tag next to a value needs a real source."""
     estimated = F.col("cost_basis_est_usd").isNotNull() | (
         F.col("mark_at_filing_est_usd").isNotNull() if "mark_at_filing_est_usd" in rows.columns else F.lit(False))
-    untagged = rows.where(estimated & ~has_tag("note", "excluded_from_portfolio_mv"))
-    leaked = rows.where(has_tag("note", "value_estimate=eod_at_filing") & F.col("market_value_usd").isNotNull()
-                        & ~has_tag("note", *REAL_VALUE_TAGS))
     columns = ("parent_ticker", "period_end", "investee_ticker", "market_value_usd")
-    return finding(untagged, stage, "estimate_missing_excluded_from_portfolio_mv", "estimate without exclusion tag",
-                   columns=columns).unionByName(
-        finding(leaked, stage, "eod_estimate_as_market_value", "estimate used as a value", columns=columns))
+    return [
+        RowCheck("estimate_missing_excluded_from_portfolio_mv", "estimate without exclusion tag",
+                 estimated & ~has_tag("note", "excluded_from_portfolio_mv"), columns, stage),
+        RowCheck("eod_estimate_as_market_value", "estimate used as a value",
+                 has_tag("note", "value_estimate=eod_at_filing") & F.col("market_value_usd").isNotNull()
+                 & ~has_tag("note", *REAL_VALUE_TAGS), columns, stage)]
+
+
+def estimates_in_value(rows: DataFrame, stage: str = "history") -> DataFrame:
+    return row_findings(rows, estimate_checks(rows, stage))
 
 
 def mtm_identity(returns: DataFrame, tol: float = 1.0) -> DataFrame:
@@ -71,24 +104,32 @@ def mtm_identity(returns: DataFrame, tol: float = 1.0) -> DataFrame:
                    columns=("parent_ticker", "period_end", "mtm_pnl", "portfolio_mv_start", "portfolio_mv_end"))
 
 
+def invented_check() -> RowCheck:
+    return RowCheck("otc_invent_marker", "note has an invented pricing marker", note_text("note").rlike(INVENTED_PRICING))
+
+
 def invented_pricing(history: DataFrame) -> DataFrame:
-    return finding(history.where(note_text("note").rlike(INVENTED_PRICING)), "history", "otc_invent_marker",
-                   "note has an invented pricing marker")
+    return row_findings(history, [invented_check()])
+
+
+def ownership_value_check() -> RowCheck:
+    bad = (F.col("market_value_usd") > 0) & note_text("note").rlike("(?i)source=13g") & ~note_text("note").rlike(NON_OWNERSHIP_SOURCES)
+    return RowCheck("beneficial_ownership_used_as_value_source", "value backed by an ownership filing only", bad,
+                    ("parent_ticker", "period_end", "investee_ticker", "market_value_usd"))
 
 
 def ownership_as_value_source(history: DataFrame) -> DataFrame:
-    bad = history.where((F.col("market_value_usd") > 0) & note_text("note").rlike("(?i)source=13g")
-                        & ~note_text("note").rlike(NON_OWNERSHIP_SOURCES))
-    return finding(bad, "history", "beneficial_ownership_used_as_value_source",
-                   "value backed by an ownership filing only",
-                   columns=("parent_ticker", "period_end", "investee_ticker", "market_value_usd"))
+    return row_findings(history, [ownership_value_check()])
+
+
+def false_exit_check() -> RowCheck:
+    held = F.coalesce(F.col("ownership_pct") > 0, F.lit(False)) | F.coalesce(F.col("shares_held") > 0, F.lit(False))
+    return RowCheck("false_13g_exit_positive_stake", "exit tag on a positive stake", note_text("note").rlike("(?i)13g_exit=1") & held,
+                    ("parent_ticker", "period_end", "investee_ticker", "shares_held", "ownership_pct"))
 
 
 def false_exit(history: DataFrame) -> DataFrame:
-    bad = history.where(note_text("note").rlike("(?i)13g_exit=1") & (
-        F.coalesce(F.col("ownership_pct") > 0, F.lit(False)) | F.coalesce(F.col("shares_held") > 0, F.lit(False))))
-    return finding(bad, "history", "false_13g_exit_positive_stake", "exit tag on a positive stake",
-                   columns=("parent_ticker", "period_end", "investee_ticker", "shares_held", "ownership_pct"))
+    return row_findings(history, [false_exit_check()])
 
 
 def hidden_public_name(history: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -104,26 +145,48 @@ def hidden_public_name(history: DataFrame, dims: dict[str, DataFrame]) -> DataFr
                    columns=("parent_ticker", "period_end", "was", "investee_name", "investee_ticker"))
 
 
+def presence_check() -> RowCheck:
+    return RowCheck("shares_proxy_presence_invent", "share count invented from presence", note_text("note").rlike("(?i)shares_proxy=presence"))
+
+
 def presence_proxy(history: DataFrame) -> DataFrame:
-    return finding(history.where(note_text("note").rlike("(?i)shares_proxy=presence")), "history",
-                   "shares_proxy_presence_invent", "share count invented from presence")
+    return row_findings(history, [presence_check()])
+
+
+def overlay_exit_check() -> RowCheck:
+    return RowCheck("overlay_exit_invented_zero", "overlay exit forced to a zero value",
+                    is_overlay_note("note") & (F.lower("action") == "exit") & (F.col("market_value_usd") == 0.0))
 
 
 def overlay_exit_zero(history: DataFrame) -> DataFrame:
-    bad = history.where(is_overlay_note("note") & (F.lower("action") == "exit") & (F.col("market_value_usd") == 0.0))
-    return finding(bad, "history", "overlay_exit_invented_zero", "overlay exit forced to a zero value")
+    return row_findings(history, [overlay_exit_check()])
+
+
+_PLACEHOLDER = ("placeholder_exchange_like_ticker", "invented exchange-like ticker")
+_NAMED = ("parent_ticker", "period_end", "investee_ticker", "investee_name")
+
+
+def _own_ticker() -> Column:
+    return ~normalize_ticker("investee_ticker").startswith("PRIV_") & ~note_text("note").rlike("(?i)ticker=private_note")
+
+
+def placeholder_check() -> RowCheck:
+    return RowCheck(*_PLACEHOLDER, _own_ticker() & normalize_ticker("investee_ticker").isin(*PLACEHOLDER_TICKERS), _NAMED)
 
 
 def placeholder_tickers(history: DataFrame, deny: DataFrame | None = None) -> DataFrame:
     """Exchange-like first words used as tickers; ``deny(ticker)`` replaces the built-in list."""
-    t = normalize_ticker("investee_ticker")
-    rows = history.where(~t.startswith("PRIV_") & ~note_text("note").rlike("(?i)ticker=private_note")).withColumn("_t", t)
     if deny is None:
-        bad = rows.where(F.col("_t").isin(*PLACEHOLDER_TICKERS))
-    else:
-        bad = rows.join(deny.select(F.upper("ticker").alias("_t")).distinct(), "_t", "left_semi")
-    return finding(bad, "history", "placeholder_exchange_like_ticker", "invented exchange-like ticker",
-                   columns=("parent_ticker", "period_end", "investee_ticker", "investee_name"))
+        return row_findings(history, [placeholder_check()])
+    rows = history.where(_own_ticker()).withColumn("_t", normalize_ticker("investee_ticker"))
+    bad = rows.join(deny.select(F.upper("ticker").alias("_t")).distinct(), "_t", "left_semi")
+    return finding(bad, "history", *_PLACEHOLDER, columns=_NAMED)
+
+
+def history_checks(history: DataFrame) -> list[RowCheck]:
+    """The checks that a row of the history passes or fails by itself."""
+    return [invented_check(), ownership_value_check(), false_exit_check(), presence_check(), overlay_exit_check(), pct_check("history"),
+            placeholder_check(), *estimate_checks(history)]
 
 
 def anchor_values(portfolio: DataFrame, anchors: DataFrame, tol_usd: float = 50e6, tol_pct: float = 0.05) -> DataFrame:

@@ -49,38 +49,71 @@ def strip_tag_runs(text, suffix: str = "Member", at_least: int = 3) -> Column:
     return F.regexp_replace(cleaned, r"\s{3,}", "\n")
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often and however deep in lambdas it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scan(values: Column, combine, start: Column, kind: str = "int") -> Column:
+    """Running results of an associative ``combine`` over an array, one per element.
+
+    Appending to an array copies it, so a plain fold is quadratic. Here blocks of a square root of the elements are
+    folded by themselves, then the block ends, and every block is shifted by what comes before it.
+    """
+    def walk(items: Column) -> Column:
+        begin = F.struct(start.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        return F.aggregate(items, begin, lambda acc, v: F.struct(
+            combine(acc["at"], v).alias("at"), F.array_append(acc["out"], combine(acc["at"], v)).alias("out")))["out"]
+
+    def blocks(items: Column) -> Column:
+        n = F.size(items)
+        return _let(F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double"))).cast("int")), lambda width: F.when(n > 0, F.transform(
+            F.sequence(F.lit(0), F.ceil(n / width).cast("int") - 1), lambda b: F.slice(items, b * width + 1, width))
+        ).otherwise(F.array().cast(f"array<array<{kind}>>")))
+
+    def shifted(inner: Column) -> Column:
+        ends = walk(F.transform(inner, lambda x: F.element_at(x, -1)))
+        return _let(ends, lambda before: F.flatten(F.transform(inner, lambda x, i: F.when(i == 0, x).otherwise(
+            F.transform(x, lambda v: combine(F.get(before, i - 1), v))))))
+
+    return _let(values, lambda items: _let(F.transform(blocks(items), walk), shifted))
+
+
 def match_spans(text, pattern: str) -> Column:
     """Zero-based [lo, hi) spans of all non-overlapping matches, in order."""
     source = _as_col(text)
     gaps = F.transform(F.split(source, pattern, -1), F.length)
     hits = F.transform(F.regexp_extract_all(source, F.lit(pattern), F.lit(0)), F.length)
-    steps = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPANS).alias("spans"))
-    walked = F.aggregate(steps, start, lambda acc, s: F.when(s["hit"].isNull(), acc).otherwise(F.struct(
-        (acc["pos"] + s["gap"] + s["hit"]).alias("pos"),
-        F.array_append(acc["spans"], F.struct(
-            (acc["pos"] + s["gap"]).alias("lo"), (acc["pos"] + s["gap"] + s["hit"]).alias("hi"))).alias("spans"))))
-    return walked["spans"]
 
+    def spans(sizes: Column) -> Column:
+        steps = F.zip_with(F.slice(gaps, 1, F.size(sizes)), sizes, lambda gap, hit: gap + hit)
+        return F.zip_with(_scan(steps, lambda a, b: a + b, F.lit(0)), sizes, lambda hi, hit: F.struct(
+            (hi - hit).alias("lo"), hi.alias("hi")))
 
-def _by_start(spans: Column) -> Column:
-    return F.array_sort(spans)
+    return _let(hits, spans)
 
 
 def merge_spans(spans: Column) -> Column:
     """Union of overlapping or touching spans."""
-    return F.aggregate(_by_start(spans), F.array().cast(_SPANS), lambda acc, s: F.when(
-        (F.size(acc) > 0) & (s["lo"] <= F.element_at(acc, -1)["hi"]),
-        F.array_append(F.slice(acc, 1, F.size(acc) - 1), F.struct(
-            F.element_at(acc, -1)["lo"].alias("lo"),
-            F.greatest(F.element_at(acc, -1)["hi"], s["hi"]).alias("hi")))
-    ).otherwise(F.array_append(acc, s)))
+    none = F.array().cast(_SPANS)
+
+    def islands(ordered: Column) -> Column:
+        reach = _scan(F.transform(ordered, lambda s: s["hi"]), lambda a, b: F.greatest(a, b), F.lit(-1))
+        # An island starts where nothing so far reaches, and ends at the furthest reach before the next one starts.
+        steps = F.arrays_zip(ordered.alias("s"), F.concat(F.array(F.lit(-1)), reach).alias("before"))
+        marked = F.filter(F.transform(steps, lambda x: F.when(
+            x["s"].isNull() | (x["s"]["lo"] > x["before"]), F.struct(x["s"]["lo"].alias("lo"), x["before"].alias("hi")))),
+            lambda x: x.isNotNull())
+        return _let(marked, lambda m: F.zip_with(
+            F.slice(F.transform(m, lambda x: x["lo"]), 1, F.size(m) - 1), F.slice(F.transform(m, lambda x: x["hi"]), 2, F.size(m) - 1),
+            lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))))
+
+    return _let(spans, lambda found: F.when(F.size(found) > 0, _let(F.array_sort(found), islands)).when(found.isNotNull(), none))
 
 
 def _around(text: Column, hits: Column, width: int) -> Column:
-    size = F.length(text)
-    return F.transform(hits, lambda s: F.struct(
-        F.greatest(F.lit(0), s["lo"] - width).alias("lo"), F.least(size, s["hi"] + width).alias("hi")))
+    return _let(F.length(text), lambda size: F.transform(hits, lambda s: F.struct(
+        F.greatest(F.lit(0), s["lo"] - width).alias("lo"), F.least(size, s["hi"] + width).alias("hi"))))
 
 
 def keyword_spans(text, keywords: Sequence[str], width: int) -> Column:
@@ -99,6 +132,22 @@ def _cut(text: Column, span: Column) -> Column:
     return F.substr(text, span["lo"] + 1, span["hi"] - span["lo"])
 
 
+def _outside(spans: str, others: str) -> Column:
+    """The spans that lie inside none of the others; both are in order."""
+    tag = lambda c, later: F.transform(c, lambda s: F.struct(
+        s["lo"].alias("lo"), F.lit(later).alias("later"), s["hi"].alias("hi")))
+
+    def fresh(both: Column) -> Column:
+        reach = _scan(F.transform(both, lambda x: F.when(x["later"] == 0, x["hi"]).otherwise(F.lit(-1))),
+                      lambda a, b: F.greatest(a, b), F.lit(-1))
+        return F.zip_with(both, reach, lambda x, r: F.when(
+            (x["later"] == 1) & (x["hi"] > r), F.struct(x["lo"].alias("lo"), x["hi"].alias("hi"))))
+
+    seen = _let(F.array_sort(F.concat(tag(others, 0), tag(spans, 1))), fresh)
+    return F.when(F.size(F.col(spans)) == 0, F.col(spans)).when(F.size(F.col(others)) == 0, F.col(spans)).otherwise(
+        F.filter(seen, lambda s: s.isNotNull()))
+
+
 def keyword_windows(df: DataFrame, text: str, keywords: Sequence[str] = pat.INVENTORY_KEYWORDS,
                     priority: Sequence[str] = pat.INVENTORY_PRIORITY_KEYWORDS, width: int = 2500,
                     name: str = "excerpt") -> DataFrame:
@@ -110,8 +159,7 @@ def keyword_windows(df: DataFrame, text: str, keywords: Sequence[str] = pat.INVE
     staged = df.withColumns({
         "_first": keyword_spans(text, priority, width),
         "_second": keyword_spans(text, rest, width) if rest else F.array().cast(_SPANS)})
-    fresh = F.filter("_second", lambda s: ~F.exists(
-        "_first", lambda p: (s["lo"] >= p["lo"]) & (s["hi"] <= p["hi"])))
+    fresh = _outside("_second", "_first")
     chunks = F.filter(F.transform(F.concat("_first", fresh), lambda s: _strip(_cut(F.col(text), s))),
                       lambda c: c != "")
     none = (F.size("_first") == 0) & (F.size(fresh) == 0)
@@ -468,17 +516,19 @@ def extract_stake_table(df: DataFrame, text: str = "text") -> DataFrame:
         low = F.lower(l)
         return reduce(lambda a, b: a | b, [low.startswith(s) for s in pat.STAKE_STOPS])
 
-    begin = F.struct(F.array().cast("array<string>").alias("rows"), F.lit(False).alias("done"))
-
-    def walk(items, row):
-        """The rows up to the first stop that follows a row."""
-        return F.aggregate(items, begin, lambda acc, l: F.when(acc["done"], acc).when(
-            stop(l), F.struct(acc["rows"].alias("rows"), (F.size(acc["rows"]) > 0).alias("done"))).when(
-            l.rlike(row), F.struct(F.array_append(acc["rows"], l).alias("rows"), F.lit(False).alias("done"))).otherwise(acc))["rows"]
-
-    walked = walk(F.coalesce("_body", F.array().cast("array<string>")), pat.STAKE_ROW)
-    table = F.array_compact(F.transform(walked, lambda l: _stake_struct(l, pat.STAKE_ROW)))
-    staged = staged.withColumn("_table", table)
+    def walk(frame, items, row, name):
+        """``frame`` with the rows up to the first stop that follows a row; flags and places are columns, made once."""
+        kinds = F.transform(items, lambda l: F.when(stop(l), 1).when(l.rlike(row), 2).otherwise(0))
+        flagged = frame.withColumn("_kinds", kinds).withColumn("_row", F.array_position("_kinds", F.lit(2)))
+        after = F.array_position(F.slice("_kinds", (F.col("_row") + 1).cast("int"), F.size("_kinds")), F.lit(1))
+        ended = flagged.withColumn("_stop", F.when((F.col("_row") > 0) & (after > 0), F.col("_row") + after).otherwise(F.size("_kinds") + 1))
+        pairs = F.arrays_zip(items.alias("item"), F.col("_kinds").alias("kind"))
+        kept = F.filter(pairs, lambda p, i: (p["kind"] == 2) & (i + 1 < F.col("_stop")))
+        return ended.withColumn(name, F.transform(kept, lambda p: p["item"])).drop("_kinds", "_row", "_stop")
+
+    staged = staged.withColumn("_body", F.coalesce("_body", F.array().cast("array<string>")))
+    staged = walk(staged, F.col("_body"), pat.STAKE_ROW, "_rows")
+    staged = staged.withColumn("_table", F.array_compact(F.transform("_rows", lambda l: _stake_struct(l, pat.STAKE_ROW))))
     blob = F.regexp_replace(F.col(text), r"\s+", " ")
     title = "valuation of strategic investments"
     titled = F.locate(title, F.lower(blob)) > 0
@@ -486,17 +536,21 @@ def extract_stake_table(df: DataFrame, text: str = "text") -> DataFrame:
     # Stakes and stops of the running text in order; a text without heading and table lines has no section to close.
     closing = r"(?i:\b(?:" + "|".join(pat.STAKE_STOPS) + "))"
     marks = F.regexp_extract_all(after, F.lit(f"{pat.STAKE_INLINE}|{closing}"), F.lit(0))
-    inline = F.array_compact(F.transform(
-        F.when(titled | (F.size("_table") > 0), walk(marks, pat.STAKE_INLINE)).otherwise(F.filter(marks, lambda m: ~stop(m))),
-        lambda m: _stake_struct(m, pat.STAKE_INLINE)))
+    staged = walk(staged.withColumn("_marks", marks), F.col("_marks"), pat.STAKE_INLINE, "_inside")
+    found = F.when(titled | (F.size("_table") > 0), F.col("_inside")).otherwise(F.filter("_marks", lambda m: ~stop(m)))
+    inline = F.array_compact(F.transform(found, lambda m: _stake_struct(m, pat.STAKE_INLINE)))
     none = F.array().cast(staged.schema["_table"].dataType)
     staged = staged.withColumn("_all", F.concat(F.col("_table"), F.coalesce(inline, none)))
-    # Lines come first, so of several hits of one ticker the line wins, then the first inline hit.
-    names = F.transform("_all", lambda y: F.coalesce(y["investee_ticker"], y["investee_name"]))
-    once = F.filter("_all", lambda x, i: F.array_position(
-        names, F.coalesce(x["investee_ticker"], x["investee_name"])) == i + 1)
+    # Lines come first, so of several hits of one ticker the line wins, then the first inline hit: hits are sorted by
+    # name and place, and one counts where the name before it is another.
+    keyed = F.array_sort(F.transform("_all", lambda x, i: F.struct(
+        F.coalesce(x["investee_ticker"], x["investee_name"]).alias("name"), i.alias("place"), x.alias("hit"))))
+    staged = staged.withColumn("_keyed", keyed)
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform("_keyed", lambda k: k["name"]))
+    paired = F.arrays_zip(F.col("_keyed").alias("own"), before.alias("before"))
+    once = F.filter(paired, lambda p: p["own"].isNotNull() & ~p["own"]["name"].eqNullSafe(p["before"]))
     keep = [c for c in df.columns if c != text]
-    return staged.select(*keep, F.inline(once))
+    return staged.select(*keep, F.inline(F.transform(once, lambda p: p["own"]["hit"])))
 
 
 # Parsers of published tables by name: each maps a frame of texts to a frame of stakes.

@@ -14,7 +14,7 @@ from posledger.operators import ledger, merge, snapshots, text, valuation
 from posledger.operators.identity import drop_self_issuer, resolve_identity
 from posledger.schemas import HISTORY_SCHEMA, SNAPSHOT_SCHEMA, conform
 from posledger.sources import fixed_values as fixed
-from posledger.sources.filings import flatten_13f_json, parse_13f_json
+from posledger.sources.filings import flatten_13f_json, history_strategy, parse_13f_json
 from posledger.sources.tables import stage
 
 
@@ -62,7 +62,7 @@ def exit_event_table(events: DataFrame) -> DataFrame:
 
 
 def build_history(quarterly: DataFrame, periods: DataFrame, events: DataFrame, notes: DataFrame,
-                  window_start: str, ciks: DataFrame, note_window: int | None = None) -> DataFrame:
+                  window_start: str | Column, ciks: DataFrame, note_window: int | None = None) -> DataFrame:
     """Quarterly grid with ownership and note overlays, pre-window inception and truncation tags.
 
     Parents without quarterly reports use their ownership filing dates as the grid. Pre-window
@@ -114,7 +114,7 @@ def stamp_urls(history: DataFrame, ciks: DataFrame) -> DataFrame:
 
 
 def build_aggregate_history(events: DataFrame, annual: DataFrame, stakes: DataFrame, prices: DataFrame,
-                            cutoffs: DataFrame, ciks: DataFrame, window_start: str | None = None) -> DataFrame:
+                            cutoffs: DataFrame, ciks: DataFrame, window_start: str | Column | None = None) -> DataFrame:
     """History of parents that publish annual aggregates: running ownership snapshots, exits after
     delisting, aggregates, composition, broker values and filing-date marks."""
     rows_in = events if window_start is None else events.where(F.col("filing_date") >= F.lit(window_start).cast("date"))
@@ -137,6 +137,36 @@ def build_aggregate_history(events: DataFrame, annual: DataFrame, stakes: DataFr
     return stage(stamp_urls(conform(marked, HISTORY_SCHEMA), ciks), "history")
 
 
+def history_of_parents(payloads: DataFrame, filings: DataFrame, annual_pages: DataFrame, dims: dict[str, DataFrame], as_of: Column,
+                       stakes: DataFrame, prices: DataFrame, cutoffs: DataFrame, years: int = 5, aggregate_years: int = 8,
+                       note_window: int | None = None) -> DataFrame:
+    """History of every parent of the landed tables, each by its own strategy, in one plan.
+
+    Parents that publish annual aggregates take the dates of their ownership filings as grid, with aggregates,
+    composition, published stakes and marks; all others take their quarterly reports, overlaid with ownership filings
+    and notes, or the ownership dates where there are no quarterly reports in the window. Every landed table is read
+    and parsed once for all parents. ``strategy`` and ``grid`` (13f or 13g) say how a parent's rows came about.
+
+    ``payloads``: parent_ticker, payload; ``filings``: parent_ticker, cik, form, filing_date, accession_no, body;
+    ``annual_pages``: parent_ticker, as_of_date, source_url, text; ``stakes``, ``prices`` and ``cutoffs`` as in
+    ``build_aggregate_history``. The window ends at ``as_of`` and is longer for parents with aggregates.
+    """
+    aggregate = F.col("parent_ticker").isin(*fixed.AGGREGATE_PARENTS)
+    events = ownership_events(filings, dims)
+    quarterly, periods = quarterly_snapshots(payloads.where(~aggregate), dims)
+    notes = note_snapshots(filings.where(~aggregate), dims)
+    start = lookback_start(as_of, years)
+    standard = build_history(quarterly, periods, events.where(~aggregate), notes, start, dims["ciks"], note_window)
+    annual = text.extract_annual_aggregates(annual_pages.where(aggregate))
+    published = build_aggregate_history(events.where(aggregate), annual, stakes, prices, cutoffs, dims["ciks"],
+                                        lookback_start(as_of, aggregate_years))
+    inside, _ = snapshots.split_window(periods, start)
+    gridded = inside.select("parent_ticker", F.lit("13f").alias("grid")).distinct()
+    both = standard.unionByName(published, allowMissingColumns=True).join(gridded, "parent_ticker", "left")
+    return both.withColumns({
+        "strategy": history_strategy("parent_ticker"), "grid": F.coalesce("grid", F.lit("13g"))})
+
+
 def window_of(as_of, years: int):
     """Start of the display window as a column."""
     return lookback_start(as_of, years)

@@ -10,6 +10,7 @@ from posledger.functions.numbers import scrub_pct_as_shares
 from posledger.functions.text import append_tags, holding_key, note_text
 from posledger.functions.valuation import apply_gaap_and_adjustment
 from posledger.operators import ledger, merge, quality, valuation
+from posledger.operators.asof import Side, asof_join_many
 from posledger.operators.screening import apply_allowlist
 from posledger.schemas import HOLDINGS_DEFAULTS, HOLDINGS_SCHEMA, conform
 
@@ -55,17 +56,22 @@ def live_from_history(history: DataFrame) -> DataFrame:
 def holdings_as_of(holdings: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows known at each (parent_ticker, as_of): of every name the newest dated on or before the date.
 
-    A dated row holds until the name's next one, so a date meets one row per name; undated rows are known
-    from the start.
+    A dated row holds until the name's next one; undated rows are known from the start. Rows are placed on the numbered
+    dates of their parent, spread over the numbers they hold for and joined on equality, so a row never meets a date
+    that it is not known at.
     """
     cusip = F.col("cusip") if "cusip" in holdings.columns else F.lit(None).cast("string")
     key = F.coalesce(holding_key("investee_ticker", cusip, "investee_name"), F.lit(""))
+    asked = Window.partitionBy("parent_ticker").orderBy("as_of")
+    grid = keys.select("parent_ticker", "as_of").distinct().withColumn("_i", F.row_number().over(asked))
+    total = grid.groupBy("parent_ticker").agg(F.max("_i").alias("_n"))
+    placed = asof_join_many(holdings.withColumn("_key", key), "parent_ticker", "as_of_date", {
+        "_at": Side(grid.withColumnRenamed("as_of", "_day"), "_day", ("_i",), "forward")}).join(total, "parent_ticker")
+    first = F.when(F.col("as_of_date").isNull(), 1).otherwise(F.coalesce(F.col("_at._i"), F.col("_n") + 1))
     w = Window.partitionBy("parent_ticker", "_key").orderBy(F.col("as_of_date").asc_nulls_first(), "as_of_accession_no")
-    held = holdings.withColumn("_key", key).withColumn("_n", F.row_number().over(w)).withColumn(
-        "_until", F.lead("as_of_date").over(w))
-    known = (F.col("as_of_date").isNull() | (F.col("as_of_date") <= F.col("as_of"))) & (
-        F.col("_until").isNull() | (F.col("_until") > F.col("as_of")))
-    return held.join(keys.distinct(), "parent_ticker").where(known).drop("_key", "_n", "_until")
+    held = placed.withColumn("_first", first).withColumn("_last", F.coalesce(F.lead("_first").over(w) - 1, "_n"))
+    spread = held.where(F.col("_first") <= F.col("_last")).withColumn("_i", F.explode(F.sequence("_first", "_last")))
+    return spread.join(grid, ["parent_ticker", "_i"]).select(*holdings.columns, "as_of")
 
 
 def holdings_universe(parents: DataFrame, holdings: DataFrame, allow: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

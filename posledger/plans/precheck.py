@@ -12,14 +12,14 @@ from posledger.sources.tables import stage
 
 def mechanical_precheck(history: DataFrame, dims: dict[str, DataFrame], portfolio: DataFrame | None = None,
                         anchors: DataFrame | None = None) -> DataFrame:
-    """Findings of all mechanical checks; ``anchors`` are known values of single parents."""
+    """Findings of all mechanical checks; ``anchors`` are known values of single parents.
+
+    All checks on single rows share one scan; only duplicates, hidden names and anchors need an exchange of their own.
+    """
     rows = stage(merge.coalesce_for_export(history), "checked")
     checks = [
-        quality.unique_period_ticker(rows), quality.invented_pricing(rows),
-        quality.ownership_as_value_source(rows), quality.false_exit(rows),
-        quality.hidden_public_name(rows, dims), quality.presence_proxy(rows),
-        quality.overlay_exit_zero(rows), quality.pct_as_shares(rows, "history"),
-        quality.placeholder_tickers(rows), quality.estimates_in_value(rows),
+        quality.row_findings(rows, quality.history_checks(rows)), quality.unique_period_ticker(rows),
+        quality.hidden_public_name(rows, dims),
     ]
     if portfolio is not None and anchors is not None:
         checks.append(quality.anchor_values(portfolio, anchors))

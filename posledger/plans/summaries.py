@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from posledger.operators import screening
+from posledger.functions.numbers import from_fixed
+from posledger.functions.valuation import lifo_adjustment
+from posledger.operators import ownership as own, screening
+from posledger.operators.asof import Side, asof_join_many
 from posledger.plans import holdings
 from posledger.schemas import BUYBACK_SCHEMA, DESCRIPTION_SCHEMA, LIFO_SCHEMA, OWNERSHIP_SCHEMA
 from posledger.sources.tables import latest_per_key, stage
@@ -130,3 +133,58 @@ def run_backtest(deletions: DataFrame, additions: DataFrame, prices: DataFrame,
     crossed = crossings.where(F.col("status") == "crossed")
     joined = screening.attach_reentry(crossed, screening.reentry_dates(crossings, additions))
     return crossings, screening.trade_outcome(joined, prices, as_of)
+
+
+def enrich_as_of(keys: DataFrame, insiders: DataFrame, institutions: DataFrame, outstanding: DataFrame, cash_flow: DataFrame,
+                 balance: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ownership and buybacks of every (ticker, deletion_date) as known on that date, all series in one pass.
+
+    ``insiders``: ticker, owner, filing_date, shares; ``institutions``: ticker, manager, period_end, filing_date, shares;
+    ``outstanding``: ticker, shares_date, shares_outstanding; ``cash_flow`` and ``balance`` as in ``buybacks_ttm``.
+    """
+    dated = keys.select("ticker", F.col("deletion_date").alias("as_of")).distinct()
+    sides = {
+        "insider": Side(own.insider_totals(insiders), "day", ("s", "n")),
+        "count": Side(outstanding, "shares_date", ("shares_outstanding",)),
+        "cash": Side(own.buyback_totals(cash_flow), "filing_date", ("q",)),
+        "sheet": Side(own.balance_days(balance), "bs_filed", ("b",)),
+    }
+    carried = stage(asof_join_many(dated, "ticker", "as_of", sides), "carried")
+    held = own.institutional_holders(institutions, dated)
+    rows = carried.withColumns({
+        "insider_shares": F.when(F.col("insider.n") > 0, from_fixed("insider.s")),
+        "insider_owner_count": F.coalesce("insider.n", F.lit(0)),
+        "shares_outstanding": F.col("count.shares_outstanding")}).join(held, ["ticker", "as_of"], "left")
+    bought = own.buyback_columns(carried, ["ticker", "as_of"]).withColumnRenamed("as_of", "deletion_date")
+    return own.ownership_rates(rows), bought
+
+
+def lifo_at_crossing(crossings: DataFrame, facts: DataFrame) -> DataFrame:
+    """Inventory-reserve adjustment of each ticker by its newest classified filing.
+
+    ``facts``: ticker, accession_no, filing_date, basis, method, lifo_reserve_disclosed, lifo_reserve_usd. Price, book and
+    shares are those of the ticker's last crossing; the classified method and quote pass through.
+    """
+    last = crossings.groupBy("ticker").agg(F.max(F.struct(
+        "deletion_date", "buy_price", "bvps_at_crossing", "shares_at_crossing")).alias("c"))
+    newest = latest_per_key(facts, ["ticker"], ["filing_date", "accession_no"]).join(last, "ticker")
+    adjusted = lifo_adjustment("basis", "lifo_reserve_disclosed", "lifo_reserve_usd", F.col("c.buy_price"), F.col("c.bvps_at_crossing"),
+                               F.col("c.shares_at_crossing"))
+    kept = ("basis", "lifo_reserve_usd", "c")
+    return newest.withColumn("_a", adjusted).select(*[c for c in newest.columns if c not in kept], "_a.*")
+
+
+def run_backtest_summary(deletions: DataFrame, additions: DataFrame, prices: DataFrame, book: DataFrame, earnings: DataFrame, as_of,
+                         insiders: DataFrame, institutions: DataFrame, outstanding: DataFrame, cash_flow: DataFrame, balance: DataFrame,
+                         lifo_facts: DataFrame, descriptions: DataFrame, known_holdings: DataFrame,
+                         done: DataFrame | None = None) -> DataFrame:
+    """From index deletions to the enriched summary in one plan.
+
+    Every crossing attempt keeps its row, whatever its status, with its outcome and with ownership, buybacks and
+    parent rollup as of its deletion; inventory and text facts are the ticker's newest.
+    """
+    crossings, outcomes = run_backtest(deletions, additions, prices, book, earnings, as_of, done)
+    rows = stage(crossings, "all-crossings")
+    owned, bought = enrich_as_of(rows, insiders, institutions, outstanding, cash_flow, balance)
+    _, rollups = holdings.holdings_universe(holdings.backtest_parents(rows), known_holdings)
+    return backtest_summary(rows, outcomes, lifo_at_crossing(rows, lifo_facts), descriptions, owned, bought, rollups)
