@@ -49,6 +49,8 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 MARKS = ".!?…;:,"
 
 TRAIN_PAGES = 300
+#: Pages that may label themselves.
+LABELLED = r"(?i)<(?:main|article)[\s>]"
 TREES = 15
 DEPTH = 4
 GROUP_CHARS = 1 << 20
@@ -195,8 +197,14 @@ def _exported(model) -> Trees:
 
 def train(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
           sample: int = TRAIN_PAGES) -> Trees | None:
-    """Boosted trees from a bounded sample; None if no sampled page has a main element."""
-    chosen = pages.orderBy(F.xxhash64(page_id, url), F.col(page_id)).limit(sample).select(text_of(html).alias("html"))
+    """Boosted trees from a bounded sample of the pages that label themselves; None if there are none.
+
+    Pages without an article or main element give no labels and never take a place in the sample; of pages with equal
+    html one counts. The sample's keys are ``sample`` hashes at most, which bounds what is broadcast.
+    """
+    labelled = pages.select(text_of(html).alias("html")).where(F.col("html").rlike(LABELLED)).withColumn("key", F.xxhash64("html"))
+    keys = stage(labelled.select("key").distinct().orderBy("key").limit(sample), "dom-sample")
+    chosen = labelled.join(F.broadcast(keys), "key").dropDuplicates(["key"]).select("html")
     nodes = chosen.select(F.explode(_labelled(F.col("html"))).alias("n"))
     nodes = stage(nodes.select(F.col("n.label").alias("label"), F.col("n.x").alias("x")), "dom-training")
     if nodes.select("label").distinct().count() < 2:

@@ -168,9 +168,15 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def other_tokens(text: str, base: list[tuple]) -> list[tuple[int, int, str]]:
-    """Long runs of credential characters that touch no base span."""
-    return [(*m.span(), m[0]) for m in _token.finditer(text)
-            if not any(m.start() < end and start < m.end() for start, end, *_ in base)]
+    """Long runs of credential characters that touch no base span; both are in order, so one pass compares them."""
+    out, at, reach = [], 0, 0
+    for m in _token.finditer(text):
+        start, end = m.span()
+        while at < len(base) and base[at][0] < end:
+            reach, at = max(reach, base[at][1]), at + 1
+        if reach <= start:
+            out.append((start, end, m[0]))
+    return out
 
 
 @arrow_udf(VALUES)

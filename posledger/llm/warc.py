@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -70,9 +71,10 @@ def _urn(page_id: int | None) -> str:
 
 
 def _page(urn: str) -> int | None:
-    if not urn.startswith("<urn:page:") or not urn.endswith(">"):
+    found = re.fullmatch(r"<urn:page:(-?[0-9]{0,19})>", urn)
+    if not found or found[1] == "-":
         raise BadRecord(f"record id {urn[:60]!r}")
-    return int(urn[10:-1]) if urn[10:-1] else None
+    return int(found[1]) if found[1] else None
 
 
 # writing ------------------------------------------------------------------------------------------------------
@@ -167,41 +169,72 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
 
 # reading ------------------------------------------------------------------------------------------------------
 
-def frames(stream) -> Iterator[bytes]:
-    """Decoded frames of an archive, with the dictionary of its leading skippable frame."""
+def _dictionary(stream) -> tuple[zstandard.ZstdCompressionDict | None, bytes, BadRecord | None]:
+    """The dictionary of a leading skippable frame, what was read beyond it, and what is wrong with it."""
     data = stream.read(8)
-    dictionary = None
-    if len(data) == 8 and struct.unpack("<I", data[:4])[0] == DICTIONARY_MAGIC:
-        size = struct.unpack("<I", data[4:])[0]
-        body = stream.read(size)
-        if len(body) < size:
-            raise BadRecord("the dictionary frame is cut short")
+    if len(data) < 8 or struct.unpack("<I", data[:4])[0] != DICTIONARY_MAGIC:
+        return None, data, None
+    body = stream.read(struct.unpack("<I", data[4:])[0])
+    if len(body) < struct.unpack("<I", data[4:])[0]:
+        return None, b"", BadRecord("the dictionary frame is cut short")
+    try:
         if body[:4] == zstandard.FRAME_HEADER:
             body = zstandard.ZstdDecompressor().decompress(body)
-        dictionary, data = zstandard.ZstdCompressionDict(body), b""
+        return zstandard.ZstdCompressionDict(body), b"", None
+    except zstandard.ZstdError as error:
+        return None, b"", BadRecord(f"dictionary: {error}")
+
+
+def frames(stream) -> Iterator[bytes | BadRecord]:
+    """Decoded frames of an archive, with the dictionary of its leading skippable frame.
+
+    A frame that cannot be decoded gives its problem instead, and reading goes on at the next frame header after its
+    start, so the records behind a damaged one are not lost. Without its dictionary an archive gives problems only.
+    """
+    dictionary, data, problem = _dictionary(stream)
+    if problem:
+        yield problem
     decompressor = zstandard.ZstdDecompressor(dict_data=dictionary)
-    while data or (data := stream.read(CHUNK)):
-        if len(data) < 4:
-            data += stream.read(CHUNK)
+    while True:
+        while len(data) < 8 and (more := stream.read(CHUNK)):
+            data += more
+        if not data:
+            return
         if data[1:4] == b"\x2a\x4d\x18" and data[0] & 0xF0 == 0x50:  # other skippable frames
-            size = struct.unpack("<I", data[4:8])[0]
-            while len(data) < 8 + size and (more := stream.read(CHUNK)):
+            size = 8 + struct.unpack("<I", data[4:8])[0] if len(data) >= 8 else 8
+            while len(data) < size and (more := stream.read(CHUNK)):
                 data += more
-            data = data[8 + size:]
+            if len(data) < size:
+                yield BadRecord("a skippable frame is cut short")
+                return
+            data = data[size:]
             continue
-        frame, parts = decompressor.decompressobj(), []
-        while True:
+        frame, parts, raw, chunk, problem = decompressor.decompressobj(), [], bytearray(data), data, None
+        while not frame.eof:
             try:
-                parts.append(frame.decompress(data))
+                parts.append(frame.decompress(chunk))
             except zstandard.ZstdError as error:
-                raise BadRecord(f"frame: {error}") from error
-            if frame.eof:
-                data = frame.unused_data
+                problem = BadRecord(f"frame: {error}")
                 break
-            data = stream.read(CHUNK)
-            if not data:
-                raise BadRecord("the last frame is cut short")
-        yield b"".join(parts)
+            if not frame.eof:
+                chunk = stream.read(CHUNK)
+                raw += chunk
+                if not chunk:
+                    problem = BadRecord("the last frame is cut short")
+                    break
+        if problem is None:
+            data = frame.unused_data
+            yield b"".join(parts)
+            continue
+        yield problem
+        at = raw.find(zstandard.FRAME_HEADER, 4)
+        while at < 0:
+            more = stream.read(CHUNK)
+            if not more:
+                return
+            raw = raw[-3:] + more
+            at = raw.find(zstandard.FRAME_HEADER)
+        data = bytes(raw[at:])
 
 
 def parse(frame: bytes) -> tuple[dict[str, str], bytes]:
@@ -268,12 +301,11 @@ def _read(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.Reco
         for path in batch.column(0).to_pylist():
             store, root = _open(path)
             with store.open_input_stream(root, compression=None) as stream:
-                source = frames(stream)
-                while True:
+                for frame in frames(stream):
                     try:
-                        row = read_record(next(source))
-                    except StopIteration:
-                        break
+                        if isinstance(frame, BadRecord):
+                            raise frame
+                        row = read_record(frame)
                     except BadRecord as error:
                         row = (*[None] * 7, f"{path}: {error}")
                     rows.append(row if payloads else (*row[:6], None, row[7]))

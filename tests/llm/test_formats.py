@@ -83,16 +83,45 @@ def test_archive_without_dictionary_and_other_skippable_frames():
 
 def test_damage_is_told():
     good = warc.record(1, "u", b"payload", None, False)
-    with pytest.raises(warc.BadRecord):
-        list(warc.frames(io.BytesIO(archive([good])[:-3])))
+    (cut,) = warc.frames(io.BytesIO(archive([good])[:-3]))
+    assert isinstance(cut, warc.BadRecord)
     for bad in (good[:-1], good + b"x", good.replace(b"WARC/1.1", b"WORC/1.1"), good.replace(b"payload", b"pay1oad"),
                 good.replace(b"WARC-Date", b"WARC-Dote"), good.replace(b"Content-Length: 7", b"Content-Length: 8"),
-                good.replace(b"urn:page:1", b"urn:site:1")):
-        with pytest.raises(ValueError):
+                good.replace(b"urn:page:1", b"urn:site:1"), good.replace(b"urn:page:1", b"urn:page:abc"), good.replace(b"urn:page:1", b"urn:page:-")):
+        with pytest.raises(warc.BadRecord):
             warc.read_record(bad)
     assert warc.read_record(good)[:3] == (1, "u", "response")
 
 
+def damaged():
+    """Archives with one damage each, and how many of their records must still be read."""
+    records = [warc.record(i, "u", bytes(random.Random(i).randbytes(3000)), None, False) for i in range(6)]
+    whole = archive(records)
+    plain = [zstandard.ZstdCompressor(write_checksum=True).compress(r) for r in records]
+    starts = [sum(map(len, plain[:i])) for i in range(7)]
+    data = b"".join(plain)
+    flipped = bytearray(data)
+    flipped[starts[2] + 900] ^= 0xFF
+    headless = bytearray(data)
+    headless[starts[2]] ^= 0xFF
+    dictionary = bytearray(whole)
+    dictionary[20:60] = bytes(40)
+    return {
+        "frame": (bytes(flipped), 5), "frame header": (bytes(headless), 5), "tail": (data[:-100], 5), "middle": (data[:starts[3] + 50] + data[starts[4]:], 5),
+        "dictionary": (bytes(dictionary), 0), "cut dictionary": (whole[:40], 0), "length only": (whole[:6], 0),
+        "skippable": (data + struct.pack("<II", 0x184D2A51, 500) + b"abc", 6), "half a header": (data + b"\x50\x2a\x4d\x18\x01", 6)}
+
+
+@pytest.mark.parametrize("kind", list(damaged()))
+def test_every_damage_is_a_problem_and_later_records_are_read(spark, tmp_path, kind):
+    data, readable = damaged()[kind]
+    (tmp_path / "d.warc.zst").write_bytes(data)
+    rows = warc.read_archives(spark, spark.createDataFrame([(f"file://{tmp_path}/d.warc.zst",)], "path string")).collect()
+    good = [r.page_id for r in rows if r.problem is None]
+    assert len(good) == readable and len(set(good)) == readable
+    assert any("d.warc.zst" in (r.problem or "") for r in rows)
+
+
 def test_reader_reports_bad_records(spark, tmp_path):
     good = warc.record(1, "u", b"payload", None, False)
     (tmp_path / "a.warc.zst").write_bytes(archive([good, good.replace(b"payload", b"pay1oad"), good]))

@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -187,6 +188,23 @@ def test_automata_merge_to_a_distribution():
         assert math.isclose(math.exp(stop) + sum(math.exp(p) for p, _ in step.values()), 1, rel_tol=1e-9)
 
 
+def test_many_spans_of_one_text_take_one_pass():
+    """A megabyte with twenty thousand labelled values and as many other tokens, in seconds."""
+    rng = random.Random(4)
+    parts = []
+    for i in range(20_000):
+        parts += [f"token={hexed(rng, 12)}", f"plain_token_number_{i}"]
+    text = " ".join(parts)
+    took = time.perf_counter()
+    base = secrets.base_spans(text)
+    others = secrets.other_tokens(text, base)
+    assert time.perf_counter() - took < 5
+    assert len(base) == 20_000 and [t for *_, t in others] == parts[1::2]
+    touched = [m.span() for m in re.finditer(secrets.TOKEN, text[:30_000])
+               if not any(m.start() < b[1] and b[0] < m.end() for b in base[:900])]
+    assert [o[:2] for o in others if o[1] < 30_000][:len(touched) - 1] == touched[:-1]
+
+
 def test_secrets_of_nothing(spark):
     assert secrets.find_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -251,6 +269,16 @@ def test_decoding_keeps_nothing_below_a_dropped_element():
         assert math.isclose(score(kept), max(map(score, legal)), rel_tol=1e-9)
 
 
+def test_rare_labelled_pages_still_train(spark):
+    """Labels on few pages among many without: the sample is taken from the labelled ones."""
+    rows = [(i, f"u{i}", f"<html><body><div>page {i}</div></body></html>") for i in range(1500)]
+    rows += [(5000 + i, f"v{i}", f"<body><nav><a>home</a><a>news</a></nav><article><h1>T{i}</h1><p>{'words of the article ' * 12}</p></article></body>")
+             for i in range(3)]
+    rows += [(6000 + i, "copy", rows[-1][2]) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert html_extraction.train(pages, sample=20) is not None
+
+
 def test_pages_without_labels_or_rows(spark):
     schema = "page_id long, url string, html string"
     assert html_extraction.extract(spark.createDataFrame([], schema)).count() == 0
