@@ -61,3 +61,34 @@ def test_unknown_is_not_a_loss(spark):
     rt = spark.createDataFrame([("A", day("2024-03-01"), -1.0), ("B", day("2024-03-01"), 2.0)], "k string, filed date, net double")
     got = {(r["k"], str(r["t"])): r["p"] for r in collect(asof.positive_as_of(lt, rt, "k", "t", "filed", "net", "p"))}
     assert got == {("A", "2024-01-01"): None, ("A", "2024-06-01"): False, ("B", "2024-06-01"): True}
+
+
+def test_many_sides_in_one_pass_match_brute_force(spark):
+    """Each side and direction as if joined alone, for a hot key, ties of a day, missing keys and missing dates."""
+    rng = random.Random(6)
+    days = [day("2024-01-01") + dt.timedelta(days=i) for i in range(40)]
+    left = [(rng.choice("AAAAB"), rng.choice(days)) for _ in range(60)] + [("C", days[3]), ("A", None)]
+    sides = {n: [(rng.choice("AAAAB"), rng.choice(days), float(i)) for i in range(25)] for n in ("x", "y", "z")}
+    frames = {n: spark.createDataFrame(r, f"k string, {n}_day date, v double").repartition(3) for n, r in sides.items()}
+    got = asof.asof_join_many(spark.createDataFrame(left, "k string, t date"), "k", "t", {
+        "x": asof.Side(frames["x"], "x_day", ("v",)), "y": asof.Side(frames["y"], "y_day", ("v",), "forward"),
+        "z": asof.Side(frames["z"], "z_day", ("v",), "nearest", 4)}).collect()
+
+    def hit(k, t, rows, direction):
+        back = [(d, v) for q, d, v in rows if q == k and t is not None and d <= t]
+        ahead = [(d, v) for q, d, v in rows if q == k and t is not None and d >= t]
+        before, after = max(back, default=None), min(ahead, default=None)
+        if direction != "nearest":
+            return before if direction == "backward" else after
+        best = min([h for h in (before, after) if h], key=lambda h: (abs((h[0] - t).days), h is after and h is not before), default=None)
+        return best if best and abs((best[0] - t).days) <= 4 else None
+
+    want = sorted(((k, t, *(hit(k, t, sides[n], d) for n, d in (("x", "backward"), ("y", "forward"), ("z", "nearest")))) for k, t in left), key=str)
+    assert sorted(((r.k, r.t, *(None if r[n] is None else tuple(r[n]) for n in "xyz")) for r in got), key=str) == want
+
+
+def test_both_directions_share_one_window_exchange(spark):
+    lt = spark.createDataFrame([("A", day("2024-01-10"))], "k string, t date")
+    rt = spark.createDataFrame([("A", day("2024-01-05"), 1.0)], "k string, r date, v double")
+    plan = asof.asof_join(lt, rt, "k", "t", "r", "nearest")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1

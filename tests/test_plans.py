@@ -194,3 +194,87 @@ def test_backtest(spark):
     (n,) = collect(summaries.summary_counts(wide))
     assert n["num_rows"] == 4 and n["num_with_holdings"] == 0
     assert text.STAKE_PARSERS
+
+
+def test_published_versions(spark, built, tmp_path):
+    """A failing gate and a run that dies before its entry leave the last complete version; parents move on their own."""
+    dims, hist = built
+    folder = str(tmp_path / "published")
+    first = export.export_parents(hist, dims["ciks"], folder, "2023-01-01")
+    before = collect(export.read_published(spark, folder, "history"), "parent_ticker", "period_end", "investee_ticker")
+    assert len(before) == hist.count() and {r["ticker"] for r in collect(export.read_published(spark, folder, "rollups"))} == {"UBER", "SOLO"}
+    with pytest.raises(quality.QualityError):
+        export.export_parents(hist.withColumn("cost_basis_est_usd", F.lit(1.0)), dims["ciks"], folder, "2023-01-01")
+    # A run that stops after some tables: their files are there, their entry is not.
+    hist.where("false").write.parquet(f"{folder}/history/version=v9")
+    hist.limit(1).withColumn("extra", F.lit(1)).write.parquet(f"{folder}/current/version=v9")
+    assert collect(export.read_published(spark, folder, "history"), "parent_ticker", "period_end", "investee_ticker") == before
+    second = export.export_parents(hist.where("parent_ticker = 'SOLO'").withColumn("investee_name", F.lit("renamed")), dims["ciks"], folder, "2023-01-01")
+    assert second > first
+    names = {(r["parent_ticker"], r["investee_name"] == "renamed") for r in collect(export.read_published(spark, folder, "history"))}
+    assert names == {("UBER", False), ("SOLO", True)}
+    versions = {r["parent_ticker"]: r["version"] for r in collect(export.published_versions(spark, folder))}
+    assert versions == {"UBER": first, "SOLO": second}
+
+
+def test_export_of_nothing(spark, built, tmp_path):
+    dims, hist = built
+    export.export_parents(hist.where("false"), dims["ciks"], str(tmp_path / "none"), "2023-01-01")
+    assert export.read_published(spark, str(tmp_path / "none"), "portfolio").count() == 0
+
+
+def test_each_parent_by_its_strategy(spark):
+    dims = load_dims(spark)
+    none = lambda schema: spark.createDataFrame([], schema)
+    payloads = spark.createDataFrame([
+        ("UBER", report("2024-03-31", "2024-05-15", "q2", [("Grab", "GRAB", "G1", 150, 1800)])),
+        ("TCEHY", report("2024-03-31", "2024-05-15", "t2", [("Grab", "GRAB", "G1", 9, 9)]))], "parent_ticker string, payload string")
+    filings = spark.createDataFrame([
+        (p, "1", "SC 13G", day("2024-02-01"), f"g-{p}", ownership("Tuya Inc.", "700", "9.5")) for p in ("UBER", "TCEHY", "SOLO")],
+        "parent_ticker string, cik string, form string, filing_date date, accession_no string, body string")
+    pages = spark.createDataFrame([("TCEHY", day("2024-12-31"), "u", "The fair value of our shareholdings in listed investee companies amounted to "
+                                    "RMB10.0 billion as at")], "parent_ticker string, as_of_date date, source_url string, text string")
+    stakes = valuation.add_usd(none("parent_ticker string, investee_ticker string, as_of date, investee_name string, ownership_pct double, "
+                                    "value_to_parent_hkd_mn double, report_id string, citation string, source_url string"))
+    hist = plan.history_of_parents(payloads, filings, pages, dims, F.to_date(F.lit("2025-06-30")), stakes,
+                                   none("ticker string, date date, close double"), none("investee_ticker string, cutoff date"))
+    rows = {(r["parent_ticker"], r["investee_ticker"], str(r["period_end"])): (r["strategy"], r["grid"]) for r in collect(hist)}
+    assert rows["UBER", "GRAB", "2024-03-31"] == rows["UBER", "TUYA", "2024-03-31"] == ("fanout_13f_13g_notes", "13f")
+    assert rows["SOLO", "TUYA", "2024-02-01"] == ("fanout_13f_13g_notes", "13g")
+    assert rows["TCEHY", "TUYA", "2024-02-01"] == rows["TCEHY", "PRIV_HK_LISTED_INVESTEES_FV", "2024-12-31"] == ("fanout_13g_hk", "13g")
+    assert not any(k[0] == "TCEHY" and k[1] == "GRAB" for k in rows)
+
+
+def test_aggregate_steps_are_a_fixpoint(spark):
+    """Stamp, overlay and stamp again: a second run over the result changes nothing."""
+    rows = history(spark, [
+        {"period_end": "2024-03-31", "investee_ticker": "PDD", "investee_name": "PDD", "action": "new", "shares_held": 5, "note": "source=13g"},
+        {"period_end": "2024-06-30", "investee_ticker": "PDD", "investee_name": "PDD", "action": "hold", "shares_held": 5, "note": "source=13g"},
+        {"period_end": "2024-12-31", "investee_ticker": "PRIV_HK_LISTED_INVESTEES_FV", "investee_name": "All", "action": "hold",
+         "market_value_usd": 8e10, "note": "value_source=hk_annual_note22"}], parent="TCEHY")
+    stakes = valuation.add_usd(spark.createDataFrame(
+        [("TCEHY", "PDD", day("2024-06-30"), "PDD", 15.5, 78_000.0, "r", "c", "u"), ("TCEHY", "BZ", day("2024-09-30"), "BZ", 9.0, 7_800.0, "r", "c", "u")],
+        "parent_ticker string, investee_ticker string, as_of date, investee_name string, ownership_pct double, "
+        "value_to_parent_hkd_mn double, report_id string, citation string, source_url string"))
+
+    def run(df):
+        return valuation.finalize_composition(valuation.stamp_composition(valuation.overlay_values(valuation.stamp_composition(df), stakes)))
+
+    once = collect(run(rows), "investee_ticker", "period_end")
+    twice = collect(run(spark.createDataFrame([tuple(r[c] for c in rows.columns) for r in once], rows.schema)), "investee_ticker", "period_end")
+    assert once == twice and len(once) == 5
+    assert sum(r["child_value_source"] == "broker_sotp" for r in once) == 2
+
+
+def test_holdings_meet_only_the_dates_they_are_known_at(spark):
+    held = frame(spark, HOLDINGS_SCHEMA, [{"parent_ticker": "P", "investee_name": "X", "investee_ticker": "X", "as_of_date": "2020-01-01"}])
+    keys = spark.createDataFrame([("P", day("2021-01-01"))], "parent_ticker string, as_of date")
+    joins = [x for x in holdings.holdings_as_of(held, keys)._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    assert joins and not any("<" in x or ">" in x for x in joins)
+
+
+def test_row_checks_share_one_scan(spark, built):
+    dims, hist = built
+    checks = quality.history_checks(hist)
+    plan_text = quality.row_findings(hist, checks)._jdf.queryExecution().executedPlan().toString()
+    assert len(checks) >= 9 and plan_text.count("FileScan") == 1 and "Union" not in plan_text and "Exchange" not in plan_text

@@ -1,3 +1,4 @@
+import time
 """Text extractors on invented filings; expected values are worked out by hand."""
 
 import datetime as dt
@@ -239,3 +240,28 @@ def test_small_extractors(spark):
         ("HARBOURLINE INC", "HBL", "Health Care"), ("OXBOW & SONS INC", "OX", "Real Estate")]
     soup = "p pMember qMember rMember rest"
     assert one(spark, soup).select(text.strip_tag_runs("body").alias("t")).collect()[0].t == "p  rest"
+
+
+# -- many hits -----------------------------------------------------------------------------------
+
+def test_spans_of_many_hits(spark):
+    """A hundred thousand hits of one text: positions, merged windows and slices, without copying arrays hit by hit."""
+    hits = 100_000
+    body = "".join(f"we held {i % 60}% x{'y' * (i % 90)} " for i in range(hits))
+    frame = one(spark, body)
+    took = time.perf_counter()
+    spans = frame.select(text.match_spans("body", r"we held\s+\d+%").alias("s")).first().s
+    assert len(spans) == hits and all(body[a:a + 7] == "we held" and body[b - 1] == "%" for a, b in spans[::997])
+    merged = frame.select(text.keyword_spans("body", ["we held"], 20).alias("s")).first().s
+    assert time.perf_counter() - took < 60
+    assert all(a.hi < b.lo for a, b in zip(merged, merged[1:])) and merged[0].lo == 0
+    covered = [False] * len(body)
+    for s in merged[:50]:
+        covered[s.lo:s.hi] = [True] * (s.hi - s.lo)
+    assert all(covered[a] for a, b in spans if b <= merged[49].hi)
+
+
+def test_spans_without_hits_and_without_text(spark):
+    rows = spark.createDataFrame([("",), (None,), ("none",), ("ab",)], "body string")
+    got = [r.s for r in rows.select(text.keyword_spans("body", ["ab"], 3).alias("s")).collect()]
+    assert [x and [tuple(s) for s in x] for x in got] == [[], [], [], [(0, 2)]]
