@@ -15,6 +15,7 @@ from posledger.operators import ledger as ops, screening, text
 from posledger.plans.export import export_tables
 from posledger.schemas import MEMBERSHIP_SCHEMA
 from posledger.sources import filings, listings, tables
+from posledger.streaming import incremental
 
 _WORD_DATE = "monthname({0}) || ' ' || day({0}) || ', ' || year({0})"
 
@@ -76,6 +77,49 @@ def snapshot_log(spark, sf_dir):
     return spark.read.schema(MEMBERSHIP_SCHEMA).parquet(folder)
 
 
+@query("upsert_touched", """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 97 = 0 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders
+UNION ALL SELECT -o_orderkey - 1, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 89 = 0""")
+def upsert_touched(spark, sf_dir):
+    # Some orders change and some are new; the buckets of all others stay as they are.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    folder = _folder(spark, "buckets")
+    tables.write_buckets(orders, folder, ["o_orderkey"], 32)
+    changed = orders.where("o_orderkey % 97 = 0").withColumn("o_totalprice", -F.col("o_totalprice"))
+    tables.upsert_buckets(spark, folder, changed, ["o_orderkey"], 32)
+    added = orders.where("o_orderkey % 89 = 0").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    tables.upsert_buckets(spark, folder, added, ["o_orderkey"], 32)
+    return spark.read.parquet(folder).drop("bucket")
+
+
+@query("evolved_generations", """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_orderdate AS DATE) END AS day FROM orders""")
+def evolved_generations(spark, sf_dir):
+    # Files of the first generation lack two columns and have one that was dropped since.
+    orders = table(spark, sf_dir, "orders")
+    folder = _folder(spark, "generations")
+    orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_custkey").alias("dropped"), "o_totalprice").write.parquet(folder)
+    newer = orders.where("o_orderkey % 2 = 1").select("o_orderkey", "o_totalprice", "o_orderstatus", _day().alias("day"))
+    newer.write.mode("append").parquet(folder)
+    return tables.read_evolved(spark, folder, newer.schema)
+
+
+@query("repeated_runs", """SELECT o_custkey AS k, count(*) AS n, CASE WHEN o_custkey % 3 = 0 THEN 'r1' ELSE 'r2' END AS made_by FROM orders GROUP BY ALL""")
+def repeated_runs(spark, sf_dir):
+    # The second run dies before it is entered, then runs again; the first is repeated after it has finished.
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"))
+    keys, folder = orders.distinct(), _folder(spark, "runs")
+    schema = T.StructType().add("k", orders.schema["k"].dataType).add("n", "long").add("made_by", "string")
+
+    def counted(name):
+        return lambda todo: orders.join(todo, "k", "left_semi").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.lit(name).alias("made_by"))
+
+    third = keys.where("k % 3 = 0")
+    incremental.run_once(spark, third, folder, schema, ["k"], "r1", counted("r1"))
+    counted("r2")(keys.where("k % 5 = 0")).write.parquet(f"{folder}/rows/run=r2")
+    incremental.run_once(spark, third, folder, schema, ["k"], "r1", counted("again"))
+    return incremental.run_once(spark, keys, folder, schema, ["k"], "r2", counted("r2"))
+
+
 # -- ownership filings ---------------------------------------------------------------------------
 
 _COVER = """<html><head><style>b{}</style></head><body><p>SCHEDULE 13G</p>{name} (Name of Issuer) {cusip} (CUSIP Number)

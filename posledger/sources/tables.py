@@ -65,6 +65,38 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     return both.groupBy(*keys).agg(F.max_by(body, rank).alias("_r")).select(*keys, "_r.*").select(*target.columns)
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """A table that ``upsert_buckets`` can change in part: one partition per bucket of its keys."""
+    rows = df.withColumn("bucket", bucket_of(keys, buckets))
+    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def upsert_buckets(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], buckets: int,
+                   order: Sequence[str | Column] = ()) -> None:
+    """Replace or add the rows of ``updates`` by key, reading and rewriting the buckets they fall in only.
+
+    The new content of those buckets is written to the shared folder first, so a run that is lost while it replaces
+    them can be repeated: it gives the same rows again.
+    """
+    new = updates.withColumn("bucket", bucket_of(keys, buckets))
+    touched = stage(new.select("bucket").distinct(), "touched-buckets")
+    old = spark.read.parquet(path).join(touched, "bucket", "left_semi")
+    merged = stage(upsert(old, new, [*keys, "bucket"], order), "upserted-buckets")
+    merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def read_evolved(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table whose files are of several generations, in the newest shape.
+
+    Columns that a file does not have yet are typed NULL, columns that the schema dropped are not read.
+    """
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_jsonl_latest(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
                       keys: Sequence[str], dates: Sequence[str] = ()) -> DataFrame:
     """Worker JSON lines: absent columns are NULL, dates keep ten characters, the last file wins."""

@@ -1,7 +1,7 @@
 import pytest
 import json
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from posledger.functions import dates, text as txt
 from posledger.operators import identity, ownership, screening
@@ -199,3 +199,41 @@ def test_staging_needs_the_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(200).selectExpr("id AS k", "id * 2 AS v")
+    tables.write_buckets(rows, path, ["k"], 16)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    updates = spark.createDataFrame([(3, -1), (3, -2), (1000, 7)], "k long, v long")
+    tables.upsert_buckets(spark, path, updates, ["k"], 16, ["v"])
+    got = {r.k: r.v for r in spark.read.parquet(path).collect()}
+    assert got == {i: 2 * i for i in range(200)} | {3: -1, 1000: 7}
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    assert len({p.parent for p in after if after[p] != before.get(p)}) <= 2
+    tables.upsert_buckets(spark, path, updates, ["k"], 16, ["v"])
+    assert {r.k: r.v for r in spark.read.parquet(path).collect()} == got
+    tables.upsert_buckets(spark, path, updates.where("false"), ["k"], 16)
+    assert spark.read.parquet(path).count() == 201
+
+
+def test_a_run_that_died_is_not_read_and_can_be_repeated(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    schema = T.StructType().add("k", "long").add("v", "string")
+    keys = spark.range(6).withColumnRenamed("id", "k")
+    work = lambda name: lambda todo: todo.withColumn("v", F.lit(name))
+    assert incremental.finished_rows(spark, folder, schema).count() == 0
+
+    def dies(todo):
+        todo.withColumn("v", F.lit("half")).limit(2).write.mode("overwrite").parquet(f"{folder}/rows/run=a")
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        incremental.run_once(spark, keys, folder, schema, ["k"], "a", dies)
+    assert incremental.finished_rows(spark, folder, schema).count() == 0
+    rows = incremental.run_once(spark, keys.where("k < 4"), folder, schema, ["k"], "a", work("a")).collect()
+    assert sorted((r.k, r.v) for r in rows) == [(i, "a") for i in range(4)]
+    incremental.run_once(spark, keys, folder, schema, ["k"], "a", work("again"))
+    rows = incremental.run_once(spark, keys, folder, schema, ["k"], "b", work("b")).collect()
+    assert sorted((r.k, r.v) for r in rows) == [(i, "a") for i in range(4)] + [(4, "b"), (5, "b")]
