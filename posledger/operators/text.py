@@ -472,27 +472,34 @@ def annual_history_rows(aggregates: DataFrame) -> DataFrame:
 # -- broker stake tables -------------------------------------------------------------------------
 
 def _stake_struct(text: Column, pattern: str) -> Column:
+    """One stake of a line or mark; every part is matched once and bound for the steps that follow."""
     codes = "|".join(fixed.EXCHANGE_CODES)
-    name0 = F.trim(F.regexp_extract(text, pattern, 1))
-    raw0 = F.trim(F.regexp_extract(text, pattern, 2))
-    bare = F.upper(raw0).isin(*fixed.EXCHANGE_CODES)
     peel = r"(?i)^(.+?)\s+(\d{3,6}|[A-Z][A-Z0-9.]{0,9})$"
-    peeled = bare & name0.rlike(peel)
-    name = F.when(peeled, F.trim(F.regexp_extract(name0, peel, 1))).otherwise(name0)
-    raw = F.when(peeled, F.concat(F.regexp_extract(name0, peel, 2), F.lit(" "), F.upper(raw0))).otherwise(raw0)
-    clean_key = F.lower(F.regexp_replace(name, rf"(?i)\s+\d{{3,6}}\s+(?:{codes})\s*$", ""))
     symbols = F.create_map(*[F.lit(v) for pair in pat.STAKE_NAMES for v in pair])
-    ticker = exchange_ticker(raw, name, F.coalesce(symbols[F.lower(name)], symbols[F.trim(clean_key)]))
-    shown = F.trim(F.regexp_replace(name, rf"(?i)\s+(?:\d{{3,6}}|[A-Z][A-Z0-9.]{{0,9}})\s+(?:{codes})\s*$", ""))
-    low = F.lower(name0)
-    junk = low.startswith("name") | low.contains("stake")
-    for stop in pat.STAKE_STOPS:
-        junk = junk | low.startswith(stop)
-    return F.when(~junk & (name0 != ""), F.struct(
-        shown.alias("investee_name"), raw.alias("investee_ticker_raw"), ticker.alias("investee_ticker"),
-        F.regexp_extract(text, pattern, 3).try_cast("double").alias("ownership_pct"),
-        _number(F.regexp_extract(text, pattern, 4)).alias("mkt_cap_usd_mn"),
-        _number(F.regexp_extract(text, pattern, 5)).alias("value_to_parent_hkd_mn")))
+
+    def peeled(part: Column) -> Column:
+        name, raw = part["name"], part["raw"]
+        cut = F.upper(raw).isin(*fixed.EXCHANGE_CODES) & name.rlike(peel)
+        return F.struct(
+            name.alias("whole"), F.when(cut, F.trim(F.regexp_extract(name, peel, 1))).otherwise(name).alias("name"),
+            F.when(cut, F.concat(F.regexp_extract(name, peel, 2), F.lit(" "), F.upper(raw))).otherwise(raw).alias("raw"))
+
+    def named(part: Column) -> Column:
+        name, raw, low = part["name"], part["raw"], F.lower(part["whole"])
+        clean_key = F.lower(F.regexp_replace(name, rf"(?i)\s+\d{{3,6}}\s+(?:{codes})\s*$", ""))
+        ticker = exchange_ticker(raw, name, F.coalesce(symbols[F.lower(name)], symbols[F.trim(clean_key)]))
+        shown = F.trim(F.regexp_replace(name, rf"(?i)\s+(?:\d{{3,6}}|[A-Z][A-Z0-9.]{{0,9}})\s+(?:{codes})\s*$", ""))
+        junk = low.startswith("name") | low.contains("stake")
+        for stop in pat.STAKE_STOPS:
+            junk = junk | low.startswith(stop)
+        return F.when(~junk & (low != ""), F.struct(
+            shown.alias("investee_name"), raw.alias("investee_ticker_raw"), ticker.alias("investee_ticker"),
+            F.regexp_extract(text, pattern, 3).try_cast("double").alias("ownership_pct"),
+            _number(F.regexp_extract(text, pattern, 4)).alias("mkt_cap_usd_mn"),
+            _number(F.regexp_extract(text, pattern, 5)).alias("value_to_parent_hkd_mn")))
+
+    parts = F.struct(F.trim(F.regexp_extract(text, pattern, 1)).alias("name"), F.trim(F.regexp_extract(text, pattern, 2)).alias("raw"))
+    return _let(_let(parts, peeled), named)
 
 
 def extract_stake_table(df: DataFrame, text: str = "text") -> DataFrame:
