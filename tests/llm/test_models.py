@@ -93,11 +93,56 @@ def test_expected_counts_match_enumeration():
                 if t:
                     move[p[t - 1], s] += w
     got = np.zeros(2), np.zeros((2, 2)), np.zeros((4, 2))
-    lm_scoring.expected_counts(model, list(segments), got)
+    lm_scoring.expected_counts(model, [lm_scoring.Segment(s) for s in segments], got)
     for a, b in zip(got, (start, move, emit)):
         assert np.allclose(a, b, atol=1e-4)
 
 
+def test_segments_cover_each_token_and_each_step_once(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SEGMENT", 3)
+    symbols = np.array([0, 1, 2, 3, 1, 0, 2, 2], np.uint16)
+    segments = list(lm_scoring.segments_of(symbols, np.arange(8)))
+    assert [s.first for s in segments] == [True, False, False]
+    assert sum(len(s.symbols) - 1 for s in segments) == len(symbols) - 1
+    start, move, emit = np.zeros(2), np.zeros((2, 2)), np.zeros((8, 2))
+    lm_scoring.expected_counts(small_model(), segments, (start, move, emit))
+    assert math.isclose(start.sum(), 1, rel_tol=1e-5) and math.isclose(move.sum(), 7, rel_tol=1e-5)
+    assert np.allclose(emit.sum(1), 1, atol=1e-5)
+
+
+def test_emissions_of_all_words_sum_to_one(spark):
+    """Every state's seen words and one unseen word of each symbol make a distribution; shares are the words' own."""
+    rng, states = np.random.default_rng(3), 3
+    model = small_model(states, lm_scoring.SYMBOLS + 1)
+    end, n = lm_scoring.END_SYMBOL, 50
+    symbol = np.append(rng.integers(0, 20, n), end)
+    c = np.append(rng.integers(0, 9, n), 30)
+    shares = lm_scoring.shares_packed(rng.random((n + 1, states)) ** 4)
+    rows = [(7, i, int(symbol[i]), int(c[i]), int(shares[i]), True) for i in range(n + 1)]
+    rows += [(8, i, *r[2:5], False) for i, r in enumerate(rows[::-1])]
+    words = spark.createDataFrame(rows, "home long, word_nr long, symbol short, c long, shares int, first boolean")
+    counts = lm_scoring.totals(words, model)
+    assert counts.tokens == c.sum() and counts.words == (c > 0).sum()
+    seen = c > 0
+    emitted = lm_scoring.word_emissions(c[seen].astype(float), symbol[seen], shares[seen].astype(int), counts)
+    none = np.zeros(end)
+    unseen = lm_scoring.word_emissions(none, np.arange(end), none.astype(int), counts)
+    assert np.allclose(emitted.sum(0) + unseen.sum(0), 1, atol=1e-4)
+
+
+def test_words_of_one_symbol_keep_their_own_shares(spark):
+    encoded = [(True, block, w, nr, 0, count, int(lm_scoring.shares_packed(np.array([share]))[0]))
+               for block in (0, 1) for nr, (w, count, share) in enumerate(
+                   [(b"a", 4, [3.0, 1.0]), (b"b", 2, [0.0, 2.0]), (b"c", 0, [0.0, 0.0])])]
+    frame = spark.createDataFrame(
+        encoded, "word_row boolean, block long, word binary, word_nr long, symbol int, train_count long, shares int")
+    got = lm_scoring.counted_words(frame, 2).collect()
+    assert {(r.word_nr, r.c) for r in got} == {(0, 8), (1, 4), (2, 0)} and sum(r["first"] for r in got) == 3
+    for r in got:
+        assert lm_scoring.shares_unpacked(np.array([r.shares]), 2)[0] == pytest.approx(
+            [[0.75, 0.25], [0.01, 0.99], [0.5, 0.5]][r.word_nr], abs=0.02)
+
+
 def test_blocks_are_cut_by_tokens(spark, monkeypatch):
     import pyarrow as pa
 
@@ -112,7 +157,7 @@ def test_blocks_are_cut_by_tokens(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 6)
     batch = pa.RecordBatch.from_arrays(
         [pa.array([1, 2, 3]), pa.array([b"A b a", b"c d e f g", b"a"]), pa.array([False, False, True])], ["i", "t", "h"])
-    rows = [r for out in lm_scoring._encode(iter([batch])) for r in out.to_pylist()]
+    rows = [r for out in lm_scoring._encode(iter([batch]), small_model(symbols=lm_scoring.SYMBOLS + 1)) for r in out.to_pylist()]
     assert {r["block"] for r in rows} == {5 << 32, 5 << 32 | 1}
     words = Counter()
     for r in rows:
