@@ -223,7 +223,7 @@ def counted_words(encoded: DataFrame, states: int = STATES) -> DataFrame:
     counted = encoded.where("word_row").select(
         F.col("block").alias("home"), "word_nr", F.col("symbol").cast("short").alias("symbol"),
         F.sum("train_count").over(same).alias("c"), *[p.alias(f"part{k}") for k, p in enumerate(parts)],
-        (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
+        (F.col("block") == F.min("block").over(same)).alias("first"))
     top = (1 << SHARE_BITS) - 1
     packed = [F.shiftleft(F.round(F.col(f"part{k}") * top / (F.greatest("c", F.lit(1)) * FIXED_POINT)).cast("int"),
                           SHARE_BITS * k) for k in range(states)]
