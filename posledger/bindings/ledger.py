@@ -11,6 +11,7 @@ from posledger.bindings.views import (
 )
 from posledger.functions.dates import quarter_end
 from posledger.operators import ledger as ops, merge, snapshots
+from posledger.plans import holdings
 
 HIST_COLUMNS = [
     "parent_ticker", "investee_ticker", "period_end", "action", "shares_held", "market_value_usd",
@@ -231,6 +232,74 @@ def coalesce_period_ticker(spark, sf_dir):
         F.col("accession_no").alias("survivor"), "shares_held")
 
 
+# One group is a nation, a period and the first seven characters of a brand; its brands differ in value and note.
+@query("coalesce_exported", f"""WITH {HIST},
+noted AS (
+  SELECT parent_ticker, period_end, upper(investee_ticker[1:7]) AS ticker, action, shares_held, market_value_usd AS mv, investee_ticker AS acc,
+    CASE WHEN investee_ticker LIKE '%1' THEN 'source=13f' WHEN investee_ticker LIKE '%4' OR investee_ticker LIKE '%5' THEN 'line ' || investee_ticker
+         WHEN shares_held > 0 THEN 'held' END AS note FROM hist),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY parent_ticker, period_end, ticker ORDER BY coalesce(mv, -1) DESC, coalesce(note, '') NOT LIKE '%13f%',
+    action = 'exit', length(coalesce(note, '')) DESC, acc) AS rk FROM noted),
+notes AS (
+  SELECT parent_ticker, period_end, ticker, string_agg(note, '; ' ORDER BY rk) AS note
+  FROM (SELECT parent_ticker, period_end, ticker, note, min(rk) AS rk FROM ranked WHERE note IS NOT NULL GROUP BY ALL) GROUP BY ALL)
+SELECT r.parent_ticker, r.period_end, r.ticker AS investee_ticker, arg_min(action, rk) AS action, arg_min(acc, rk) AS survivor,
+  arg_min(shares_held, rk) AS shares_held, arg_min(mv, rk) AS market_value_usd, any_value(n.note) AS note
+FROM ranked r LEFT JOIN notes n USING (parent_ticker, period_end, ticker) GROUP BY ALL""")
+def coalesce_exported(spark, sf_dir):
+    brand = F.col("investee_ticker")
+    note = F.when(brand.endswith("1"), F.lit("source=13f")).when(
+        brand.endswith("4") | brand.endswith("5"), F.concat(F.lit("line "), brand)).when(F.col("shares_held") > 0, F.lit("held"))
+    hist = ledger(spark, sf_dir).withColumns(
+        {"accession_no": brand, "note": note, "filing_date": F.col("period_end")}).withColumn("investee_ticker", F.upper(F.substring(brand, 1, 7)))
+    return merge.coalesce_for_export(hist).select(
+        "parent_ticker", "period_end", "investee_ticker", "action", F.col("accession_no").alias("survivor"), "shares_held",
+        "market_value_usd", "note")
+
+
+# Suppliers hold parts by three sources; every seventh part's ownership filing repeats the percentage as shares.
+@query("live_holdings", f"""WITH f AS (
+  SELECT l_suppkey, l_partkey, l_returnflag AS flag, sum(l_quantity) AS sh, {sql_cents('l_extendedprice')} AS v, 20.0 * count(*) AS pct
+  FROM lineitem GROUP BY ALL),
+g AS (
+  SELECT 'S' || l_suppkey AS parent_ticker, 'P' || l_partkey AS investee_ticker, bool_or(flag = 'A') AS a, bool_or(flag = 'N') AS n, bool_or(flag = 'R') AS r,
+    max(CASE WHEN flag = 'A' THEN pct END) AS ownership_pct,
+    coalesce(max(CASE WHEN flag = 'R' THEN sh END), max(CASE WHEN flag = 'A' THEN CASE WHEN l_partkey % 7 = 0 THEN pct ELSE sh END END)) AS sh,
+    coalesce(max(CASE WHEN flag = 'R' THEN v END), max(CASE WHEN flag = 'N' THEN v END)) AS market_value_usd
+  FROM f GROUP BY ALL),
+b AS (
+  SELECT *, CASE WHEN r AND a THEN '13f+13g' WHEN r AND n THEN '13f+20f_investments_table' WHEN r THEN '13f' WHEN a AND n THEN '13g+20f_investments_table'
+      WHEN a THEN '13g' ELSE '20f_investments_table' END AS source,
+    CASE WHEN a THEN 'source=13g' WHEN n THEN '20f_investments_table' ELSE 'source=13f' END
+      || CASE WHEN r AND (a OR n) THEN '; merged 13f' WHEN a AND n THEN '; 20f_investments_table' ELSE '' END AS note,
+    coalesce(sh = ownership_pct AND sh <= 100, FALSE) AS bad FROM g)
+SELECT parent_ticker, investee_ticker, ownership_pct, CASE WHEN NOT bad THEN sh END AS shares_held, market_value_usd,
+  CASE WHEN ownership_pct IS NULL THEN 'unclear' WHEN ownership_pct < 50 THEN 'equity_method' ELSE 'consolidated' END AS gaap_treatment,
+  CASE WHEN ownership_pct IS NULL THEN 'unknown' WHEN ownership_pct < 50 THEN 'ge_20_lt_50' ELSE 'ge_50' END AS ownership_band,
+  CASE WHEN contains(note, 'source=' || source) THEN '' ELSE 'source=' || source || '; ' END || note
+    || CASE WHEN bad THEN '; scrubbed_shares_eq_ownership_pct' ELSE '' END AS note
+FROM b""")
+def live_holdings(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").groupBy(
+        F.concat(F.lit("S"), "l_suppkey").alias("parent_ticker"), F.concat(F.lit("P"), "l_partkey").alias("investee_ticker"),
+        "l_partkey", "l_returnflag").agg(F.sum("l_quantity").alias("shares_held"), cents("l_extendedprice").alias("v"),
+                                         (F.count(F.lit(1)) * 20.0).alias("pct"))
+    none = F.lit(None).cast("double")
+    base = rows.withColumns({"investee_name": F.col("investee_ticker"), "cusip": F.lit(None).cast("string")})
+
+    def source(flag, name, note, **columns):
+        return base.where(F.col("l_returnflag") == flag).withColumns({"source": F.lit(name), "note": F.lit(note), **columns}).drop(
+            "l_returnflag", "l_partkey", "v", "pct")
+
+    own = source("A", "13g", "source=13g", market_value_usd=none, ownership_pct=F.col("pct"),
+                 shares_held=F.when(F.col("l_partkey") % 7 == 0, F.col("pct")).otherwise(F.col("shares_held")))
+    notes = source("N", "20f_investments_table", "20f_investments_table", fair_value_disclosed_usd=F.col("v"), market_value_usd=none, shares_held=none)
+    quarterly = source("R", "13f", "source=13f", market_value_usd=F.col("v"))
+    return holdings.checked_holdings(holdings.live_holdings([own, notes, quarterly])).select(
+        "parent_ticker", "investee_ticker", "ownership_pct", "shares_held", "market_value_usd", "gaap_treatment", "ownership_band", "note")
+
+
 @query("reconcile_sources", f"""WITH a AS (
   SELECT n_name AS parent_ticker, p_brand AS ticker, {sql_cents('l_extendedprice')} AS value_a
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
