@@ -10,7 +10,7 @@ from posledger.bindings.views import (
     ADDITIONS, additions, book_series, deletions, earnings_series, msum, prices, qend, table,
 )
 from posledger.functions import dates, numbers as num, text as txt
-from posledger.functions.dates import quarter_end_on_or_before
+from posledger.functions.dates import quarter_end, quarter_end_on_or_before
 from posledger.operators import ownership, text
 from posledger.plans import holdings, summaries
 from posledger.schemas import HOLDINGS_SCHEMA, conform
@@ -238,6 +238,39 @@ def flatten_facts(spark, sf_dir):
     return filings.flatten_facts(raw, filings.EQUITY_TAGS, "USD").select("ticker", "tag", "filed", "val")
 
 
+# Customers state equity per quarter, every third of them twice, and share counts of some quarters twenty days later.
+_FACTS_SQL = f"""quarters AS (SELECT o_custkey AS ticker, {qend('o_orderdate')} AS e, sum(CAST(floor(o_totalprice) AS BIGINT)) AS v, count(*) AS n,
+    bool_or(o_orderstatus = 'F') OR min(o_orderkey) % 3 = 0 AS counted FROM orders GROUP BY ALL),
+equity AS (SELECT ticker, e, e + CASE WHEN ticker % 3 = 0 THEN 70 ELSE 40 END AS filed, v + CASE WHEN ticker % 3 = 0 THEN 1 ELSE 0 END AS v FROM quarters),
+shares AS (SELECT ticker, e + 20 AS e, n + 100 AS n FROM quarters WHERE counted)"""
+
+
+@query("facts_book_series", f"""WITH {_FACTS_SQL},
+near AS (SELECT q.ticker, q.e, q.filed, q.v, s.n FROM equity q JOIN shares s ON s.ticker = q.ticker AND abs(s.e - q.e) <= 100
+         QUALIFY row_number() OVER (PARTITION BY q.ticker, q.e ORDER BY abs(s.e - q.e)) = 1)
+SELECT ticker, CAST(filed AS DATE) AS filed, CAST(v AS DOUBLE) / n AS bvps FROM near""")
+def facts_book_series(spark, sf_dir):
+    quarters = table(spark, sf_dir, "orders").groupBy(
+        F.col("o_custkey").alias("ticker"), quarter_end("o_orderdate").alias("e")).agg(
+        F.sum(F.floor("o_totalprice")).alias("v"), F.count(F.lit(1)).alias("n"),
+        (F.bool_or(F.col("o_orderstatus") == "F") | (F.min("o_orderkey") % 3 == 0)).alias("counted"))
+
+    def fact(end, filed, value):
+        return F.struct(end.cast("string").alias("end"), filed.cast("string").alias("filed"), value.alias("val"))
+
+    e = F.col("e")
+    twice = F.when(F.col("ticker") % 3 == 0, fact(e, F.date_add(e, 70), F.col("v") + 1))
+    counted = F.when(F.col("counted"), fact(F.date_add(e, 20), F.date_add(e, 40), F.col("n") + 100))
+    stated = quarters.groupBy("ticker").agg(
+        F.concat(F.collect_list(fact(e, F.date_add(e, 40), F.col("v"))), F.collect_list(twice)).alias("USD"),
+        F.collect_list(counted).alias("shares"))
+    units = lambda unit: F.struct(F.struct(F.col(unit)).alias("units"))
+    facts = F.struct(F.struct(units("USD").alias("StockholdersEquity")).alias("us-gaap"),
+                     F.struct(units("shares").alias("EntityCommonStockSharesOutstanding")).alias("dei"))
+    raw = stated.select("ticker", F.to_json(F.struct(facts.alias("facts"))).alias("payload"))
+    return filings.book_series_from_facts(raw)
+
+
 # -- scalars -------------------------------------------------------------------------------------
 
 @query("scalar_strings", r"""SELECT p_partkey, upper(trim(p_brand)) AS ticker,
