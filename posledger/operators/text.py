@@ -30,7 +30,8 @@ def _strip(text: Column) -> Column:
 
 
 def _pick(text: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    # The search stands in the expression once: in a branch, nullif would make it twice.
+    return F.get(F.filter(F.array(F.regexp_extract(text, pattern, group)), lambda hit: hit != ""), F.lit(0))
 
 
 def _number(text: Column) -> Column:
@@ -45,7 +46,10 @@ def strip_html(body) -> Column:
 
 def strip_tag_runs(text, suffix: str = "Member", at_least: int = 3) -> Column:
     """Drop runs of tokens ending in ``suffix`` so the prose around them can be searched."""
-    cleaned = F.regexp_replace(_as_col(text), r"(?:[A-Za-z0-9:._-]*" + suffix + r"\s+){" + str(at_least) + ",}", " ")
+    source = _as_col(text)
+    cleaned = F.regexp_replace(source, r"(?:[A-Za-z0-9:._-]*" + suffix + r"\s+){" + str(at_least) + ",}", " ")
+    if suffix.isalnum():
+        cleaned = F.when(source.contains(suffix), cleaned).otherwise(source)
     return F.regexp_replace(cleaned, r"\s{3,}", "\n")
 
 
@@ -324,6 +328,11 @@ def extract_investments_table(df: DataFrame, body: str = "body",
         F.lit(" fv_usd="), F.col("fair_value_disclosed_usd").cast("decimal(38,0)").cast("string")))
 
 
+def _found(kind: Column, lo: Column, name: Column, short: Column, pct: Column, amount: Column) -> Column:
+    return F.struct(kind.alias("kind"), lo.alias("lo"), name.alias("investee_name"), short.alias("short_name"),
+                    pct.try_cast("double").alias("ownership_pct"), amount.alias("carrying_usd"))
+
+
 def extract_investment_notes(df: DataFrame, body: str = "body") -> DataFrame:
     """Named investment sections and held-stake sentences of annual and interim notes.
 
@@ -332,36 +341,37 @@ def extract_investment_notes(df: DataFrame, body: str = "body") -> DataFrame:
     more facts first.
     """
     keep = [c for c in df.columns if c != body]
-    staged = df.withColumn("_text", strip_tag_runs(body))
     text = F.col("_text")
-
-    headings = match_spans(text, pat.INVESTMENT_IN)
-
-    def hits(pattern, kind, end):
-        return F.transform(match_spans(text, pattern), lambda s, i: F.struct(
-            F.lit(kind).alias("kind"), s["lo"].alias("lo"),
-            F.substr(text, s["lo"] + 1, end(s, i) - s["lo"]).alias("window")))
-
-    found = staged.select(*keep, F.explode_outer(F.concat(
-        hits(pat.INVESTMENT_IN, "section", lambda s, i: F.coalesce(F.get(headings, i + 1)["lo"], F.length(text))),
-        hits(pat.NEWLY_ISSUED, "issued", lambda s, i: s["hi"]), hits(pat.WE_HELD, "held", lambda s, i: s["hi"]),
-    )).alias("h")).where(F.col("h").isNotNull())
-    window, kind = F.col("h.window"), F.col("h.kind")
-    section = kind == "section"
-    name = F.trim(F.regexp_extract(window, pat.INVESTMENT_IN, 1))
-    short = F.trim(F.regexp_extract(window, pat.INVESTMENT_IN, 2))
+    # Headings are searched once a page; in the lambdas below they are a column, not a search of their own a hit.
+    staged = df.withColumn("_text", strip_tag_runs(body)).withColumn("_heads", match_spans(text, pat.INVESTMENT_IN))
     months = [m.lower() for m in pat.MONTHS]
-    junk = (F.length(short) <= 2) | F.lower(short).isin(*months) | short.rlike(r"^[eE]\s*&?$") | F.lower(
-        F.split(name, r"\s+")[0]).isin(*months)
-    amount = F.coalesce(_pick(window, pat.USD_BILLION).try_cast("double") * 1e9,
-                        _pick(window, pat.USD_MILLION).try_cast("double") * 1e6)
-    pct = F.when(section, _pick(window, pat.PERCENT_EQUITY)).when(
-        kind == "issued", _pick(window, pat.NEWLY_ISSUED)).otherwise(_pick(window, pat.WE_HELD)).try_cast("double")
-    rows = found.where(~section | ~junk).select(
-        *keep, kind.alias("kind"), F.col("h.lo").alias("lo"),
-        F.when(section, name).otherwise(F.lit(pat.HELD_NAME)).alias("investee_name"),
-        F.when(section, short).alias("short_name"), pct.alias("ownership_pct"), F.when(section, amount).alias("carrying_usd"))
-    rows = rows.where(F.col("ownership_pct").isNotNull() | F.col("carrying_usd").isNotNull())
+    none = F.lit(None).cast("string")
+
+    def section(lo: Column, window: Column) -> Column:
+        def fact(head: Column) -> Column:
+            name, short = head["name"], head["short"]
+            junk = (F.length(short) <= 2) | F.lower(short).isin(*months) | short.rlike(r"^[eE]\s*&?$") | F.lower(
+                F.split(name, r"\s+")[0]).isin(*months)
+            amount = F.coalesce(_pick(window, pat.USD_BILLION).try_cast("double") * 1e9,
+                                _pick(window, pat.USD_MILLION).try_cast("double") * 1e6)
+            return F.when(~junk, _found(F.lit("section"), lo, name, short, _pick(window, pat.PERCENT_EQUITY), amount))
+
+        return _let(F.struct(F.trim(F.regexp_extract(window, pat.INVESTMENT_IN, 1)).alias("name"),
+                             F.trim(F.regexp_extract(window, pat.INVESTMENT_IN, 2)).alias("short")), fact)
+
+    def held(kind, pattern, word):
+        hits = F.transform(match_spans(text, pattern), lambda s: _found(
+            F.lit(kind), s["lo"], F.lit(pat.HELD_NAME), none, _pick(_cut(text, s), pattern), F.lit(None).cast("double")))
+        return F.when(F.lower(text).contains(word), hits).otherwise(F.array().cast(hit_type))
+
+    hit_type = ("array<struct<kind:string,lo:int,investee_name:string,short_name:string,ownership_pct:double,"
+                "carrying_usd:double>>")
+    sections = F.transform("_heads", lambda s, i: _let(
+        F.substr(text, s["lo"] + 1, F.coalesce(F.get("_heads", i + 1)["lo"], F.length(text)) - s["lo"]),
+        lambda window: section(s["lo"], window)))
+    hits = F.filter(F.concat(sections, held("issued", pat.NEWLY_ISSUED, "newly"), held("held", pat.WE_HELD, "held")), lambda h: (
+        h["ownership_pct"].isNotNull() | h["carrying_usd"].isNotNull()))
+    rows = staged.select(*keep, F.explode_outer(hits).alias("h")).where(F.col("h").isNotNull()).select(*keep, "h.*")
     order_of = F.when(F.col("kind") == "section", 0).when(F.col("kind") == "issued", 1).otherwise(2)
     facts = F.when(F.col("ownership_pct").isNotNull(), 1).otherwise(0) + F.when(F.col("carrying_usd").isNotNull(), 1).otherwise(0)
     rank = F.struct(-facts, -order_of, -F.col("lo"))

@@ -265,3 +265,19 @@ def test_spans_without_hits_and_without_text(spark):
     rows = spark.createDataFrame([("",), (None,), ("none",), ("ab",)], "body string")
     got = [r.s for r in rows.select(text.keyword_spans("body", ["ab"], 3).alias("s")).collect()]
     assert [x and [tuple(s) for s in x] for x in got] == [[], [], [], [(0, 2)]]
+
+
+def filters_of(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in plan.splitlines() if "Filter " in line]
+
+
+def test_notes_search_each_page_and_section_once(spark):
+    """No filter on the results repeats the searches, and headings are not searched again for every hit."""
+    body = "".join(f'Investment in Firm{i} Ltd ("Short{i}"). Approximately {i}% equity interest and invested US ${i} million. ' for i in (3, 4, 5))
+    body += "ANT GROUP: newly  issued 33% equity interest of Ant Group Co. We Held 12 % of shares of ant group then."
+    notes = text.extract_investment_notes(one(spark, body).withColumn("form", F.lit("20-F")))
+    got = {(r.investee_name, r.ownership_pct, r.carrying_usd) for r in notes.collect()}
+    assert got == {("Firm3 Ltd", 3.0, 3e6), ("Firm4 Ltd", 4.0, 4e6), ("Firm5 Ltd", 5.0, 5e6), ("Ant Group Co., Ltd.", 12.0, None)}
+    assert not any("regexp" in f for f in filters_of(notes))
+    assert notes._jdf.queryExecution().optimizedPlan().toString().count("Investment\\s+in") <= 4
