@@ -426,18 +426,21 @@ def extract_annual_aggregates(df: DataFrame, text: str = "text", as_of: str = "a
     cells = F.regexp_extract_all(line, F.lit(r"\(?([\d,]+)\)?"), F.lit(1))
     # The pattern depends on the year of the row, so the year's line is cut out first.
     year_line = F.expr(f"regexp_extract({text}, concat('(?i)', year({as_of}), '\\\\s+Listed entities(?:\\\\s*\\\\(Note\\\\))?\\\\s+[^\\\\n]+'), 0)")
-    staged = df.withColumn("_line", year_line)
+    # A report is searched for what it has the words of only; the words are found at a fraction of a search.
+    low, loose, strict = F.col("_low"), F.col("_loose"), F.col("_strict")
+    staged = df.withColumn("_low", F.lower(body)).withColumn("_loose", low.contains("listed entities")).withColumns({
+        "_line": F.when(loose, year_line).otherwise(F.lit("")),
+        "_strict": loose & low.contains("investments in associates") & body.rlike(pat.ANNUAL_BREAKDOWN)})
     million, billion = 1e6, 1e9
-    strict = body.rlike(pat.ANNUAL_BREAKDOWN)
-    listed_carry = F.when(strict, _number(_pick(body, pat.ANNUAL_BREAKDOWN, 1))).otherwise(
-        _number(_pick(body, pat.ANNUAL_BREAKDOWN_LOOSE, 1))) * million
-    unlisted_carry = F.when(strict, _number(_pick(body, pat.ANNUAL_BREAKDOWN, 2))).otherwise(
-        _number(_pick(body, pat.ANNUAL_BREAKDOWN_LOOSE, 3))) * million
+    listed_carry = F.when(strict, _number(_pick(body, pat.ANNUAL_BREAKDOWN, 1))).when(
+        loose, _number(_pick(body, pat.ANNUAL_BREAKDOWN_LOOSE, 1))) * million
+    unlisted_carry = F.when(strict, _number(_pick(body, pat.ANNUAL_BREAKDOWN, 2))).when(
+        loose, _number(_pick(body, pat.ANNUAL_BREAKDOWN_LOOSE, 3))) * million
     staged = staged.withColumns({
         "_la_fv": F.when(F.size(cells) >= 7, _number(F.get(cells, F.lit(6)))) * million,
         "_la": listed_carry, "_ua": unlisted_carry,
-        "_li": _number(_pick(body, pat.ANNUAL_LISTED_VALUE)) * billion,
-        "_ui": _number(_pick(body, pat.ANNUAL_UNLISTED_VALUE)) * billion})
+        "_li": F.when(low.contains("in listed investee"), _number(_pick(body, pat.ANNUAL_LISTED_VALUE))) * billion,
+        "_ui": F.when(low.contains("in unlisted"), _number(_pick(body, pat.ANNUAL_UNLISTED_VALUE))) * billion})
 
     def usd(name):
         return F.col(name) / F.lit(rate)
@@ -466,9 +469,10 @@ def extract_annual_aggregates(df: DataFrame, text: str = "text", as_of: str = "a
             none, none, "cost", F.lit("No market; cannot invent MTM adj"))))
     keep = [c for c in df.columns if c != text]
     few = append_tags("note", (F.col("_n") < 2, "aggregates=incomplete", "aggregates=incomplete"))
+    # The outer form: the plain one has a filter on the array inferred, which repeats every search below it.
     return staged.withColumn("_rows", rows).select(
-        *keep, F.size("_rows").alias("_n"), F.inline("_rows")).withColumn("note", few).drop("_n").withColumn(
-        "source", F.lit("hk_annual"))
+        *keep, F.size("_rows").alias("_n"), F.inline_outer("_rows")).where(F.col("investee_ticker").isNotNull()).withColumn(
+        "note", few).drop("_n").withColumn("source", F.lit("hk_annual"))
 
 
 def annual_history_rows(aggregates: DataFrame) -> DataFrame:

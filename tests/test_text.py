@@ -281,3 +281,14 @@ def test_notes_search_each_page_and_section_once(spark):
     assert got == {("Firm3 Ltd", 3.0, 3e6), ("Firm4 Ltd", 4.0, 4e6), ("Firm5 Ltd", 5.0, 5e6), ("Ant Group Co., Ltd.", 12.0, None)}
     assert not any("regexp" in f for f in filters_of(notes))
     assert notes._jdf.queryExecution().optimizedPlan().toString().count("Investment\\s+in") <= 4
+
+
+def test_annual_aggregates_repeat_no_search_in_a_filter(spark):
+    body = ("İstanbul. Carrying Book Value of our shareholdings in unlisted investee companies was RMB 2.5 billion. Fair value of cash. "
+            "FAIR VALUE OF our shareholdings in listed investee companies amounted to RMB3.0 Billion")
+    df = spark.createDataFrame([(b,) for b in (body, body.replace("İ", "I"), "none", None)], "text string").withColumns(
+        {"as_of_date": F.lit("2020-12-31").cast("date"), "source_url": F.lit("u")})
+    rows = text.extract_annual_aggregates(df, rate=1.0)
+    got = [(r.investee_ticker, r.market_value_usd or r.carrying_usd) for r in rows.collect()]
+    assert sorted(got) == sorted(2 * [("PRIV_HK_LISTED_INVESTEES_FV", 3e9), ("PRIV_HK_UNLISTED_INVESTEES", 2.5e9)])
+    assert not any("regexp" in f.lower() for f in filters_of(rows))
