@@ -11,6 +11,11 @@ HTML_STEPS = (
     (r"&#\d+;", " "),
     (r"\s+", " "),
 )
+#: What a lower-cased page must have for a step to find anything.
+HTML_MARKS = {
+    r"(?is)<script[^>]*>.*?</script>": "<script", r"(?is)<style[^>]*>.*?</style>": "<style", r"(?i)<br\s*/?>": "<br",
+    r"&nbsp;": "&nbsp;", r"&#\d+;": "&#",
+}
 
 # --- fixed values: inventory-method keywords ---
 INVENTORY_KEYWORDS = (

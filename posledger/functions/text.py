@@ -54,8 +54,9 @@ def clean_issuer_name(value) -> Column:
     """Drop cover-page boilerplate in front of an issuer name unless only a suffix is left."""
     raw = F.nullif(F.trim(_as_col(value)), F.lit(""))
     cut = F.btrim(F.regexp_replace(raw, fixed.COVER_PAGE_PREFIX, ""), F.lit(" ,;-"))
-    keep = (cut != "") & ~F.lower(cut).isin(*fixed.BARE_COMPANY_SUFFIXES)
-    return F.when(keep, cut).otherwise(raw)
+    # Cut once: the filter drops a cut that leaves no name.
+    kept = F.filter(F.array(cut), lambda c: (c != "") & ~F.lower(c).isin(*fixed.BARE_COMPANY_SUFFIXES))
+    return F.coalesce(F.get(kept, F.lit(0)), raw)
 
 
 def private_ticker(name) -> Column:

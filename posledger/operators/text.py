@@ -40,8 +40,15 @@ def _number(text: Column) -> Column:
 
 def strip_html(body) -> Column:
     """Visible text of a page: scripts, styles, tags and numeric entities gone, blanks squeezed."""
-    text = reduce(lambda t, step: F.regexp_replace(t, *step), pat.HTML_STEPS, _as_col(body))
-    return F.trim(text)
+    raw = _as_col(body)
+
+    def step(text: Column, pattern: str, value: str) -> Column:
+        # A step can only find what the page has: every step leaves a blank, so none forms the mark of another.
+        mark = pat.HTML_MARKS.get(pattern)
+        done = F.regexp_replace(text, pattern, value)
+        return done if mark is None else F.when(F.lower(raw).contains(mark), done).otherwise(text)
+
+    return F.trim(reduce(lambda t, s: step(t, *s), pat.HTML_STEPS, raw))
 
 
 def strip_tag_runs(text, suffix: str = "Member", at_least: int = 3) -> Column:

@@ -292,3 +292,9 @@ def test_annual_aggregates_repeat_no_search_in_a_filter(spark):
     got = [(r.investee_ticker, r.market_value_usd or r.carrying_usd) for r in rows.collect()]
     assert sorted(got) == sorted(2 * [("PRIV_HK_LISTED_INVESTEES_FV", 3e9), ("PRIV_HK_UNLISTED_INVESTEES", 2.5e9)])
     assert not any("regexp" in f.lower() for f in filters_of(rows))
+
+
+def test_ownership_filing_searches_each_mark_once(spark):
+    parsed = text.extract_ownership_filing(one(spark, "<p>x</p>"))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Percent of Class Represented by Amount") == 1 and plan.count("Sole Voting Power") == 1
