@@ -122,6 +122,15 @@ def _inside_bucket(lhs, rhs, carry, by, left_on, forward, allow_exact) -> DataFr
     )
 
 
+def dealt(rows: DataFrame, *by: str) -> DataFrame:
+    """The rows dealt out by ``by`` over all shuffle partitions.
+
+    Narrow rows pack so well that adaptive execution lays very many of them into one task, which then sorts or hashes
+    them all; a given number of partitions is kept as it is.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 @dataclass(frozen=True)
 class Side:
     """A dated series to look up: its rows, their date and the columns wanted."""
@@ -143,20 +152,23 @@ def asof_join_many(left: DataFrame, by: str | Sequence[str], left_on: str, sides
     """
     by = [by] if isinstance(by, str) else list(by)
     body = {n: F.struct(F.col(s.on).alias(s.on), *[c for c in s.columns if c != s.on]) for n, s in sides.items()}
-    marks = left.where(F.col(left_on).isNotNull()).select(*by, F.col(left_on).alias(_B)).distinct()
-    rows = marks
+    marks = dealt(left.where(F.col(left_on).isNotNull()).select(*by, F.col(left_on).alias(_B)), *by, _B).distinct()
+    rows = None
     for name, side in sides.items():
         known = side.rows.where(F.col(side.on).isNotNull())
-        rows = rows.unionByName(known.select(*by, F.col(side.on).alias(_B), body[name].alias(name)), allowMissingColumns=True)
+        dated = known.select(*by, F.col(side.on).alias(_B), body[name].alias(name))
+        rows = dated if rows is None else rows.unionByName(dated, allowMissingColumns=True)
     # Of several rows of a day the last counts looking back and the first looking ahead, as in asof_join.
     back, ahead = ([n for n, s in sides.items() if s.direction != d] for d in ("forward", "backward"))
     days = rows.groupBy(*by, _B).agg(*[F.max(n).alias(f"__b_{n}") for n in back], *[F.min(n).alias(f"__a_{n}") for n in ahead])
-    order = Window.partitionBy(*by).orderBy(_B)
-    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    carried = days.select(
-        *by, _B, *[F.last(f"__b_{n}", ignorenulls=True).over(before).alias(f"__before_{n}") for n in back],
-        *[F.first(f"__a_{n}", ignorenulls=True).over(after).alias(f"__after_{n}") for n in ahead])
+    # The days asked for carry nothing, so they join after the fold; on a day they follow its rows in both directions.
+    asked = days.withColumn("__asked", F.lit(False)).unionByName(marks.withColumn("__asked", F.lit(True)), allowMissingColumns=True)
+    # Both frames grow from the start: one that ends at the last day would be read anew for every day of a key.
+    before, after = (Window.partitionBy(*by).orderBy(o, "__asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                     for o in (F.col(_B).asc(), F.col(_B).desc()))
+    carried = asked.select(
+        *by, _B, "__asked", *[F.last(f"__b_{n}", ignorenulls=True).over(before).alias(f"__before_{n}") for n in back],
+        *[F.last(f"__a_{n}", ignorenulls=True).over(after).alias(f"__after_{n}") for n in ahead]).where("__asked").drop("__asked")
     joined = left.withColumn(_B, F.col(left_on)).join(carried, [*by, _B], "left")
     return joined.select(*left.columns, *[_counting(n, s, left_on).alias(n) for n, s in sides.items()])
 

@@ -92,3 +92,18 @@ def test_both_directions_share_one_window_exchange(spark):
     rt = spark.createDataFrame([("A", day("2024-01-05"), 1.0)], "k string, r date, v double")
     plan = asof.asof_join(lt, rt, "k", "t", "r", "nearest")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
+
+
+def test_many_sides_carry_forward_in_one_pass_over_a_key(spark):
+    """A window frame that ends at the last row is read anew for every row of a key."""
+    rng = random.Random(3)
+    days = [day("2024-01-01") + dt.timedelta(days=i) for i in range(300)]
+    left = [("A", d) for d in days]
+    right = list({d: ("A", d, float(i)) for i, d in enumerate(rng.choices(days, k=80))}.values())
+    rt = spark.createDataFrame(right, "k string, r date, v double")
+    got = asof.asof_join_many(spark.createDataFrame(left, "k string, t date"), "k", "t", {
+        "b": asof.Side(rt, "r", ("v",)), "f": asof.Side(rt, "r", ("v",), "forward")})
+    assert "UNBOUNDED FOLLOWING" not in got._jdf.queryExecution().optimizedPlan().toString().upper().replace("UNBOUNDEDFOLLOWING", "UNBOUNDED FOLLOWING")
+    for name, direction in (("b", "backward"), ("f", "forward")):
+        rows = sorted(((r["k"], r["t"], *(r[name] or (None, None))) for r in got.collect()), key=str)
+        assert rows == brute(left, right, direction)
