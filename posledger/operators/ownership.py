@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posledger.functions.dates import filed_quarter_end
 from posledger.functions.numbers import from_fixed, money_sum, pct_capped, pct_complement, to_fixed
-from posledger.operators.asof import Side, asof_join, asof_join_many, lookup_value
+from posledger.operators.asof import Side, asof_join, asof_join_many, dealt, lookup_value
 from posledger.schemas import OWNERSHIP_SCHEMA, conform
 
 # Words that rule out common equity, and plain names that mean it.
@@ -164,11 +164,18 @@ def buyback_totals(cash_flow: DataFrame, quarters: int = 4) -> DataFrame:
     spent = F.col("sale_purchase")
     versions = cash_flow.where(F.col("filing_date").isNotNull()).groupBy("ticker", "period_end", "filing_date").agg(
         F.max(F.struct("sale_purchase", "issuance")).alias("r")).select("ticker", "period_end", "filing_date", "r.*")
-    listed = versions.groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct(
+    entry = F.struct(
         "period_end", "filing_date", to_fixed(spent).alias("sale"),
         to_fixed(F.when(spent < 0, -spent).when(spent.isNotNull(), F.lit(0.0))).alias("gross"),
-        to_fixed("issuance").alias("issue")))).alias("_all"))
-    days = listed.withColumn("filing_date", F.explode(F.array_distinct(F.transform("_all", lambda v: v["filing_date"]))))
+        to_fixed("issuance").alias("issue"))
+    # Sorted rows see their ticker's list one ticker at a time; lists of all tickers are never held or spread together.
+    whole = Window.partitionBy("ticker").orderBy("period_end", "filing_date").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    listed = dealt(versions.select("ticker", "period_end", "filing_date", entry.alias("_v")), "ticker").withColumn(
+        "_all", F.collect_list("_v").over(whole))
+    # Of the versions filed on a day the one of the latest period stands for the day.
+    filed = F.filter("_all", lambda v: v["filing_date"] == F.col("filing_date"))
+    days = listed.where(F.element_at(filed, -1)["period_end"].eqNullSafe(F.col("period_end")))
     known = days.withColumn("_known", F.filter("_all", lambda v: v["filing_date"] <= F.col("filing_date")))
     newest = known.withColumn("_known", F.filter("_known", lambda v, i: ~F.get("_known", i + 1)["period_end"].eqNullSafe(
         v["period_end"])))

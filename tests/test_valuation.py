@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from posledger.functions import valuation as val
-from posledger.operators import performance as perf, quality, reporting, valuation
+from posledger.operators import ownership, performance as perf, quality, reporting, valuation
 from posledger.schemas import HOLDINGS_SCHEMA
 from tests.helpers import collect, day, frame, history
 
@@ -160,3 +160,29 @@ def test_stake_checks(spark):
     ids = {r["check_id"] for r in collect(quality.stake_sanity(parsed))}
     assert ids == {"too_few_rows", "stake_out_of_range"}
     assert collect(quality.fx_round_trip(stakes(spark))) == []
+
+
+def test_buyback_totals_of_refiled_quarters_without_spreading_lists(spark):
+    import random
+
+    rng = random.Random(6)
+    periods = [day(f"{y}-{q}") for y in (2020, 2021) for q in ("03-31", "06-30", "09-30", "12-31")]
+    rows = [(t, p, day(f"{rng.randint(2020, 2022)}-{rng.randint(1, 12):02d}-15"), rng.choice([None, -5.0, 7.0]), rng.choice([None, 2.0]))
+            for t in ("A", "B", None) for p in [*periods, None] for _ in range(rng.randint(1, 3))]
+    totals = ownership.buyback_totals(spark.createDataFrame(
+        rows, "ticker string, period_end date, filing_date date, sale_purchase double, issuance double").repartition(3))
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    got = {(r["ticker"], r["filing_date"]): r["q"] for r in totals.collect()}
+    assert totals.count() == len(got) and set(got) == {(r[0], r[2]) for r in rows}
+    low = lambda v: (v is not None, v or 0)  # noqa: E731  nulls are least
+    for (ticker, filed), q in got.items():
+        known = {}
+        for r in sorted((r for r in rows if r[0] == ticker and r[2] <= filed), key=lambda r: (r[2], low(r[3]), low(r[4]))):
+            known[r[1]] = r
+        last = sorted(known.values(), key=lambda r: (r[1] is not None, r[1] or filed))[-4:]
+        total = lambda xs: sum(xs) * 10_000 if xs else None
+        sale = [r[3] for r in last if r[3] is not None]
+        assert (q["period_end"], q["quarters_used"]) == (last[-1][1], len(last))
+        assert (q["_sale"], q["_gross"]) == (total(sale), total([max(-s, 0.0) for s in sale]))
+        assert q["_issue"] == total([r[4] for r in last if r[4] is not None])
