@@ -120,14 +120,19 @@ def holding_periods(opened, closed) -> Column:
 
 def looks_like_pct_as_shares(shares, pct) -> Column:
     """A share count that merely repeats the ownership percentage."""
-    s, p = to_number(shares), to_number(pct)
+    return _repeats_pct(to_number(shares), to_number(pct))
+
+
+def _repeats_pct(s: Column, p: Column) -> Column:
     hit = (s > 0) & (s <= 100) & (p > 0) & (p <= 100) & (F.abs(s - p) < 1e-6)
     return F.coalesce(hit, F.lit(False))
 
 
 def scrub_pct_as_shares(df, shares="shares_held", pct="ownership_pct", note="note"):
     """Blank such share counts and tag the row."""
-    bad = looks_like_pct_as_shares(shares, pct)
+    # A double is its own number: written out and read again it is the same, at many times the cost.
+    s, p = (F.when(~F.isnan(c), F.col(c)) if df.schema[c].dataType.typeName() == "double" else to_number(c) for c in (shares, pct))
+    bad = _repeats_pct(s, p)
     return df.withColumns({
         shares: F.when(~bad, F.col(shares)),
         note: F.when(bad, append_tag(note, "scrubbed_shares_eq_ownership_pct")).otherwise(F.col(note)),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from posledger.functions.text import append_tag, has_tag, holding_key, normalize_ticker, note_text
 from posledger.sources import fixed_values as fixed
@@ -101,6 +101,24 @@ SOURCE_RANKS = {
 }
 
 
+def _outermost(rows: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Of the rows of an identity that lack the same values the first and the last, numbered in order (``_nr``).
+
+    What a merge takes is the first or last row among those that have a value, so no other row is ever taken. They are
+    combined before the shuffle and few whatever a key's size; numbers then stand for the order, so an aggregate of
+    them does not hold a whole row beside each value. ``by`` begins with a hash of the identity, which sorts by a number.
+    """
+    lacks = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in [*values, "_disclosed"]])
+    body = F.struct("_prio", F.struct(*values, "source", "note").alias("r"), "_disclosed")
+    quote = F.struct("source_quote", F.struct("_rank", "_prio").alias("by"))
+    ends = rows.groupBy(*by, "_q", lacks.alias("_lacks")).agg(
+        F.min(body).alias("_low"), F.max(body).alias("_high"),
+        F.max_by(quote, F.when(F.col("source_quote").isNotNull(), quote["by"])).alias("_quote"))
+    both = ends.withColumn("_row", F.explode(F.array_distinct(F.array("_low", "_high"))))
+    nr = F.row_number().over(Window.partitionBy(*by).orderBy("_row"))
+    return both.select(*by, "_q", "_quote", nr.alias("_nr"), "_row._prio", "_row.r.*", "_row._disclosed")
+
+
 def merge_live(groups: Sequence[DataFrame], by: Sequence[str] = ("parent_ticker",)) -> DataFrame:
     """Merge current rows; quarterly-report rows override market fields wherever they come.
 
@@ -122,32 +140,33 @@ def merge_live(groups: Sequence[DataFrame], by: Sequence[str] = ("parent_ticker"
     rank = F.lit(0)
     for name, value in SOURCE_RANKS.items():
         rank = F.when(F.col("source") == name, value).otherwise(rank)
-    rows = rows.withColumns({"_q": quarterly, "_disclosed": disclosed, "_rank": rank})
+    rows = rows.where(key.isNotNull()).withColumns({"_key": key, "_q": quarterly, "_disclosed": disclosed, "_rank": rank})
+    identity = ["_hash", *by, "_key"]
+    rows = rows.withColumn("_hash", F.xxhash64(*identity[1:]))
     values = [c for c in rows.columns
-              if c not in {*by, "_prio", "_q", "_disclosed", "_rank", "note", "source", "source_quote"}]
-    order = F.struct("_prio", F.struct(*values, "source", "note"))
+              if c not in {*identity, "_prio", "_q", "_disclosed", "_rank", "note", "source", "source_quote"}]
+    rows = _outermost(rows, identity, values)
     aggs = []
     for c in values:
         if c == "market_value_usd":
             aggs.append(F.coalesce(
-                F.max_by(c, F.when(F.col(c).isNotNull() & F.col("_q"), order)),
-                F.min_by("_disclosed", F.when(F.col("_disclosed").isNotNull(), order)),
+                F.max_by(c, F.when(F.col(c).isNotNull() & F.col("_q"), F.col("_nr"))),
+                F.min_by("_disclosed", F.when(F.col("_disclosed").isNotNull(), F.col("_nr"))),
             ).alias(c))
         elif c in MARKET_FIELDS:
             aggs.append(F.coalesce(
-                F.max_by(c, F.when(F.col(c).isNotNull() & F.col("_q"), order)),
-                first_by(c, order)).alias(c))
+                F.max_by(c, F.when(F.col(c).isNotNull() & F.col("_q"), F.col("_nr"))),
+                first_by(c, F.col("_nr"))).alias(c))
         else:
-            aggs.append(first_by(c, order).alias(c))
+            aggs.append(first_by(c, F.col("_nr")).alias(c))
     row = F.struct("_prio", "source", "note")
-    merged = rows.where(key.isNotNull()).groupBy(*by, key.alias("_key")).agg(
+    merged = rows.groupBy(*identity).agg(
         *aggs,
-        F.min_by(row, order).alias("_base"),
-        F.min_by(row, F.when(F.col("_disclosed").isNotNull(), order)).alias("_val"),
+        F.min_by(row, "_nr").alias("_base"),
+        F.min_by(row, F.when(F.col("_disclosed").isNotNull(), F.col("_nr"))).alias("_val"),
         F.max(F.when(F.col("_q"), F.col("_prio"))).alias("_qprio"),
-        F.max_by("source", F.when(F.col("_q"), order)).alias("_qsource"),
-        F.max_by("source_quote", F.when(
-            F.col("source_quote").isNotNull(), F.struct("_rank", "_prio"))).alias("source_quote"),
+        F.max_by("source", F.when(F.col("_q"), F.col("_nr"))).alias("_qsource"),
+        F.max_by("_quote.source_quote", "_quote.by").alias("source_quote"),
     )
     late_q = F.col("_qprio") > F.col("_base._prio")
     late_v = (F.col("_val._prio") > F.col("_base._prio")) & F.col("_qprio").isNull()

@@ -13,6 +13,7 @@ from posledger.operators import ledger, merge, quality, valuation
 from posledger.operators.asof import Side, asof_join_many
 from posledger.operators.screening import apply_allowlist
 from posledger.schemas import HOLDINGS_DEFAULTS, HOLDINGS_SCHEMA, conform
+from posledger.sources.tables import stage
 
 
 def live_holdings(groups: Sequence[DataFrame]) -> DataFrame:
@@ -109,7 +110,10 @@ def backtest_parents(crossings: DataFrame) -> DataFrame:
 
 
 def checked_holdings(holdings: DataFrame) -> DataFrame:
-    """Scrubbed rows; raises if a share count still repeats a percentage."""
-    clean = scrub_pct_as_shares(holdings)
+    """Scrubbed rows; raises if a share count still repeats a percentage.
+
+    They are staged, so the check and whoever reads them do not work the holdings out again.
+    """
+    clean = stage(scrub_pct_as_shares(holdings), "checked-holdings")
     quality.enforce(quality.pct_as_shares(clean))
     return clean

@@ -278,3 +278,12 @@ def test_row_checks_share_one_scan(spark, built):
     checks = quality.history_checks(hist)
     plan_text = quality.row_findings(hist, checks)._jdf.queryExecution().executedPlan().toString()
     assert len(checks) >= 9 and plan_text.count("FileScan") == 1 and "Union" not in plan_text and "Exchange" not in plan_text
+
+
+def test_holdings_are_worked_out_once_for_check_and_reader(spark):
+    """The check reads what it hands on; the plan of the result is a scan."""
+    f13 = frame(spark, SNAPSHOT_SCHEMA, [{"parent_ticker": "P", "investee_name": "Grab", "investee_ticker": "GRAB", "shares_held": 10,
+                                          "ownership_pct": 10, "market_value_usd": 500.0, "source": "13f", "note": "source=13f"}])
+    rows = holdings.checked_holdings(holdings.live_holdings([f13]))
+    assert "Aggregate" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["shares_held"], r["note"]) for r in collect(rows)] == [(None, "source=13f; scrubbed_shares_eq_ownership_pct")]

@@ -167,3 +167,26 @@ def test_reconcile(spark):
     a = spark.createDataFrame([("D", 500e6), ("E", 100e6), ("ONLY", 1.0)], "ticker string, value_a double")
     b = spark.createDataFrame([("D", 2020e6), ("E", 101e6)], "ticker string, value_b double")
     assert [r["ticker"] for r in collect(merge.reconcile(a, b))] == ["D"]
+
+
+def test_live_merge_of_many_rows_of_one_name_takes_the_first_or_last_that_has_a_value(spark):
+    """Rows of a source lack different values; ties are settled by the row's own values, whatever the partitions."""
+    rng = random.Random(8)
+    some = lambda *xs: rng.choice([None, *xs])
+    rows = [(name, prio, some(1.0, 2.0, 3.0), some(10.0, 20.0, 30.0), some(5.0, 6.0), some("u", "v"))
+            for name in ("A", "B", "C") for prio in range(3) for _ in range(rng.randint(1, 12))]
+    sources = ["13g", "20f_investments_table", "13f"]
+    groups = [spark.createDataFrame(
+        [("P", n, n, None, pct, sh, mv, q, s, f"source={s}") for n, p, pct, sh, mv, q in rows if p == prio],
+        "parent_ticker string, investee_name string, investee_ticker string, cusip string, ownership_pct double, shares_held double, "
+        "market_value_usd double, source_quote string, source string, note string").repartition(3) for prio, s in enumerate(sources)]
+    least = lambda v: (v is not None, v or 0)  # noqa: E731  nulls come first
+    got = {r["investee_ticker"]: r for r in collect(merge.merge_live(groups))}
+    for name in ("A", "B", "C"):
+        mine = sorted((r for r in rows if r[0] == name), key=lambda r: (r[1], least(r[2]), least(r[3]), least(r[4])))
+        first = lambda i, prios: next((r[i] for r in mine if r[1] in prios and r[i] is not None), None)
+        last = lambda i: next((r[i] for r in reversed(mine) if r[1] == 2 and r[i] is not None), None)
+        assert got[name]["ownership_pct"] == first(2, (0, 1, 2))
+        assert got[name]["shares_held"] == (last(3) if last(3) is not None else first(3, (0, 1, 2)))
+        assert got[name]["market_value_usd"] == (last(4) if last(4) is not None else first(4, (1, 2)))
+        assert got[name]["source"] == "13f+13g" and got[name]["note"] == "source=13g; merged 13f"
