@@ -114,7 +114,8 @@ def _outermost(rows: DataFrame, by: Sequence[str], values: Sequence[str]) -> Dat
     ends = rows.groupBy(*by, "_q", lacks.alias("_lacks")).agg(
         F.min(body).alias("_low"), F.max(body).alias("_high"),
         F.max_by(quote, F.when(F.col("source_quote").isNotNull(), quote["by"])).alias("_quote"))
-    both = ends.withColumn("_row", F.explode(F.array_distinct(F.array("_low", "_high"))))
+    both = ends.withColumn("_row", F.explode(
+        F.when(F.col("_low") == F.col("_high"), F.array("_low")).otherwise(F.array("_low", "_high"))))
     nr = F.row_number().over(Window.partitionBy(*by).orderBy("_row"))
     return both.select(*by, "_q", "_quote", nr.alias("_nr"), "_row._prio", "_row.r.*", "_row._disclosed")
 
