@@ -116,6 +116,30 @@ def test_one_large_group_between_far_and_near(spark, monkeypatch):
     assert 5 < len(wanted) < 300
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_lists_of_any_length_lose_no_pair(spark, monkeypatch, seed):
+    """What all pairs at a Jaccard of 0.8 connect is connected, though nearly all lists are longer than LONG."""
+    rows = spread(240, seed)
+    monkeypatch.setattr(minhash, "LONG", 2)
+    assert {r.doc_id for r in minhash.drop_near_copies(docs(spark, rows)).collect()} == kept_ids(rows)
+
+
+def test_near_texts_of_long_lists_meet_with_no_more_in_common_than_told(spark):
+    rows = spread(80)
+    sets = [set(minhash.shingles_of(t.encode()).tolist()) for _, t in rows]
+    mark = lambda i: i.to_bytes(16)
+    shingles_ = spark.createDataFrame([(mark(i), minhash.shingles_of(t.encode()).view("int64").tolist()) for i, t in rows],
+                                      "mark binary, shingles array<long>")
+    lists = spark.createDataFrame([(key, mark(i), mark(0)) for key in (-5, 7) for i, _ in rows], "key long, mark binary, root binary")
+    met, got = {}, minhash.part_lists(lists, shingles_).collect()
+    for r in got:
+        met.setdefault(r.key, []).append((int.from_bytes(r.mark), r.most))
+    told = {(i, j) for members in met.values() for i, m in members for j, n in members if min(m, n) >= len(sets[i] & sets[j])}
+    wanted = [(i, j) for j in range(len(rows)) for i in range(j) if near(sets[i], sets[j])]
+    assert wanted and told.issuperset(wanted)
+    assert len(got) == len({(r.key, r.mark) for r in got}) < sum(map(len, sets)) / 2
+
+
 def test_near_stage_links_fingerprints_beyond_the_jaccard(spark):
     """A few new words at the end of a long repeated text leave its fingerprint, but not its set of shingles, as it was."""
     base = " ".join([f"w{i}" for i in range(11)] * 200)
